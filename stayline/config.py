@@ -98,6 +98,8 @@ CATEGORICAL_FEATURES = (
     "notif_permission_status",
 )
 
+SECTIONS = "abcdefghijklmnopqrt"
+
 # Stored, but not given to the models.
 STORED_ONLY = ("has_attribution", "platform")
 

@@ -274,39 +274,96 @@ def sections() -> dict[str, dict[str, Measure | OfFacets | Derived]]:
     }
 
 
-def snapshot(measures: DataFrame, facets: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """All features and the label from anchored day rows.
+Aggregates = dict[str, "Measure | OfFacets"]
+
+
+def aggregate_anchored(tables: DayTables, anchor, keys: tuple[str, ...],
+                       aggregates: Aggregates) -> DataFrame:
+    """Aggregates per anchor; ``anchor`` turns day rows into anchored rows.
 
     The two kinds of rows are aggregated apart, so that neither carries the
-    other's columns, and joined at the size of the result.
+    other's columns, and joined at the size of the result.  Everyone has day
+    measures; who has no facet row gets the defaults.
     """
-    features = {name: spec for part in sections().values() for name, spec in part.items()}
-    aggregates = {**features, **helpers()}
-    measured = measures.groupBy(*keys).agg(
+    result = anchor(tables.measures).groupBy(*keys).agg(
         F.min("install_date").alias("install_date"),
         *[s.column.alias(n) for n, s in aggregates.items() if isinstance(s, Measure)],
     )
     of_facets = {n: s for n, s in aggregates.items() if isinstance(s, OfFacets)}
-    faceted = facets.groupBy(*keys).agg(*[s.column.alias(n) for n, s in of_facets.items()])
-    joined = measured.join(faceted, list(keys), "left").na.fill(
-        {n: s.default for n, s in of_facets.items()}
+    if of_facets:
+        rows = anchor(facet_rows(tables.values, tables.spec))
+        faceted = rows.groupBy(*keys).agg(*[s.column.alias(n) for n, s in of_facets.items()])
+        result = result.join(faceted, list(keys), "left").na.fill(
+            {n: s.default for n, s in of_facets.items()}
+        )
+    return result
+
+
+def at_milestones(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates,
+                  install_from, install_to, milestones=c.MILESTONES, *,
+                  as_of=None, batch_bound: bool = False) -> DataFrame:
+    """Any aggregates of a cohort at fixed ages."""
+    scan = anchors.milestone_scan(install_from, install_to, milestones)
+    if isinstance(events, DayTables):
+        cohort = anchors.rolled_up_cohort(events.measures, install_from, install_to)
+        tables = events.between(*scan)
+    else:
+        cohort = anchors.install_cohort(events, install_from, install_to)
+        tables = day_tables(between_days(events, *scan), spec)
+
+    def anchor(rows: DataFrame) -> DataFrame:
+        return anchors.milestone_rows(rows, cohort, milestones, as_of, batch_bound)
+
+    return aggregate_anchored(
+        tables, anchor, (USER, "milestone_day"), aggregates
+    ).withColumn("snapshot_date", F.expr("date_add(install_date, milestone_day)"))
+
+
+def at_dates(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates,
+             dates) -> DataFrame:
+    """Any aggregates at calendar dates, for users installed in the 30 days before each."""
+    dates = sorted(anchors._day(x) for x in dates)
+    scan = anchors.calendar_scan(dates[0], dates[-1])
+    if isinstance(events, DayTables):
+        tables = events.between(*scan)
+    else:
+        tables = day_tables(between_days(events, *scan), spec)
+    tables = tables._replace(
+        measures=tables.measures.withColumnRenamed("install_any", "install_date")
     )
-    return joined.select(
-        *keys, "install_date",
-        *[s.column.alias(n) if isinstance(s, Derived) else n for n, s in features.items()],
-        c.LABEL, "_churned",
+    result = aggregate_anchored(
+        tables, lambda rows: anchors.calendar_rows(rows, dates),
+        (USER, "snapshot_date"), aggregates,
+    )
+    age = F.datediff("snapshot_date", "install_date")
+    return result.where(age.between(0, c.MAX_INSTALL_AGE_DAYS)).withColumn(
+        "milestone_day", F.lit(0)
     )
 
 
+def feature_aggregates() -> Aggregates:
+    """All aggregates behind the features and the label."""
+    return {
+        **{n: s for part in sections().values() for n, s in part.items()
+           if not isinstance(s, Derived)},
+        **helpers(),
+    }
+
+
 def _finish(frame: DataFrame, exclude_churned: bool, as_of) -> DataFrame:
+    """Derived features in output order, and the label."""
     if exclude_churned:
         frame = frame.where("_churned = 0")
     if as_of is not None:
         # Unknown while the label window is open.
         closed = F.date_add("snapshot_date", c.LABEL_HORIZON) <= as_date(as_of)
         frame = frame.withColumn(c.LABEL, F.when(closed, F.col(c.LABEL)))
-    keys = ("snapshot_date", USER, "install_date", "milestone_day")
-    return frame.select(*keys, *[x for x in frame.columns if x not in (*keys, "_churned")])
+    features = {n: s for part in sections().values() for n, s in part.items()}
+    return frame.select(
+        "snapshot_date", USER, "install_date", "milestone_day",
+        *[s.column.alias(n) if isinstance(s, Derived) else n for n, s in features.items()],
+        c.LABEL,
+    )
 
 
 def milestone_features(events: DataFrame | DayTables, install_from, install_to,
@@ -316,39 +373,20 @@ def milestone_features(events: DataFrame | DayTables, install_from, install_to,
 
     Users who removed the app before an anchor are left out of it.
     """
-    if isinstance(events, DayTables):
-        cohort = anchors.rolled_up_cohort(events.measures, install_from, install_to)
-    else:
-        cohort = anchors.install_cohort(events, install_from, install_to)
-    first, last = anchors.milestone_scan(install_from, install_to, milestones)
-    tables = _tables(events, first, last)
-
-    def anchored(rows: DataFrame) -> DataFrame:
-        return anchors.milestone_rows(rows, cohort, milestones, as_of, batch_bound)
-
-    frame = snapshot(
-        anchored(tables.measures), anchored(facet_rows(tables.values, tables.spec)),
-        (USER, "milestone_day"),
-    ).withColumn("snapshot_date", F.expr("date_add(install_date, milestone_day)"))
+    frame = at_milestones(
+        events, CHURN_ROLLUP, feature_aggregates(), install_from, install_to, milestones,
+        as_of=as_of, batch_bound=batch_bound,
+    )
     return _finish(frame, exclude_churned, as_of)
 
 
 def calendar_range(events: DataFrame | DayTables, dates, *, exclude_churned: bool = False,
                    require_past_event: bool = False, as_of=None) -> DataFrame:
     """Feature rows at calendar dates, all dates in one job."""
-    dates = sorted(anchors._day(x) for x in dates)
-    tables = _tables(events, *anchors.calendar_scan(dates[0], dates[-1]))
-    frame = snapshot(
-        anchors.calendar_rows(
-            tables.measures.withColumnRenamed("install_any", "install_date"), dates),
-        anchors.calendar_rows(facet_rows(tables.values, tables.spec), dates),
-        (USER, "snapshot_date"),
-    )
-    age = F.datediff("snapshot_date", "install_date")
-    frame = frame.where(age.between(0, c.MAX_INSTALL_AGE_DAYS))
+    frame = at_dates(events, CHURN_ROLLUP, feature_aggregates(), dates)
     if require_past_event:
         frame = frame.where(F.col("hours_since_last_session") < c.NEVER_HOURS)
-    return _finish(frame.withColumn("milestone_day", F.lit(0)), exclude_churned, as_of)
+    return _finish(frame, exclude_churned, as_of)
 
 
 def calendar_features(events: DataFrame | DayTables, snapshot_date, **options) -> DataFrame:
@@ -356,7 +394,12 @@ def calendar_features(events: DataFrame | DayTables, snapshot_date, **options) -
     return calendar_range(events, [snapshot_date], **options)
 
 
-def _tables(events: DataFrame | DayTables, first, last) -> DayTables:
-    if isinstance(events, DayTables):
-        return events.between(first, last)
-    return day_tables(between_days(events, first, last), CHURN_ROLLUP)
+def feature_names() -> list[str]:
+    """All stored features in order."""
+    return [n for part in sections().values() for n in part]
+
+
+def model_inputs() -> list[str]:
+    """Numerical inputs, then the categories."""
+    skipped = {*c.STORED_ONLY, *c.CATEGORICAL_FEATURES}
+    return [n for n in feature_names() if n not in skipped] + list(c.CATEGORICAL_FEATURES)
