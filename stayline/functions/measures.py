@@ -1,4 +1,4 @@
-"""Aggregates over day rows around an anchor, as columns.
+"""Aggregates over day rows around an anchor, as SQL text.
 
 The input is the result of :func:`stayline.operators.rollup.day_rows` with a
 column ``d``, the number of days from the event day to the anchor.  The past is
@@ -6,14 +6,12 @@ column ``d``, the number of days from the event day to the anchor.  The past is
 anchor on are ``d <= 0``: no feature here reads a row with ``d < 1``, only the
 label does.
 
-Columns are built from SQL text, one parse per column.
+Text, not columns: a feature is then a plain value that can be listed and
+searched for its inputs without a session.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from stayline import config as c
 
 
@@ -21,67 +19,67 @@ def _days(n: int, first_day: int) -> str:
     return f"d BETWEEN {first_day} AND {n}"
 
 
-def sum_in_days(measure: str, n: int, first_day: int = 1) -> Column:
+def sum_in_days(measure: str, n: int, first_day: int = 1) -> str:
     """Sum of a day measure, 0 when there is none."""
-    return F.expr(f"coalesce(sum(CASE WHEN {_days(n, first_day)} THEN {measure} END), 0)")
+    return f"coalesce(sum(CASE WHEN {_days(n, first_day)} THEN {measure} END), 0)"
 
 
-def count_in_days(measure: str, n: int, first_day: int = 1) -> Column:
+def count_in_days(measure: str, n: int, first_day: int = 1) -> str:
     """Sum of a day counter as a long."""
-    return sum_in_days(measure, n, first_day).cast("long")
+    return f"cast({sum_in_days(measure, n, first_day)} AS bigint)"
 
 
-def distinct_in_days(facet: str, n: int, first_day: int = 1) -> Column:
+def distinct_in_days(facet: str, n: int, first_day: int = 1) -> str:
     """Exact number of distinct facet values seen in the window.
 
     A value counts on the last day it was seen within the window, that is
     when it comes back only after the window has ended.
     """
-    return F.expr(
+    return (
         f"coalesce(sum(CASE WHEN {_days(n, first_day)} AND gap > d - {first_day}"
         f" THEN distinct_{facet} END), 0L)"
     )
 
 
-def days_with(measure: str, n: int) -> Column:
+def days_with(measure: str, n: int) -> str:
     """Number of days on which the counter was positive."""
     seen = f"CASE WHEN {_days(n, 1)} AND {measure} > 0 THEN shiftleft(1L, d - 1) END"
-    return F.expr(f"cast(bit_count(coalesce(bit_or({seen}), 0L)) AS bigint)")
+    return f"cast(bit_count(coalesce(bit_or({seen}), 0L)) AS bigint)"
 
 
-def max_before(measure: str) -> Column:
+def max_before(measure: str) -> str:
     """Maximum over the past, 0 when there is none."""
-    return F.expr(f"coalesce(max(CASE WHEN d >= 1 THEN {measure} END), 0)")
+    return f"coalesce(max(CASE WHEN d >= 1 THEN {measure} END), 0)"
 
 
-def latest_before(name: str) -> Column:
+def latest_before(name: str) -> str:
     """Latest value over the past, '' when there is none.
 
     Equal timestamps are settled by the greater value.
     """
-    return F.expr(f"coalesce(max(CASE WHEN d >= 1 THEN latest_{name} END).value, '')")
+    return f"coalesce(max(CASE WHEN d >= 1 THEN latest_{name} END).value, '')"
 
 
-def first_before(name: str) -> Column:
+def first_before(name: str) -> str:
     """First value over the past, '' when there is none."""
-    return F.expr(f"coalesce(min(CASE WHEN d >= 1 THEN first_{name} END).value, '')")
+    return f"coalesce(min(CASE WHEN d >= 1 THEN first_{name} END).value, '')"
 
 
-def recency_hours(measure: str, never: int = c.NEVER_HOURS) -> Column:
+def recency_hours(measure: str, never: int = c.NEVER_HOURS) -> str:
     """Hours since the last day with a positive counter."""
-    return F.expr(
+    return (
         f"coalesce(min(CASE WHEN d >= 1 AND {measure} > 0 THEN d END) * 24L, {never}L)"
     )
 
 
-def ever(measure: str) -> Column:
+def ever(measure: str) -> str:
     """1 when the counter was positive on any past day, else 0."""
-    return F.expr(f"max(CASE WHEN d >= 1 AND {measure} > 0 THEN 1 ELSE 0 END)")
+    return f"max(CASE WHEN d >= 1 AND {measure} > 0 THEN 1 ELSE 0 END)"
 
 
-def within_horizon(measure: str, horizon: int = c.LABEL_HORIZON) -> Column:
+def within_horizon(measure: str, horizon: int = c.LABEL_HORIZON) -> str:
     """1 when the counter is positive in ``[anchor, anchor + horizon)``."""
-    return F.expr(
+    return (
         f"max(CASE WHEN d BETWEEN {1 - horizon} AND 0 AND {measure} > 0 THEN 1 ELSE 0 END)"
     )
 
@@ -89,27 +87,27 @@ def within_horizon(measure: str, horizon: int = c.LABEL_HORIZON) -> Column:
 # --- over finished measures ------------------------------------------------
 
 
-def safe_ratio(part: str, whole: str, default: float = 0.0) -> Column:
+def safe_ratio(part: str, whole: str, default: float = 0.0) -> str:
     """``part / whole``, or the default when ``whole`` is not positive."""
-    return F.expr(
+    return (
         f"CASE WHEN {whole} > 0 THEN cast({part} AS double) / cast({whole} AS double)"
         f" ELSE cast({default} AS double) END"
     )
 
 
-def trend_ratio(current: str, previous: str) -> Column:
+def trend_ratio(current: str, previous: str) -> str:
     """Growth from one window to the next: 2 from nothing, 1 when both are empty."""
-    return F.expr(
+    return (
         f"CASE WHEN {previous} > 0 THEN cast({current} AS double) / cast({previous} AS double)"
         f" WHEN {current} > 0 THEN 2.0D ELSE 1.0D END"
     )
 
 
-def both(a: str, b: str) -> Column:
+def both(a: str, b: str) -> str:
     """1 when both flags are set, in any order of events."""
-    return F.least(F.col(a), F.col(b))
+    return f"least({a}, {b})"
 
 
-def funnel_depth(*steps: str) -> Column:
+def funnel_depth(*steps: str) -> str:
     """Number of steps reached."""
-    return F.expr(" + ".join(steps))
+    return " + ".join(steps)

@@ -7,9 +7,10 @@ day rows, ``Derived`` columns are computed from finished aggregates.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline import config as c
@@ -90,20 +91,20 @@ CHURN_ROLLUP = Rollup(
 class Measure(NamedTuple):
     """Aggregate over day measures."""
 
-    column: Column
+    sql: str
 
 
 class OfFacets(NamedTuple):
     """Aggregate over facet rows; users without any facet row get the default."""
 
-    column: Column
+    sql: str
     default: object = 0
 
 
 class Derived(NamedTuple):
     """Computed from other features."""
 
-    column: Column
+    sql: str
 
 
 def _screen(name: str) -> str:
@@ -114,7 +115,7 @@ def _screens_7d(*names: str) -> str:
     return "(" + " + ".join(f"{_screen(s)}_cnt_7d" for s in names) + ")"
 
 
-def _any_screen(*names: str) -> Column:
+def _any_screen(*names: str) -> str:
     return m.ever(" + ".join(_screen(s) for s in names))
 
 
@@ -135,7 +136,7 @@ def helpers() -> dict[str, Measure | OfFacets]:
 
 def sections() -> dict[str, dict[str, Measure | OfFacets | Derived]]:
     """Feature columns by section, in output order."""
-    M, V, D, col = Measure, OfFacets, Derived, F.expr
+    M, V, D = Measure, OfFacets, Derived
     return {
         "a": {
             "media_source": M(m.latest_before("media_source")),
@@ -155,9 +156,9 @@ def sections() -> dict[str, dict[str, Measure | OfFacets | Derived]]:
             "hours_since_install": M(m.max_before("age_hours")),
             "minutes_since_install": M(m.max_before("age_minutes")),
             "seconds_since_install": M(m.max_before("age_seconds")),
-            "is_day0_user": D(col("cast(days_since_install = 0 AS int)")),
-            "is_day1_user": D(col("cast(days_since_install = 1 AS int)")),
-            "is_week1_user": D(col("cast(days_since_install <= 7 AS int)")),
+            "is_day0_user": D("cast(days_since_install = 0 AS int)"),
+            "is_day1_user": D("cast(days_since_install = 1 AS int)"),
+            "is_week1_user": D("cast(days_since_install <= 7 AS int)"),
         },
         "e": {
             **{f"session_cnt_{n}d": V(m.distinct_in_days("session", n))
@@ -199,27 +200,27 @@ def sections() -> dict[str, dict[str, Measure | OfFacets | Derived]]:
             "unique_button_cnt_7d": V(m.distinct_in_days("button", 7)),
         },
         "j": {
-            "search_online_cnt_7d": D(col("btn_Search_cnt_7d")),
-            "search_quick_cnt_7d": D(col("btn_QuickSearchClicked_cnt_7d")),
-            "search_screen_cnt_7d": D(col(_screens_7d(c.SEARCH_SCREEN))),
+            "search_online_cnt_7d": D("btn_Search_cnt_7d"),
+            "search_quick_cnt_7d": D("btn_QuickSearchClicked_cnt_7d"),
+            "search_screen_cnt_7d": D(_screens_7d(c.SEARCH_SCREEN)),
             "used_search_7d": D(
-                col("cast(btn_Search_cnt_7d + btn_QuickSearchClicked_cnt_7d > 0 AS int)")
+                "cast(btn_Search_cnt_7d + btn_QuickSearchClicked_cnt_7d > 0 AS int)"
             ),
             "search_days_7d": V(m.days_with("n_search_buttons", 7)),
         },
         "k": {
-            "lyrics_screen_cnt_7d": D(col(_screens_7d(c.LYRICS_SCREEN))),
-            "audio_player_cnt_7d": D(col(_screens_7d(c.SONG_SCREEN))),
-            "playlist_cnt_7d": D(col(_screens_7d(*c.PLAYLIST_SCREENS))),
-            "queue_cnt_7d": D(col(_screens_7d(c.QUEUE_SCREEN))),
+            "lyrics_screen_cnt_7d": D(_screens_7d(c.LYRICS_SCREEN)),
+            "audio_player_cnt_7d": D(_screens_7d(c.SONG_SCREEN)),
+            "playlist_cnt_7d": D(_screens_7d(*c.PLAYLIST_SCREENS)),
+            "queue_cnt_7d": D(_screens_7d(c.QUEUE_SCREEN)),
             "audio_screen_ratio_7d": D(
                 m.safe_ratio(_screens_7d(*c.AUDIO_SCREENS), "_screen_views_7d")
             ),
         },
         "l": {
-            "video_player_cnt_7d": D(col(_screens_7d(c.VIDEO_SCREEN))),
-            "video_tab_cnt_7d": D(col(_screens_7d(c.VIDEO_TAB_SCREEN))),
-            "floating_video_cnt_7d": D(col(_screens_7d(c.FLOATING_VIDEO_SCREEN))),
+            "video_player_cnt_7d": D(_screens_7d(c.VIDEO_SCREEN)),
+            "video_tab_cnt_7d": D(_screens_7d(c.VIDEO_TAB_SCREEN)),
+            "floating_video_cnt_7d": D(_screens_7d(c.FLOATING_VIDEO_SCREEN)),
         },
         "m": {
             "seen_notification_permission": V(_any_screen(c.NOTIFICATION_SCREEN)),
@@ -232,7 +233,7 @@ def sections() -> dict[str, dict[str, Measure | OfFacets | Derived]]:
             "show_ad_cnt_7d": M(m.count_in_days("n_show_ad", 7)),
             "paid_ad_impression_cnt_7d": M(m.count_in_days("n_paid_ad", 7)),
             "ads_per_session_7d": D(m.safe_ratio("show_ad_cnt_7d", "session_cnt_7d")),
-            "ad_revenue_7d": M(m.sum_in_days("revenue", 7).cast("double")),
+            "ad_revenue_7d": M(f"cast({m.sum_in_days('revenue', 7)} AS double)"),
         },
         "o": {
             "iap_cnt_30d": M(m.count_in_days("n_purchases", 30)),
@@ -269,16 +270,40 @@ def sections() -> dict[str, dict[str, Measure | OfFacets | Derived]]:
             )),
         },
         "t": {
-            f"{dim}_uninstall_rate": D(F.lit(c.UNKNOWN_RATE)) for dim in c.RISK_DIMENSIONS
+            f"{dim}_uninstall_rate": D(f"cast({c.UNKNOWN_RATE} AS double)") for dim in c.RISK_DIMENSIONS
         },
     }
 
 
+SECTIONS = sections()
+FEATURES = {name: spec for part in SECTIONS.values() for name, spec in part.items()}
+AGGREGATES = {
+    **{n: spec for n, spec in FEATURES.items() if not isinstance(spec, Derived)}, **helpers(),
+}
+
+# Numerical inputs of the models, then the categories.
+MODEL_INPUTS = [n for n in FEATURES if n not in {*c.STORED_ONLY, *c.CATEGORICAL_FEATURES}] + list(
+    c.CATEGORICAL_FEATURES
+)
+
 Aggregates = dict[str, "Measure | OfFacets"]
 
 
-def aggregate_anchored(tables: DayTables, anchor, keys: tuple[str, ...],
-                       aggregates: Aggregates) -> DataFrame:
+def _names(sql: str) -> set[str]:
+    return set(re.findall(r"[A-Za-z_]\w*", sql))
+
+
+def aggregates_for(columns) -> Aggregates:
+    """The aggregates behind some features."""
+    needed: set[str] = set()
+    for name in columns:
+        spec = FEATURES.get(name)
+        needed |= _names(spec.sql) if isinstance(spec, Derived) else {name}
+    return {n: spec for n, spec in AGGREGATES.items() if n in needed}
+
+
+def _aggregate(tables: DayTables, anchor, keys: tuple[str, ...],
+               aggregates: Aggregates) -> DataFrame:
     """Aggregates per anchor; ``anchor`` turns day rows into anchored rows.
 
     The two kinds of rows are aggregated apart, so that neither carries the
@@ -287,35 +312,44 @@ def aggregate_anchored(tables: DayTables, anchor, keys: tuple[str, ...],
     """
     result = anchor(tables.measures).groupBy(*keys).agg(
         F.min("install_date").alias("install_date"),
-        *[s.column.alias(n) for n, s in aggregates.items() if isinstance(s, Measure)],
+        *[F.expr(s.sql).alias(n) for n, s in aggregates.items() if isinstance(s, Measure)],
     )
     of_facets = {n: s for n, s in aggregates.items() if isinstance(s, OfFacets)}
     if of_facets:
         rows = anchor(facet_rows(tables.values, tables.spec))
-        faceted = rows.groupBy(*keys).agg(*[s.column.alias(n) for n, s in of_facets.items()])
+        faceted = rows.groupBy(*keys).agg(
+            *[F.expr(s.sql).alias(n) for n, s in of_facets.items()]
+        )
         result = result.join(faceted, list(keys), "left").na.fill(
             {n: s.default for n, s in of_facets.items()}
         )
     return result
 
 
+def _tables(events: DataFrame | DayTables, scan, spec: Rollup,
+            aggregates: Aggregates) -> DayTables:
+    """Day tables of the scanned days, as far as the aggregates need them."""
+    used = set().union(*[_names(s.sql) for s in aggregates.values()]) if aggregates else set()
+    if isinstance(events, DayTables):
+        return events.between(*scan)._replace(spec=events.spec.only(used))
+    return day_tables(between_days(events, *scan), spec.only(used))
+
+
 def at_milestones(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates,
                   install_from, install_to, milestones=c.MILESTONES, *,
                   as_of=None, batch_bound: bool = False) -> DataFrame:
     """Any aggregates of a cohort at fixed ages."""
-    scan = anchors.milestone_scan(install_from, install_to, milestones)
     if isinstance(events, DayTables):
         cohort = anchors.rolled_up_cohort(events.measures, install_from, install_to)
-        tables = events.between(*scan)
     else:
         cohort = anchors.install_cohort(events, install_from, install_to)
-        tables = day_tables(between_days(events, *scan), spec)
 
     def anchor(rows: DataFrame) -> DataFrame:
         return anchors.milestone_rows(rows, cohort, milestones, as_of, batch_bound)
 
-    return aggregate_anchored(
-        tables, anchor, (USER, "milestone_day"), aggregates
+    scan = anchors.milestone_scan(install_from, install_to, milestones)
+    return _aggregate(
+        _tables(events, scan, spec, aggregates), anchor, (USER, "milestone_day"), aggregates
     ).withColumn("snapshot_date", F.expr("date_add(install_date, milestone_day)"))
 
 
@@ -323,15 +357,11 @@ def at_dates(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates
              dates) -> DataFrame:
     """Any aggregates at calendar dates, for users installed in the 30 days before each."""
     dates = sorted(anchors._day(x) for x in dates)
-    scan = anchors.calendar_scan(dates[0], dates[-1])
-    if isinstance(events, DayTables):
-        tables = events.between(*scan)
-    else:
-        tables = day_tables(between_days(events, *scan), spec)
+    tables = _tables(events, anchors.calendar_scan(dates[0], dates[-1]), spec, aggregates)
     tables = tables._replace(
         measures=tables.measures.withColumnRenamed("install_any", "install_date")
     )
-    result = aggregate_anchored(
+    result = _aggregate(
         tables, lambda rows: anchors.calendar_rows(rows, dates),
         (USER, "snapshot_date"), aggregates,
     )
@@ -341,65 +371,54 @@ def at_dates(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates
     )
 
 
-def feature_aggregates() -> Aggregates:
-    """All aggregates behind the features and the label."""
-    return {
-        **{n: s for part in sections().values() for n, s in part.items()
-           if not isinstance(s, Derived)},
-        **helpers(),
-    }
-
-
-def _finish(frame: DataFrame, exclude_churned: bool, as_of) -> DataFrame:
-    """Derived features in output order, and the label."""
-    if exclude_churned:
-        frame = frame.where("_churned = 0")
-    if as_of is not None:
+def _finish(frame: DataFrame, columns, as_of) -> DataFrame:
+    """Features in output order, the label last."""
+    if as_of is not None and c.LABEL in columns:
         # Unknown while the label window is open.
         closed = F.date_add("snapshot_date", c.LABEL_HORIZON) <= as_date(as_of)
         frame = frame.withColumn(c.LABEL, F.when(closed, F.col(c.LABEL)))
-    features = {n: s for part in sections().values() for n, s in part.items()}
     return frame.select(
         "snapshot_date", USER, "install_date", "milestone_day",
-        *[s.column.alias(n) if isinstance(s, Derived) else n for n, s in features.items()],
-        c.LABEL,
+        *[F.expr(FEATURES[n].sql).alias(n) if isinstance(FEATURES.get(n), Derived) else n
+          for n in columns],
     )
 
 
+ALL_COLUMNS = (*FEATURES, c.LABEL)
+
+
 def milestone_features(events: DataFrame | DayTables, install_from, install_to,
-                       milestones=c.MILESTONES, *, exclude_churned: bool = True,
-                       as_of=None, batch_bound: bool = False) -> DataFrame:
+                       milestones=c.MILESTONES, *, columns=ALL_COLUMNS,
+                       exclude_churned: bool = True, as_of=None,
+                       batch_bound: bool = False) -> DataFrame:
     """Feature rows at fixed ages, all milestones in one job.
 
-    Users who removed the app before an anchor are left out of it.
+    Users who removed the app before an anchor are left out of it.  With fewer
+    ``columns`` only what these need is read and shuffled.
     """
+    needed = aggregates_for([*columns, "_churned"] if exclude_churned else columns)
     frame = at_milestones(
-        events, CHURN_ROLLUP, feature_aggregates(), install_from, install_to, milestones,
+        events, CHURN_ROLLUP, needed, install_from, install_to, milestones,
         as_of=as_of, batch_bound=batch_bound,
     )
-    return _finish(frame, exclude_churned, as_of)
+    if exclude_churned:
+        frame = frame.where("_churned = 0")
+    return _finish(frame, columns, as_of)
 
 
-def calendar_range(events: DataFrame | DayTables, dates, *, exclude_churned: bool = False,
-                   require_past_event: bool = False, as_of=None) -> DataFrame:
+def calendar_range(events: DataFrame | DayTables, dates, *, columns=ALL_COLUMNS,
+                   exclude_churned: bool = False, require_past_event: bool = False,
+                   as_of=None) -> DataFrame:
     """Feature rows at calendar dates, all dates in one job."""
-    frame = at_dates(events, CHURN_ROLLUP, feature_aggregates(), dates)
+    extra = ["_churned"] * exclude_churned + ["hours_since_last_session"] * require_past_event
+    frame = at_dates(events, CHURN_ROLLUP, aggregates_for([*columns, *extra]), dates)
+    if exclude_churned:
+        frame = frame.where("_churned = 0")
     if require_past_event:
         frame = frame.where(F.col("hours_since_last_session") < c.NEVER_HOURS)
-    return _finish(frame, exclude_churned, as_of)
+    return _finish(frame, columns, as_of)
 
 
 def calendar_features(events: DataFrame | DayTables, snapshot_date, **options) -> DataFrame:
     """Feature rows of everyone installed in the 30 days up to one date."""
     return calendar_range(events, [snapshot_date], **options)
-
-
-def feature_names() -> list[str]:
-    """All stored features in order."""
-    return [n for part in sections().values() for n in part]
-
-
-def model_inputs() -> list[str]:
-    """Numerical inputs, then the categories."""
-    skipped = {*c.STORED_ONLY, *c.CATEGORICAL_FEATURES}
-    return [n for n in feature_names() if n not in skipped] + list(c.CATEGORICAL_FEATURES)

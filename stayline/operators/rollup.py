@@ -24,7 +24,7 @@ before that day.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -65,6 +65,24 @@ class Rollup:
     # Attributes for which '' is a value like any other.
     allow_empty: tuple[str, ...] = ()
 
+    def only(self, used: set[str]) -> Rollup:
+        """The part of the rollup that delivers the day columns in ``used``."""
+
+        def part(columns: Mapping[str, str]) -> dict[str, str]:
+            return {n: x for n, x in columns.items() if n in used}
+
+        facets = {}
+        for kind, facet in self.facets.items():
+            counts = part(facet.counts)
+            ends = facet.ends and not used.isdisjoint({f"first_{kind}", f"latest_{kind}"})
+            if counts or ends or f"distinct_{kind}" in used:
+                facets[kind] = replace(facet, counts=counts, ends=ends)
+        return replace(
+            self, counts=part(self.counts), sums=part(self.sums), maxima=part(self.maxima),
+            attributes={n: x for n, x in self.attributes.items() if f"latest_{n}" in used},
+            facets=facets,
+        )
+
 
 class DayTables(NamedTuple):
     """The two reduced tables of one rollup."""
@@ -121,9 +139,8 @@ def measure_rows(events: DataFrame, spec: Rollup) -> DataFrame:
 
 def value_rows(events: DataFrame, spec: Rollup) -> DataFrame:
     """One row per user, kind, value and day."""
-    facets = spec.facets.values()
-    pairs = ", ".join(f"{i}, {facet.value}" for i, facet in enumerate(facets))
-    wanted = " OR ".join(f"({facet.value}) IS NOT NULL" for facet in facets)
+    pairs = ", ".join(f"'{kind}', {facet.value}" for kind, facet in spec.facets.items())
+    wanted = " OR ".join(f"({facet.value}) IS NOT NULL" for facet in spec.facets.values())
     return (
         events.where(wanted)
         .select(USER, DAY, "event_timestamp",
@@ -138,25 +155,26 @@ def value_rows(events: DataFrame, spec: Rollup) -> DataFrame:
 
 def facet_rows(values: DataFrame, spec: Rollup) -> DataFrame:
     """One row per user, day and gap; at most ``FAR_GAP`` rows per user and day."""
+    values = values.where(F.col("kind").isin(*spec.facets))
     # One row per day and value, so a window partition is bounded by the scan.
     again = F.lead(DAY).over(Window.partitionBy(USER, "kind", "value").orderBy(DAY))
     gapped = values.withColumn(
         "gap", F.least(F.coalesce(F.datediff(again, DAY), F.lit(FAR_GAP)), F.lit(FAR_GAP))
     )
     measures = []
-    for i, (kind, facet) in enumerate(spec.facets.items()):
+    for kind, facet in spec.facets.items():
         measures.append(
-            F.expr(f"sum(CASE WHEN kind = {i} THEN 1L ELSE 0L END)").alias(f"distinct_{kind}")
+            F.expr(f"sum(CASE WHEN kind = '{kind}' THEN 1L ELSE 0L END)").alias(f"distinct_{kind}")
         )
         measures += [
-            F.expr(f"sum(CASE WHEN kind = {i} AND {pred} THEN n ELSE 0L END)").alias(name)
+            F.expr(f"sum(CASE WHEN kind = '{kind}' AND {pred} THEN n ELSE 0L END)").alias(name)
             for name, pred in facet.counts.items()
         ]
         if facet.ends:
             measures += [
-                F.expr(f"min(CASE WHEN kind = {i} THEN struct(first_at AS at, value) END)")
+                F.expr(f"min(CASE WHEN kind = '{kind}' THEN struct(first_at AS at, value) END)")
                 .alias(f"first_{kind}"),
-                F.expr(f"max(CASE WHEN kind = {i} THEN struct(last_at AS at, value) END)")
+                F.expr(f"max(CASE WHEN kind = '{kind}' THEN struct(last_at AS at, value) END)")
                 .alias(f"latest_{kind}"),
             ]
     return gapped.groupBy(USER, DAY, "gap").agg(*measures)

@@ -39,7 +39,7 @@ class Workspace:
 
 def init_tables(spark: SparkSession, ws: Workspace) -> None:
     """Create the tables that do not exist yet."""
-    schema = tables.store_schema(features.feature_names())
+    schema = tables.store_schema(features.FEATURES)
     tables.create_table(spark, ws.path("features"), schema, tables.SLICE)
     tables.create_table(spark, ws.path("risk_baseline"), tables.RISK_SCHEMA, ("dimension",))
     tables.create_table(
@@ -141,7 +141,7 @@ def train_models(spark: SparkSession, ws: Workspace, as_of, *, kind: str = "mile
                  ratio: float = c.TRAIN_RATIO, **overrides) -> DataFrame:
     """Train, compare and save; returns the metrics, best model first."""
     run_id = str(as_of)
-    inputs = features.model_inputs()
+    inputs = features.MODEL_INPUTS
     rows = dataset.training_set(ws.store(spark), as_of, kind)
     rows = dataset.require_rows(rows, "the training set")
     train_rows, valid_rows = dataset.time_split(rows, ratio, embargo_days)
@@ -208,7 +208,7 @@ def score_day(spark: SparkSession, ws: Workspace, events, day) -> DataFrame:
     primary = scoring.choose_model(known, trained)
     predictions = scoring.score(
         snapshot, spark.read.parquet(ws.path("dictionary")), trained, primary,
-        features.model_inputs(),
+        features.MODEL_INPUTS,
     )
     tables.write_predictions(predictions, ws.path("predictions"))
     return spark.read.parquet(ws.path("predictions")).where(

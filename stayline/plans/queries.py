@@ -136,7 +136,7 @@ def store_scan_latest(spark, sf_dir):
 
 @query
 def store_project(spark, sf_dir):
-    return feature_store(spark, sf_dir).select(*KEYS, *f.model_inputs(), c.LABEL)
+    return feature_store(spark, sf_dir).select(*KEYS, *f.MODEL_INPUTS, c.LABEL)
 
 
 @query
@@ -322,7 +322,7 @@ def sum_where_window(spark, sf_dir):
     return _at(spark, sf_dir, spec, {
         "engagement_time_ms_7d": Measure(m.count_in_days("engagement", 7)),
         "engagement_time_ms_30d": Measure(m.count_in_days("engagement", 30)),
-        "ad_revenue_7d": Measure(m.sum_in_days("revenue", 7).cast("double")),
+        "ad_revenue_7d": Measure(f"cast({m.sum_in_days('revenue', 7)} AS double)"),
     })
 
 
@@ -372,8 +372,8 @@ def both_flag(spark, sf_dir):
         n: Measure(m.ever(n)) for n in ("n_home", "n_search", "n_lyrics", "n_exit")
     })
     return rows.select(
-        *KEYS, m.both("n_home", "n_search").alias("home_to_search_flag"),
-        m.both("n_lyrics", "n_exit").alias("lyrics_to_exit_flag"),
+        *KEYS, F.expr(m.both("n_home", "n_search")).alias("home_to_search_flag"),
+        F.expr(m.both("n_lyrics", "n_exit")).alias("lyrics_to_exit_flag"),
     )
 
 
@@ -381,7 +381,7 @@ def both_flag(spark, sf_dir):
 def funnel_depth(spark, sf_dir):
     steps = ("n_home", "n_main", "n_lyrics", "n_search", "n_playlist")
     rows = _at(spark, sf_dir, _FLAG_ROLLUP, {n: Measure(m.ever(n)) for n in steps})
-    return rows.select(*KEYS, m.funnel_depth(*steps).alias("funnel_depth"))
+    return rows.select(*KEYS, F.expr(m.funnel_depth(*steps)).alias("funnel_depth"))
 
 
 _RATIO_ROLLUP = Rollup(
@@ -398,8 +398,8 @@ def safe_ratio(spark, sf_dir):
         "sessions": OfFacets(m.distinct_in_days("session", 7)),
     })
     return rows.select(
-        *KEYS, m.safe_ratio("ads", "sessions").alias("ads_per_session_7d"),
-        m.safe_ratio("sessions", "days").alias("avg_sessions_per_day_7d"),
+        *KEYS, F.expr(m.safe_ratio("ads", "sessions")).alias("ads_per_session_7d"),
+        F.expr(m.safe_ratio("sessions", "days")).alias("avg_sessions_per_day_7d"),
     )
 
 
@@ -412,18 +412,19 @@ def trend_ratio(spark, sf_dir):
         "s0": OfFacets(m.distinct_in_days("session", 14, first_day=8)),
     })
     return rows.select(
-        *KEYS, m.trend_ratio("s", "s0").alias("session_trend_7d"),
-        m.trend_ratio("e", "e0").alias("engagement_trend_7d"),
+        *KEYS, F.expr(m.trend_ratio("s", "s0")).alias("session_trend_7d"),
+        F.expr(m.trend_ratio("e", "e0")).alias("engagement_trend_7d"),
     )
 
 
 @query
 def vocab_counts(spark, sf_dir):
-    rows = f.milestone_features(
-        flat_events(spark, sf_dir), INSTALL_FROM, INSTALL_TO, exclude_churned=False
+    counted = [x for x in f.FEATURES
+               if x.startswith(("screen_", "btn_")) and x.endswith("_cnt_7d")]
+    return f.milestone_features(
+        flat_events(spark, sf_dir), INSTALL_FROM, INSTALL_TO, columns=counted,
+        exclude_churned=False,
     )
-    return rows.select(*KEYS, *[x for x in rows.columns
-                                if x.startswith(("screen_", "btn_")) and x.endswith("_cnt_7d")])
 
 
 @query
@@ -468,10 +469,10 @@ def milestone_features_from_days(spark, sf_dir):
 
 def _section(mode, name):
     def run(spark, sf_dir):
-        rows = QUERIES["milestone_features" if mode == "milestone" else "calendar_range"](
-            spark, sf_dir
-        )
-        return rows.select(*KEYS, *f.sections()[name])
+        events, columns = flat_events(spark, sf_dir), list(f.SECTIONS[name])
+        if mode == "milestone":
+            return f.milestone_features(events, INSTALL_FROM, INSTALL_TO, columns=columns)
+        return f.calendar_range(events, SNAPSHOTS, columns=columns)
     return run
 
 
@@ -601,7 +602,7 @@ def history_dictionary(spark, sf_dir):
 
 @query
 def assemble(spark, sf_dir):
-    inputs = f.model_inputs()
+    inputs = f.MODEL_INPUTS
     rows = training_rows(spark, sf_dir)
     encoded = encoding.apply_ordinal(rows, encoding.fit_ordinal(rows))
     vectors = encoding.assemble(encoded, inputs).select(
@@ -621,10 +622,18 @@ _trained: dict = {}
 
 
 def _encoded_split(spark, sf_dir):
-    train, valid = dataset.time_split(training_rows(spark, sf_dir))
-    dictionary = encoding.fit_ordinal(train)
-    return (encoding.apply_ordinal(train, dictionary), encoding.apply_ordinal(valid, dictionary),
-            dictionary)
+    """Encoded train and validation rows and the dictionary, written once."""
+    ws = workspace(spark, sf_dir)
+    names = ("encoded/train", "encoded/valid", "dictionary")
+    if not ws.exists(spark, "encoded/valid"):
+        train, valid = dataset.time_split(training_rows(spark, sf_dir))
+        encoding.fit_ordinal(train).write.mode("overwrite").parquet(ws.path("dictionary"))
+        dictionary = spark.read.parquet(ws.path("dictionary"))
+        for name, rows in zip(names, (train, valid)):
+            encoding.apply_ordinal(rows, dictionary).write.mode("overwrite").parquet(
+                ws.path(name)
+            )
+    return [spark.read.parquet(ws.path(name)) for name in names]
 
 
 def _quick_model(spark, sf_dir, name):
@@ -634,7 +643,7 @@ def _quick_model(spark, sf_dir, name):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _trained:
         _trained[key] = models.train(
-            models.MODELS[name], train, valid, f.model_inputs(), sizes, **_QUICK
+            models.MODELS[name], train, valid, f.MODEL_INPUTS, sizes, **_QUICK
         )
     return _trained[key], valid, sizes
 
@@ -643,7 +652,7 @@ def _held_out(name):
     def run(spark, sf_dir):
         model, valid, sizes = _quick_model(spark, sf_dir, name)
         return models.probability(
-            model, valid, f.model_inputs(), sizes, models.MODELS[name].nominal, "score"
+            model, valid, f.MODEL_INPUTS, sizes, models.MODELS[name].nominal, "score"
         ).select(*KEYS, c.LABEL, "score")
     return run
 
@@ -655,7 +664,7 @@ for _name in c.MODEL_NAMES:
 @query
 def feature_importance(spark, sf_dir):
     model, valid, sizes = _quick_model(spark, sf_dir, "gbt_a")
-    return models.top(models.feature_importance(model, valid, f.model_inputs(), sizes))
+    return models.top(models.feature_importance(model, valid, f.MODEL_INPUTS, sizes))
 
 
 @query
@@ -663,7 +672,7 @@ def write_importance(spark, sf_dir):
     path = scratch(spark)
     model, valid, sizes = _quick_model(spark, sf_dir, "gbt_b")
     tables.write_importance(
-        models.feature_importance(model, valid, f.model_inputs(), sizes), path
+        models.feature_importance(model, valid, f.MODEL_INPUTS, sizes), path
     )
     return spark.read.csv(path, header=True, schema="feature string, importance double")
 
@@ -677,15 +686,13 @@ def choose_model(spark, sf_dir):
 
 @query
 def score(spark, sf_dir):
-    train, _ = dataset.time_split(training_rows(spark, sf_dir))
+    dictionary = _encoded_split(spark, sf_dir)[2]
     trained = {"gbt_a": _quick_model(spark, sf_dir, "gbt_a")[0],
                "gbt_c": _quick_model(spark, sf_dir, "gbt_c")[0]}
     snapshot = feature_store(spark, sf_dir).where(
         (F.col("milestone_day") == 0) & (F.col("snapshot_date") == as_date(SNAPSHOTS[-1]))
     )
-    return scoring.score(
-        snapshot, encoding.fit_ordinal(train), trained, "gbt_a", f.model_inputs()
-    )
+    return scoring.score(snapshot, dictionary, trained, "gbt_a", f.MODEL_INPUTS)
 
 
 @query
