@@ -312,13 +312,13 @@ def _aggregate(tables: DayTables, anchor, keys: tuple[str, ...],
     """
     result = anchor(tables.measures).groupBy(*keys).agg(
         F.min("install_date").alias("install_date"),
-        *[F.expr(s.sql).alias(n) for n, s in aggregates.items() if isinstance(s, Measure)],
+        *[F.expr(f"{s.sql} AS {n}") for n, s in aggregates.items() if isinstance(s, Measure)],
     )
     of_facets = {n: s for n, s in aggregates.items() if isinstance(s, OfFacets)}
     if of_facets:
         rows = anchor(facet_rows(tables.values, tables.spec))
         faceted = rows.groupBy(*keys).agg(
-            *[F.expr(s.sql).alias(n) for n, s in of_facets.items()]
+            *[F.expr(f"{s.sql} AS {n}") for n, s in of_facets.items()]
         )
         result = result.join(faceted, list(keys), "left").na.fill(
             {n: s.default for n, s in of_facets.items()}
@@ -377,9 +377,9 @@ def _finish(frame: DataFrame, columns, as_of) -> DataFrame:
         # Unknown while the label window is open.
         closed = F.date_add("snapshot_date", c.LABEL_HORIZON) <= as_date(as_of)
         frame = frame.withColumn(c.LABEL, F.when(closed, F.col(c.LABEL)))
-    return frame.select(
+    return frame.selectExpr(
         "snapshot_date", USER, "install_date", "milestone_day",
-        *[F.expr(FEATURES[n].sql).alias(n) if isinstance(FEATURES.get(n), Derived) else n
+        *[f"{FEATURES[n].sql} AS {n}" if isinstance(FEATURES.get(n), Derived) else n
           for n in columns],
     )
 

@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -104,37 +104,37 @@ def day_tables(events: DataFrame, spec: Rollup) -> DayTables:
 
 def measure_rows(events: DataFrame, spec: Rollup) -> DataFrame:
     """One row per user and day."""
-    attributes = list(spec.attributes)
-    measures = [F.expr(f"sum(CASE WHEN {cond} THEN 1L ELSE 0L END)").alias(name)
-                for name, cond in spec.counts.items()]
-    measures += [F.expr(f"sum({x})").alias(name) for name, x in spec.sums.items()]
-    measures += [F.expr(f"max({x})").alias(name) for name, x in spec.maxima.items()]
-    installed = F.expr("cast(install_date AS date)")
-    measures += [
-        F.min(installed).alias("install_any"),
-        F.min(F.when(F.abs(F.datediff(DAY, installed)) <= 1, installed)).alias("install_near"),
+    installed = "cast(install_date AS date)"
+    measures = [
+        *[f"sum(CASE WHEN {cond} THEN 1L ELSE 0L END) AS {n}" for n, cond in spec.counts.items()],
+        *[f"sum({x}) AS {n}" for n, x in spec.sums.items()],
+        *[f"max({x}) AS {n}" for n, x in spec.maxima.items()],
+        f"min({installed}) AS install_any",
+        f"min(CASE WHEN abs(datediff({DAY}, {installed})) <= 1 THEN {installed} END)"
+        " AS install_near",
     ]
-    if not attributes:
-        return events.groupBy(USER, DAY).agg(*measures)
+    if not spec.attributes:
+        return events.groupBy(USER, DAY).agg(*map(F.expr, measures))
 
     # The attributes hardly change within a day, so grouping by them as they
     # are keeps numeric buffers only: a hash aggregate with map-side combine.
     # Only its few result rows go through the aggregate over strings.
     tuples = events.groupBy(
-        USER, DAY, *[F.col(column).alias(f"a_{name}")
-                     for name, column in spec.attributes.items()]
-    ).agg(*measures, F.max("event_timestamp").alias("seen"))
+        USER, DAY, *[F.expr(f"{x} AS a_{n}") for n, x in spec.attributes.items()]
+    ).agg(*map(F.expr, measures), F.expr("max(event_timestamp) AS seen"))
 
-    def latest(name: str) -> Column:
+    def latest(name: str) -> str:
         usable = f"a_{name} IS NOT NULL" if name in spec.allow_empty else f"a_{name} <> ''"
-        return F.expr(
-            f"max(CASE WHEN {usable} THEN struct(seen AS at, a_{name} AS value) END)"
-        ).alias(f"latest_{name}")
-
-    merged = [F.sum(n).alias(n) for n in (*spec.counts, *spec.sums)]
-    merged += [F.max(n).alias(n) for n in spec.maxima]
-    merged += [F.min(n).alias(n) for n in ("install_any", "install_near")]
-    return tuples.groupBy(USER, DAY).agg(*merged, *[latest(n) for n in attributes])
+        return (f"max(CASE WHEN {usable} THEN struct(seen AS at, a_{name} AS value) END)"
+                f" AS latest_{name}")
+
+    merged = [
+        *[f"sum({n}) AS {n}" for n in (*spec.counts, *spec.sums)],
+        *[f"max({n}) AS {n}" for n in spec.maxima],
+        *[f"min({n}) AS {n}" for n in ("install_any", "install_near")],
+        *[latest(n) for n in spec.attributes],
+    ]
+    return tuples.groupBy(USER, DAY).agg(*map(F.expr, merged))
 
 
 def value_rows(events: DataFrame, spec: Rollup) -> DataFrame:
@@ -163,18 +163,13 @@ def facet_rows(values: DataFrame, spec: Rollup) -> DataFrame:
     )
     measures = []
     for kind, facet in spec.facets.items():
-        measures.append(
-            F.expr(f"sum(CASE WHEN kind = '{kind}' THEN 1L ELSE 0L END)").alias(f"distinct_{kind}")
-        )
-        measures += [
-            F.expr(f"sum(CASE WHEN kind = '{kind}' AND {pred} THEN n ELSE 0L END)").alias(name)
-            for name, pred in facet.counts.items()
-        ]
+        own = f"CASE WHEN kind = '{kind}'"
+        measures.append(f"sum({own} THEN 1L ELSE 0L END) AS distinct_{kind}")
+        measures += [f"sum({own} AND {pred} THEN n ELSE 0L END) AS {name}"
+                     for name, pred in facet.counts.items()]
         if facet.ends:
             measures += [
-                F.expr(f"min(CASE WHEN kind = '{kind}' THEN struct(first_at AS at, value) END)")
-                .alias(f"first_{kind}"),
-                F.expr(f"max(CASE WHEN kind = '{kind}' THEN struct(last_at AS at, value) END)")
-                .alias(f"latest_{kind}"),
+                f"min({own} THEN struct(first_at AS at, value) END) AS first_{kind}",
+                f"max({own} THEN struct(last_at AS at, value) END) AS latest_{kind}",
             ]
-    return gapped.groupBy(USER, DAY, "gap").agg(*measures)
+    return gapped.groupBy(USER, DAY, "gap").agg(*map(F.expr, measures))
