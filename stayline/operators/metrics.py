@@ -30,7 +30,7 @@ def ranking_curve(groups: DataFrame, by=(), buckets: int = BUCKETS) -> DataFrame
     """Groups with ``pos_ge`` and ``neg_ge``: counts at this score or above."""
     by = list(by)
     steps = [i / buckets for i in range(1, buckets)]
-    borders = sorted(set(groups.approxQuantile("score", steps, 1 / (2 * buckets))))
+    borders = sorted(set(groups.approxQuantile("score", steps, 1 / (2 * buckets)) if steps else []))
     # Number of borders at or below the score.
     bucket = F.lit(0)
     if borders:

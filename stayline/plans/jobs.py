@@ -34,7 +34,16 @@ class Workspace:
         return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
     def store(self, spark: SparkSession) -> DataFrame:
-        return tables.read_store(spark, self.path("features"))
+        return tables.read_store(spark, self.path("features"), features.FEATURES)
+
+    def baseline(self, spark: SparkSession) -> DataFrame:
+        return tables.read_table(spark, self.path("risk_baseline"), tables.RISK_SCHEMA)
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        return tables.read_table(spark, self.path("metrics"), tables.METRICS_SCHEMA)
+
+    def predictions(self, spark: SparkSession) -> DataFrame:
+        return tables.read_table(spark, self.path("predictions"), tables.PREDICTION_SCHEMA)
 
 
 def init_tables(spark: SparkSession, ws: Workspace) -> None:
@@ -126,11 +135,10 @@ def build_risk(spark: SparkSession, ws: Workspace, cutoff, *, min_n: int = c.MIN
         "updated_at", F.current_timestamp()
     )
     if ws.exists(spark, "risk_baseline"):
-        new = encoding.merge_baseline(spark.read.parquet(ws.path("risk_baseline")), new)
+        new = encoding.merge_baseline(ws.baseline(spark), new)
     tables.write_risk_baseline(new, ws.path("risk_baseline"))
-    baseline = spark.read.parquet(ws.path("risk_baseline"))
     recent = ws.store(spark).where(F.col("snapshot_date") >= as_date(first_date or cutoff))
-    tables.write_slices(encoding.apply_risk(recent, baseline), ws.path("features"))
+    tables.write_slices(encoding.apply_risk(recent, ws.baseline(spark)), ws.path("features"))
 
 
 # --- training --------------------------------------------------------------
@@ -182,7 +190,7 @@ def train_models(spark: SparkSession, ws: Workspace, as_of, *, kind: str = "mile
     tables.write_metrics(compared, ws.path("metrics"))
     report = metrics.segment_analysis(scored.where(F.col("model") == names[0]))
     report.write.mode("overwrite").parquet(ws.path("segments"))
-    return spark.read.parquet(ws.path("metrics")).where(F.col("run_id") == run_id)
+    return ws.metrics(spark).where(F.col("run_id") == run_id)
 
 
 # --- scoring ---------------------------------------------------------------
@@ -201,19 +209,17 @@ def score_day(spark: SparkSession, ws: Workspace, events, day) -> DataFrame:
         f"the snapshot of {day}",
     )
     if ws.exists(spark, "risk_baseline"):
-        snapshot = encoding.apply_risk(snapshot, spark.read.parquet(ws.path("risk_baseline")))
+        snapshot = encoding.apply_risk(snapshot, ws.baseline(spark))
     trained = {n: models.load_model(ws.path(f"models/{n}"))
                for n in c.MODEL_NAMES if ws.exists(spark, f"models/{n}")}
-    known = spark.read.parquet(ws.path("metrics")) if ws.exists(spark, "metrics") else None
+    known = ws.metrics(spark) if ws.exists(spark, "metrics") else None
     primary = scoring.choose_model(known, trained)
     predictions = scoring.score(
         snapshot, spark.read.parquet(ws.path("dictionary")), trained, primary,
         features.MODEL_INPUTS,
     )
     tables.write_predictions(predictions, ws.path("predictions"))
-    return spark.read.parquet(ws.path("predictions")).where(
-        F.col("prediction_date") == as_date(day)
-    )
+    return ws.predictions(spark).where(F.col("prediction_date") == as_date(day))
 
 
 # --- schedules -------------------------------------------------------------

@@ -174,7 +174,7 @@ def table_schema(spark, sf_dir):
     store = feature_store(spark, sf_dir)
     tables.write_slices(store.where("milestone_day > 0").drop(*added), path)
     tables.write_slices(store.where("milestone_day = 0"), path)
-    return tables.read_store(spark, path).na.fill(0, added).select(*KEYS, *added)
+    return tables.read_store(spark, path, f.FEATURES).select(*KEYS, *added)
 
 
 # --- anchors and cohorts ---------------------------------------------------
@@ -508,7 +508,7 @@ def replace_slice(spark, sf_dir):
         (F.col("milestone_day") == milestone) & (F.col("snapshot_date") == as_date(day))
     )
     tables.write_slices(one.where("session_cnt_30d > 0").withColumn(c.LABEL, F.lit(1)), path)
-    return tables.read_store(spark, path).select(*KEYS, c.LABEL, "session_cnt_30d")
+    return tables.read_store(spark, path, f.FEATURES).select(*KEYS, c.LABEL, "session_cnt_30d")
 
 
 @query

@@ -84,6 +84,8 @@ def create_table(spark: SparkSession, path: str, schema, partitions=()) -> None:
     """Create an empty table; an existing one is left alone."""
     empty = spark.createDataFrame([], schema)
     empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
+METRICS_SCHEMA = """run_id string, model string, auc_roc double, auc_pr double,
+    precision double, recall double, f1 double, rank int, is_best int"""
 
 
 # --- slices ----------------------------------------------------------------
@@ -110,13 +112,35 @@ def write_features(features: DataFrame, path: str) -> None:
     write_slices(features.withColumn("created_at", F.current_timestamp()), path)
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The feature store; partition columns get their declared types."""
-    return spark.read.option("mergeSchema", "true").parquet(path).withColumn(
-        "milestone_day", F.col("milestone_day").cast("int")
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table with its declared schema.
+
+    No file is opened for it, an empty table can be read, and columns added
+    after a slice was written are null there.
+    """
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_store(spark: SparkSession, path: str, features) -> DataFrame:
+    """The feature store; features a slice was written without get their default."""
+    schema = store_schema(features)
+    store = read_table(spark, path, schema)
+    return store.na.fill(
+        {x.name: default_value(x.name) for x in schema if x.name in set(features)}
     )
 
 
+def default_value(feature: str):
+    """What a feature is without any event."""
+    if isinstance(_feature_type(feature), T.StringType):
+        return ""
+    if feature.startswith("hours_since_last"):
+        return c.NEVER_HOURS
+    if feature.endswith("_uninstall_rate"):
+        return c.UNKNOWN_RATE
+    return 1.0 if feature.endswith("_trend_7d") else 0
+
+
 def latest_version(frame: DataFrame, keys, version) -> DataFrame:
     """Keep the newest row per key.
 
