@@ -26,11 +26,16 @@ def snapshot_dates(first, last, step: int = 1) -> list[date]:
     return [first + timedelta(days=n) for n in range(0, (last - first).days + 1, step)]
 
 
-def milestone_scan(install_from, install_to, milestones=c.MILESTONES) -> tuple[date, date]:
-    """First and last event day that a milestone build can read."""
+def milestone_slices(install_from, install_to, milestones=c.MILESTONES) -> list[tuple[date, int]]:
+    """(install day, milestone) pairs of a range."""
+    return [(day, m) for day in snapshot_dates(install_from, install_to) for m in milestones]
+
+
+def milestone_scan(slices) -> tuple[date, date]:
+    """First and last event day that a build of these slices can read."""
     return (
-        _day(install_from) - timedelta(days=c.FEATURE_WINDOW),
-        _day(install_to) + timedelta(days=max(milestones) + c.LABEL_HORIZON - 1),
+        min(day for day, _ in slices) - timedelta(days=c.FEATURE_WINDOW),
+        max(day + timedelta(days=m) for day, m in slices) + timedelta(days=c.LABEL_HORIZON - 1),
     )
 
 
@@ -42,23 +47,24 @@ def calendar_scan(first, last) -> tuple[date, date]:
     )
 
 
-def milestone_rows(rows: DataFrame, cohort: DataFrame, milestones=c.MILESTONES,
-                   as_of=None, batch_bound: bool = False) -> DataFrame:
-    """Day rows of the cohort, once per milestone, with ``d``.
+def milestone_rows(rows: DataFrame, anchors: DataFrame, as_of=None,
+                   batch_bound: bool = False) -> DataFrame:
+    """Day rows of the anchored users, once per milestone, with ``d``.
 
-    Both sides hold a bounded number of rows per user.  Adaptive execution
-    broadcasts the cohort when it turns out small, as in a daily run; for a
-    full rebuild it is a shuffled join by user, whose partitioning the
-    following aggregate uses again.
+    ``anchors`` has one row per user with the install date and an array of
+    milestones.  Both sides hold a bounded number of rows per user.  Adaptive
+    execution broadcasts the anchors when they turn out small, as in a daily
+    run; for a full rebuild it is a shuffled join by user, whose partitioning
+    the following aggregate uses again.
 
     ``batch_bound`` keeps everything the scan delivered instead of the 30 days
     before the user's install.  ``as_of`` drops anchors that lie in the future.
     """
-    joined = rows.join(cohort, USER)
+    joined = rows.join(anchors, USER)
     if not batch_bound:
         joined = joined.where(F.col(DAY) >= F.date_sub("install_date", c.FEATURE_WINDOW))
     anchored = (
-        joined.withColumn("milestone_day", F.explode(F.lit(list(milestones))))
+        joined.withColumn("milestone_day", F.explode("milestones")).drop("milestones")
         .withColumn("d", F.expr(f"datediff(install_date, {DAY}) + milestone_day"))
         .where(F.col("d") > -c.LABEL_HORIZON)
     )
@@ -69,6 +75,20 @@ def milestone_rows(rows: DataFrame, cohort: DataFrame, milestones=c.MILESTONES,
     return anchored
 
 
+def with_milestones(cohort: DataFrame, slices) -> DataFrame:
+    """The cohort with the milestones due for each install day, as an array."""
+    due: dict[date, list[int]] = {}
+    for day, milestone in slices:
+        due.setdefault(day, []).append(milestone)
+    if len({tuple(x) for x in due.values()}) == 1 and len(due) == (max(due) - min(due)).days + 1:
+        return cohort.withColumn("milestones", F.lit(next(iter(due.values()))))
+    # One row per install day.
+    table = cohort.sparkSession.createDataFrame(
+        list(due.items()), "install_date date, milestones array<int>"
+    )
+    return cohort.join(F.broadcast(table), "install_date")
+
+
 def calendar_rows(rows: DataFrame, dates) -> DataFrame:
     """Day rows, once per snapshot date whose windows contain the day.
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stayline import config as c
 from stayline.operators.lookup import is_small, lookup
 from stayline.operators.rollup import USER
+from stayline.operators.running import BUCKETS, running_totals
 from stayline.sources.events import as_date
 from stayline.sources.store import latest_version
 
@@ -96,16 +96,26 @@ def update_from(store: DataFrame, baseline: DataFrame, first_date,
 def fit_ordinal(train: DataFrame, columns=c.CATEGORICAL_FEATURES) -> DataFrame:
     """Dictionary ``(feature, value, code)``: rank among the sorted train values.
 
-    Values are made distinct before they are ranked.
+    Values are made distinct first.  All features are ranked together, as one
+    order over ``(feature, value)``; a code is the rank less that of the
+    feature's first value.
     """
     values = (
         _unpivot(train, columns)
         .select(F.col("name").alias("feature"),
                 F.coalesce("value", F.lit(c.MISSING_CATEGORY)).alias("value"))
         .distinct()
+        .withColumn("key", F.concat_ws("\0", "feature", "value"))
+        .withColumn("one", F.lit(1))
+    )
+    # A pseudo-random sample of bounded size.
+    sample = values.orderBy(F.xxhash64("key"), "key").select("key").limit(BUCKETS - 1)
+    borders = sorted(r.key for r in sample.collect())
+    ranked = running_totals(values, "key", borders, {"rank": "one"})
+    first = ranked.groupBy("feature").agg(F.min("rank").alias("first_rank"))
+    return ranked.join(first, "feature").select(
+        "feature", "value", (F.col("rank") - F.col("first_rank")).cast("int").alias("code")
     )
-    rank = F.row_number().over(Window.partitionBy("feature").orderBy("value"))
-    return values.withColumn("code", rank - 1)
 
 
 def apply_ordinal(frame: DataFrame, dictionary: DataFrame,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stayline import config as c
 from stayline.functions import measures as m
 from stayline.operators import anchors
+from stayline.operators.lookup import is_small
 from stayline.operators.rollup import (
     USER, DayTables, Facet, Rollup, day_tables, facet_rows,
 )
@@ -336,18 +337,26 @@ def _tables(events: DataFrame | DayTables, scan, spec: Rollup,
 
 
 def at_milestones(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates,
-                  install_from, install_to, milestones=c.MILESTONES, *,
-                  as_of=None, batch_bound: bool = False) -> DataFrame:
-    """Any aggregates of a cohort at fixed ages."""
+                  slices, *, as_of=None, batch_bound: bool = False,
+                  narrow: bool = False) -> DataFrame:
+    """Any aggregates of (install day, milestone) slices.
+
+    With ``narrow`` the cohort is counted first; if it is small, events of
+    other users are dropped in the scan, before anything is shuffled.
+    """
+    scan = anchors.milestone_scan(slices)
+    days = [day for day, _ in slices]
     if isinstance(events, DayTables):
-        cohort = anchors.rolled_up_cohort(events.measures, install_from, install_to)
+        cohort = anchors.rolled_up_cohort(events.measures, min(days), max(days))
     else:
-        cohort = anchors.install_cohort(events, install_from, install_to)
+        cohort = anchors.install_cohort(events, min(days), max(days))
+    anchored = anchors.with_milestones(cohort, slices)
+    if narrow and not isinstance(events, DayTables) and is_small(anchored):
+        events = events.join(F.broadcast(anchored.select(USER)), USER, "left_semi")
 
     def anchor(rows: DataFrame) -> DataFrame:
-        return anchors.milestone_rows(rows, cohort, milestones, as_of, batch_bound)
+        return anchors.milestone_rows(rows, anchored, as_of, batch_bound)
 
-    scan = anchors.milestone_scan(install_from, install_to, milestones)
     return _aggregate(
         _tables(events, scan, spec, aggregates), anchor, (USER, "milestone_day"), aggregates
     ).withColumn("snapshot_date", F.expr("date_add(install_date, milestone_day)"))
@@ -388,18 +397,24 @@ ALL_COLUMNS = (*FEATURES, c.LABEL)
 
 
 def milestone_features(events: DataFrame | DayTables, install_from, install_to,
-                       milestones=c.MILESTONES, *, columns=ALL_COLUMNS,
-                       exclude_churned: bool = True, as_of=None,
-                       batch_bound: bool = False) -> DataFrame:
-    """Feature rows at fixed ages, all milestones in one job.
+                       milestones=c.MILESTONES, **options) -> DataFrame:
+    """Feature rows at fixed ages, all milestones in one job."""
+    slices = anchors.milestone_slices(install_from, install_to, milestones)
+    return slice_features(events, slices, **options)
+
+
+def slice_features(events: DataFrame | DayTables, slices, *, columns=ALL_COLUMNS,
+                   exclude_churned: bool = True, as_of=None, batch_bound: bool = False,
+                   narrow: bool = False) -> DataFrame:
+    """Feature rows of (install day, milestone) slices, all in one job.
 
     Users who removed the app before an anchor are left out of it.  With fewer
     ``columns`` only what these need is read and shuffled.
     """
     needed = aggregates_for([*columns, "_churned"] if exclude_churned else columns)
     frame = at_milestones(
-        events, CHURN_ROLLUP, needed, install_from, install_to, milestones,
-        as_of=as_of, batch_bound=batch_bound,
+        events, CHURN_ROLLUP, needed, slices, as_of=as_of, batch_bound=batch_bound,
+        narrow=narrow,
     )
     if exclude_churned:
         frame = frame.where("_churned = 0")

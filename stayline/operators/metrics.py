@@ -1,10 +1,7 @@
 """Ranking and threshold metrics of binary scores, for any number of rows.
 
-Scores are first grouped, so equal scores are one row; a curve is a running sum
-over the groups.  The running sum is split: borders taken from quantiles cut
-the scores into buckets of similar size, sums run within each bucket in
-parallel, and the bucket totals are added on top.  The result is exact whatever
-the borders are.
+Scores are first grouped, so equal scores are one row; a curve is a running
+total over the groups.
 """
 
 from __future__ import annotations
@@ -14,9 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stayline import config as c
-
-BUCKETS = 256
-
+from stayline.operators.running import BUCKETS, running_totals
 
 def score_groups(scored: DataFrame, by=(), score: str = "score", label: str = "label") -> DataFrame:
     """Positives and negatives per distinct score."""
@@ -28,33 +23,12 @@ def score_groups(scored: DataFrame, by=(), score: str = "score", label: str = "l
 
 def ranking_curve(groups: DataFrame, by=(), buckets: int = BUCKETS) -> DataFrame:
     """Groups with ``pos_ge`` and ``neg_ge``: counts at this score or above."""
-    by = list(by)
     steps = [i / buckets for i in range(1, buckets)]
-    borders = sorted(set(groups.approxQuantile("score", steps, 1 / (2 * buckets)) if steps else []))
-    # Number of borders at or below the score.
-    bucket = F.lit(0)
-    if borders:
-        bucket = F.size(F.filter(F.lit(borders), lambda b: b <= F.col("score")))
-    placed = groups.withColumn("bucket", bucket)
-    totals = placed.groupBy(*by, "bucket").agg(
-        F.sum("pos").alias("bucket_pos"), F.sum("neg").alias("bucket_neg")
-    )
-    # At most `buckets` rows per value of `by`.
-    above = Window.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = totals.select(
-        *by, "bucket",
-        F.coalesce(F.sum("bucket_pos").over(above), F.lit(0)).alias("pos_above"),
-        F.coalesce(F.sum("bucket_neg").over(above), F.lit(0)).alias("neg_above"),
-    )
-    within = Window.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    return placed.join(F.broadcast(offsets), [*by, "bucket"]).select(
-        *by, "score", "pos", "neg",
-        (F.sum("pos").over(within) + F.col("pos_above")).alias("pos_ge"),
-        (F.sum("neg").over(within) + F.col("neg_above")).alias("neg_ge"),
+    # At most `buckets` numbers come to the driver.
+    borders = groups.approxQuantile("score", steps, 1 / (2 * buckets)) if steps else []
+    return running_totals(
+        groups, "score", sorted(set(borders)), {"pos_ge": "pos", "neg_ge": "neg"}, by,
+        descending=True,
     )
 
 

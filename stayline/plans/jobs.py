@@ -86,23 +86,16 @@ def build_milestones(spark: SparkSession, ws: Workspace, events, install_from, i
     Decided per install day and milestone, so a late day is never hidden by
     another slice of the same range.
     """
-    wanted = [(day, m) for day in anchors.snapshot_dates(install_from, install_to)
-              for m in milestones]
+    wanted = anchors.milestone_slices(install_from, install_to, milestones)
     return _build_slices(spark, ws, events, wanted, force, as_of)
 
 
-def _build_slices(spark, ws, events, wanted, force, as_of) -> int:
+def _build_slices(spark, ws, events, wanted, force, as_of, narrow=False) -> int:
     done = set() if force else finished_slices(spark, ws)
     due = [(day, m) for day, m in wanted if (m, day + timedelta(days=m)) not in done]
     if not due:
         return 0
-    days = [day for day, _ in due]
-    built = features.milestone_features(
-        events, min(days), max(days), sorted({m for _, m in due}), as_of=as_of
-    )
-    # One row per day and milestone.
-    slices = spark.createDataFrame(due, "install_date date, milestone_day int")
-    built = built.join(F.broadcast(slices), ["install_date", "milestone_day"], "left_semi")
+    built = features.slice_features(events, due, as_of=as_of, narrow=narrow)
     tables.write_features(built, ws.path("features"))
     return len(due)
 
@@ -111,7 +104,7 @@ def build_label_complete(spark: SparkSession, ws: Workspace, events, run_date,
                          milestones=c.MILESTONES, *, force: bool = False) -> int:
     """Build the slices whose label window closed on the run day."""
     wanted = anchors.label_complete_slices(run_date, milestones)
-    return _build_slices(spark, ws, events, wanted, force, run_date)
+    return _build_slices(spark, ws, events, wanted, force, run_date, narrow=True)
 
 
 def build_snapshots(spark: SparkSession, ws: Workspace, events, dates, *,

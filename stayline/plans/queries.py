@@ -247,7 +247,8 @@ def default_cohort(spark, sf_dir):
 
 def _at(spark, sf_dir, spec, aggregates) -> DataFrame:
     return f.at_milestones(
-        flat_events(spark, sf_dir), spec, aggregates, INSTALL_FROM, INSTALL_TO
+        flat_events(spark, sf_dir), spec, aggregates,
+        anchors.milestone_slices(INSTALL_FROM, INSTALL_TO),
     ).select(*KEYS, *aggregates)
 
 

@@ -212,7 +212,7 @@ def test_distinct_counts_by_gap_equal_plain_distinct(frame, spark, seed):
     got = f.at_milestones(
         events, spec,
         {f"w{hi}_{lo}": OfFacets(m.distinct_in_days("session", hi, lo)) for hi, lo in windows},
-        INSTALL, INSTALL, c.MILESTONES,
+        anchors.milestone_slices(INSTALL, INSTALL),
     )
     near = events.where(F.col("event_date") >= F.date_sub("install_date", 30))
     plain = near.withColumn("milestone_day", F.explode(F.lit(list(c.MILESTONES)))).withColumn(
@@ -270,5 +270,25 @@ def test_stored_day_tables_give_the_same_features(frame, spark, tmp_path):
 def test_measure_needs_no_facet_scan(frame):
     events = frame([row(0), row(2, event_name="iap_ev")])
     spec = Rollup(counts={"n": "event_name = 'iap_ev'"})
-    got = f.at_milestones(events, spec, {"flag": Measure(m.ever("n"))}, INSTALL, INSTALL, [1, 7])
+    got = f.at_milestones(events, spec, {"flag": Measure(m.ever("n"))},
+                         anchors.milestone_slices(INSTALL, INSTALL, [1, 7]))
     assert {r.milestone_day: r.flag for r in got.collect()} == {1: 0, 7: 1}
+
+
+def test_single_slices_equal_the_whole_range(frame):
+    """A scattered set of slices, with and without the early filter."""
+    rng = random.Random(9)
+    users = {f"u{i}": INSTALL + timedelta(days=i % 7) for i in range(20)}
+    events = frame([row(day, user_pseudo_id=u, install_date=day) for u, day in users.items()] + [
+        row(rng.randint(0, 40), user_pseudo_id=(u := rng.choice(list(users))),
+            install_date=users[u], event_name=rng.choice(["session_start", "app_remove", "iap_ev"]),
+            unique_session_id=f"s{rng.randint(0, 5)}", event_timestamp=rng.randint(1, 10 ** 9))
+        for _ in range(150)])
+    columns = ["session_cnt_7d", "payer_flag", "hours_since_last_session", c.LABEL]
+    whole = f.milestone_features(events, INSTALL, INSTALL + timedelta(days=6), columns=columns)
+    slices = [(INSTALL + timedelta(days=d), m) for d, m in ((0, 28), (3, 7), (3, 1), (6, 14))]
+    expected = sorted(
+        r for r in whole.collect() if (r.install_date, r.milestone_day) in set(slices))
+    for narrow in (False, True):
+        got = f.slice_features(events, slices, columns=columns, narrow=narrow).collect()
+        assert sorted(got) == expected and expected
