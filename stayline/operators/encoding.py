@@ -11,6 +11,7 @@ from stayline.operators.lookup import is_small, lookup
 from stayline.operators.rollup import USER
 from stayline.operators.running import BUCKETS, running_totals
 from stayline.sources.events import as_date
+from stayline.sources.shared import saved
 from stayline.sources.store import latest_version
 
 
@@ -50,7 +51,7 @@ def merge_baseline(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def apply_risk(store: DataFrame, baseline: DataFrame, dimensions=c.RISK_DIMENSIONS) -> DataFrame:
-    """Rate columns from the baseline, -1 for values without a rate.
+    """Rate columns from the saved baseline, -1 for values without a rate.
 
     A dimension without any rate keeps the column it has.
     """
@@ -60,19 +61,17 @@ def apply_risk(store: DataFrame, baseline: DataFrame, dimensions=c.RISK_DIMENSIO
         .select("dimension").distinct().collect()
     }
     small = is_small(baseline)
-    columns = store.columns
+    columns = {x: F.col(x) for x in store.columns}
     for dim in dimensions:
         if dim not in known:
             continue
-        target = f"{dim}_uninstall_rate"
         rates = baseline.where(F.col("dimension") == dim).select(
-            F.col("value").alias(dim), F.col("uninstall_rate").alias("_rate")
+            F.col("value").alias("key"), F.col("uninstall_rate").alias("value")
         )
-        store = lookup(store, rates, dim, "_rate", small=small, spread_by=USER)
-        store = store.withColumn(
-            target, F.coalesce("_rate", F.lit(c.UNKNOWN_RATE))
-        ).drop("_rate")
-    return store.select(*columns)
+        store = lookup(store, dim, rates, f"_rate_{dim}", small=small, spread_by=USER)
+        target = f"{dim}_uninstall_rate"
+        columns[target] = F.coalesce(f"_rate_{dim}", F.lit(c.UNKNOWN_RATE)).alias(target)
+    return store.select(*columns.values())
 
 
 def update_from(store: DataFrame, baseline: DataFrame, first_date,
@@ -97,10 +96,9 @@ def fit_ordinal(train: DataFrame, columns=c.CATEGORICAL_FEATURES) -> DataFrame:
     """Dictionary ``(feature, value, code)``: rank among the sorted train values.
 
     Values are made distinct first.  All features are ranked together, as one
-    order over ``(feature, value)``; a code is the rank less that of the
-    feature's first value.
+    order over ``(feature, value)``; a code is the rank within the feature.
     """
-    values = (
+    values = saved(
         _unpivot(train, columns)
         .select(F.col("name").alias("feature"),
                 F.coalesce("value", F.lit(c.MISSING_CATEGORY)).alias("value"))
@@ -112,25 +110,32 @@ def fit_ordinal(train: DataFrame, columns=c.CATEGORICAL_FEATURES) -> DataFrame:
     sample = values.orderBy(F.xxhash64("key"), "key").select("key").limit(BUCKETS - 1)
     borders = sorted(r.key for r in sample.collect())
     ranked = running_totals(values, "key", borders, {"rank": "one"})
-    first = ranked.groupBy("feature").agg(F.min("rank").alias("first_rank"))
-    return ranked.join(first, "feature").select(
-        "feature", "value", (F.col("rank") - F.col("first_rank")).cast("int").alias("code")
-    )
+    sizes = {r.feature: r.n for r in
+             values.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # One literal per feature: the number of values of the features before it.
+    code, before = F.lit(None).cast("bigint"), 0
+    for feature in sorted(sizes):
+        code = F.when(F.col("feature") == feature, F.col("rank") - 1 - before).otherwise(code)
+        before += sizes[feature]
+    return ranked.select("feature", "value", code.cast("int").alias("code"))
 
 
 def apply_ordinal(frame: DataFrame, dictionary: DataFrame,
                   columns=c.CATEGORICAL_FEATURES) -> DataFrame:
-    """Replace each category by its code, -1 for values the dictionary lacks."""
+    """Replace each category by its code, -1 for values the dictionary lacks.
+
+    The dictionary is a saved table; it is read once per column.
+    """
     small = is_small(dictionary)
-    order = frame.columns
+    outputs = {x: F.col(x) for x in frame.columns}
     for column in columns:
         codes = dictionary.where(F.col("feature") == column).select(
-            F.col("value").alias(column), "code"
+            F.col("value").alias("key"), F.col("code").alias("value")
         )
-        frame = frame.withColumn(column, F.coalesce(column, F.lit(c.MISSING_CATEGORY)))
-        frame = lookup(frame, codes, column, "code", small=small, spread_by=USER)
-        frame = frame.withColumn(column, F.coalesce("code", F.lit(-1))).drop("code")
-    return frame.select(*order)
+        frame = lookup(frame, f"coalesce({column}, '{c.MISSING_CATEGORY}')", codes,
+                       f"_code_{column}", small=small, spread_by=USER)
+        outputs[column] = F.coalesce(f"_code_{column}", F.lit(-1)).alias(column)
+    return frame.select(*outputs.values())
 
 
 def assemble(encoded: DataFrame, inputs, output: str = "features") -> DataFrame:

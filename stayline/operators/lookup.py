@@ -12,23 +12,25 @@ BROADCAST_ROWS = 200_000
 SALTS = 64
 
 
-def lookup(frame: DataFrame, table: DataFrame, key: str, value: str, *,
+def lookup(frame: DataFrame, key: str, table: DataFrame, output: str, *,
            small: bool, spread_by: str, salts: int = SALTS) -> DataFrame:
-    """Add ``value`` from ``table`` for each ``key``, null when unknown.
+    """Add ``output`` from a ``(key, value)`` table, null when unknown.
 
-    A small table is broadcast.  A large one is shuffled, and since a single
-    key may own most rows of ``frame`` (the empty category usually does), each
-    of its rows is copied ``salts`` times and the rows of ``frame`` are spread
-    over the copies.
+    ``key`` is SQL over ``frame``.  A small table is broadcast.  A large one is
+    shuffled, and since a single key may own most rows of ``frame`` (the empty
+    category usually does), each of its rows is copied ``salts`` times and the
+    rows of ``frame`` are spread over the copies.
+
+    Helper columns start with an underscore; the caller selects what it keeps.
     """
-    table = table.select(key, value)
+    table = table.select(F.col("key").alias(f"_key_{output}"), F.col("value").alias(output))
+    same = F.expr(key) == F.col(f"_key_{output}")
     if small:
-        return frame.join(F.broadcast(table), key, "left")
-    salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = frame.withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    )
-    return spread.join(salted, [key, "_salt"], "left").drop("_salt")
+        return frame.join(F.broadcast(table), same, "left")
+    salt = f"_salt_{output}"
+    copies = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(salts)) == F.col(salt)
+    return frame.join(copies, same & spread, "left")
 
 
 def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

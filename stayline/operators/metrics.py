@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from stayline import config as c
 from stayline.operators.running import BUCKETS, running_totals
+from stayline.sources.shared import saved
 
 def score_groups(scored: DataFrame, by=(), score: str = "score", label: str = "label") -> DataFrame:
     """Positives and negatives per distinct score."""
@@ -35,7 +36,7 @@ def ranking_curve(groups: DataFrame, by=(), buckets: int = BUCKETS) -> DataFrame
 def ranking_metrics(scored: DataFrame, by=(), score: str = "score",
                     label: str = "label") -> DataFrame:
     """ROC AUC (ties count half) and step-wise average precision."""
-    curve = ranking_curve(score_groups(scored, by, score, label), by)
+    curve = ranking_curve(saved(score_groups(scored, by, score, label)), by)
     sums = curve.groupBy(*by).agg(
         F.sum("pos").alias("p"),
         F.sum("neg").alias("n"),

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from stayline import config as c
 from stayline.operators.encoding import assemble
 from stayline.operators.rollup import USER
+from stayline.sources.shared import ensure_checkpoints
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,11 @@ def dictionary_sizes(dictionary: DataFrame) -> dict[str, int]:
 
 def train(spec: ModelSpec, train_rows: DataFrame, valid_rows: DataFrame, features,
           sizes: dict[str, int], **overrides) -> GBTClassificationModel:
-    """Fit one model on encoded rows; boosting watches the validation rows."""
+    """Fit one model on encoded rows; boosting watches the validation rows.
+
+    A round of step 0.05 improves little, so the tolerance is small.  Rounds
+    are checkpointed every ten, which bounds the lineage of long runs.
+    """
     nominal = sizes if spec.nominal else None
     rows = train_rows.withColumn("_valid", F.lit(False)).unionByName(
         valid_rows.withColumn("_valid", F.lit(True))
@@ -71,7 +76,8 @@ def train(spec: ModelSpec, train_rows: DataFrame, valid_rows: DataFrame, feature
     vectors = _inputs(rows, features, nominal).select(
         "features", F.col(c.LABEL).cast("double").alias("label"), "_valid"
     )
-    params = {"seed": c.SEED, "validationTol": 0.01, **spec.params, **overrides}
+    ensure_checkpoints(train_rows.sparkSession)
+    params = {"seed": c.SEED, "validationTol": 1e-4, **spec.params, **overrides}
     if nominal:
         params["maxBins"] = max(params.get("maxBins", 32), max(nominal.values()) + 2)
     return GBTClassifier(

@@ -70,11 +70,18 @@ def day_tables(spark: SparkSession, ws: Workspace):
 # --- feature builds --------------------------------------------------------
 
 
-def finished_slices(spark: SparkSession, ws: Workspace) -> set[tuple[int, date]]:
-    """Slices built after their label window had closed; there is one row per slice."""
-    if not ws.exists(spark, "features"):
+def finished_slices(spark: SparkSession, ws: Workspace, days) -> set[tuple[int, date]]:
+    """Slices built after their label window had closed; there is one row per slice.
+
+    Only the partitions between the first and the last of ``days`` are read.
+    """
+    if not days or not ws.exists(spark, "features"):
         return set()
-    built = ws.store(spark).groupBy(*tables.SLICE).agg(F.max("created_at").alias("built"))
+    built = (
+        ws.store(spark)
+        .where(F.col("snapshot_date").between(as_date(min(days)), as_date(max(days))))
+        .groupBy(*tables.SLICE).agg(F.max("created_at").alias("built"))
+    )
     closed = F.col("built") >= F.date_add("snapshot_date", c.LABEL_HORIZON)
     return {(r.milestone_day, r.snapshot_date) for r in built.where(closed).collect()}
 
@@ -91,7 +98,8 @@ def build_milestones(spark: SparkSession, ws: Workspace, events, install_from, i
 
 
 def _build_slices(spark, ws, events, wanted, force, as_of, narrow=False) -> int:
-    done = set() if force else finished_slices(spark, ws)
+    days = [day + timedelta(days=m) for day, m in wanted]
+    done = set() if force else finished_slices(spark, ws, days)
     due = [(day, m) for day, m in wanted if (m, day + timedelta(days=m)) not in done]
     if not due:
         return 0
@@ -110,8 +118,9 @@ def build_label_complete(spark: SparkSession, ws: Workspace, events, run_date,
 def build_snapshots(spark: SparkSession, ws: Workspace, events, dates, *,
                     force: bool = False, **options) -> int:
     """Build the missing calendar slices; returns how many were due."""
-    done = set() if force else finished_slices(spark, ws)
-    due = [d for d in (anchors._day(x) for x in dates) if (0, d) not in done]
+    days = [anchors._day(x) for x in dates]
+    done = set() if force else finished_slices(spark, ws, days)
+    due = [d for d in days if (0, d) not in done]
     if due:
         built = features.calendar_range(events, due, **options)
         tables.write_features(built, ws.path("features"))

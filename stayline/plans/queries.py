@@ -7,7 +7,6 @@ wide enough to cover all users of the event table.
 from __future__ import annotations
 
 import hashlib
-from uuid import uuid4
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +23,7 @@ from stayline.operators.rollup import DAY, USER, Facet, Rollup
 from stayline.plans import jobs
 from stayline.sources import store as tables
 from stayline.sources.events import as_date, between_days, flat_events
+from stayline.sources.shared import new_folder, saved, shared_folder
 
 # Parameters shared with the SQL checks
 INSTALL_FROM, INSTALL_TO = "2024-01-01", "2024-01-14"
@@ -54,7 +54,7 @@ def workspace(spark: SparkSession, sf_dir: str) -> jobs.Workspace:
     """Feature store of one test scale, built once per application."""
     app = spark.sparkContext.applicationId
     name = hashlib.sha1(f"{app} {sf_dir}".encode()).hexdigest()[:12]
-    ws = jobs.Workspace(f"{tables.shared_folder(spark)}/{name}")
+    ws = jobs.Workspace(f"{shared_folder(spark)}/{name}")
     if (app, sf_dir) not in _built:
         events = flat_events(spark, sf_dir)
         jobs.build_milestones(spark, ws, events, INSTALL_FROM, INSTALL_TO)
@@ -67,11 +67,6 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workspace(spark, sf_dir).store(spark)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared one."""
-    return f"{tables.shared_folder(spark)}/{uuid4().hex}"
-
-
 def training_rows(spark, sf_dir) -> DataFrame:
     return dataset.training_set(feature_store(spark, sf_dir), AS_OF)
 
@@ -146,7 +141,7 @@ def write_features(spark, sf_dir):
 
 @query
 def write_risk_baseline(spark, sf_dir):
-    path = scratch(spark)
+    path = new_folder(spark)
     baseline = encoding.risk_baseline(feature_store(spark, sf_dir), CUTOFF, MIN_N)
     tables.write_risk_baseline(baseline, path)
     return spark.read.parquet(path)
@@ -154,14 +149,14 @@ def write_risk_baseline(spark, sf_dir):
 
 @query
 def write_predictions(spark, sf_dir):
-    path = scratch(spark)
+    path = new_folder(spark)
     tables.write_predictions(predicted(spark, sf_dir), path)
     return spark.read.parquet(path).drop("created_at")
 
 
 @query
 def write_metrics(spark, sf_dir):
-    path = scratch(spark)
+    path = new_folder(spark)
     compared = metrics.model_selection(metrics.model_metrics(scored_rows(spark, sf_dir)))
     tables.write_metrics(compared.withColumn("run_id", F.lit("r1")), path)
     return spark.read.parquet(path).select("model", "auc_roc", "auc_pr", "rank")
@@ -170,7 +165,7 @@ def write_metrics(spark, sf_dir):
 @query
 def table_schema(spark, sf_dir):
     """Slices written before two columns existed, read with the ones written after."""
-    path, added = scratch(spark), ["minutes_since_install", "seconds_since_install"]
+    path, added = new_folder(spark), ["minutes_since_install", "seconds_since_install"]
     store = feature_store(spark, sf_dir)
     tables.write_slices(store.where("milestone_day > 0").drop(*added), path)
     tables.write_slices(store.where("milestone_day = 0"), path)
@@ -461,7 +456,7 @@ def calendar_range(spark, sf_dir):
 @query
 def milestone_features_from_days(spark, sf_dir):
     """The same features from stored day tables."""
-    ws = jobs.Workspace(scratch(spark))
+    ws = jobs.Workspace(new_folder(spark))
     events = flat_events(spark, sf_dir)
     jobs.refresh_days(events, ws, "2024-01-01", "2024-01-15")
     jobs.refresh_days(events, ws, "2024-01-15", "2024-02-29")
@@ -502,7 +497,7 @@ def latest_version(spark, sf_dir):
 @query
 def replace_slice(spark, sf_dir):
     """All slices written, then one of them replaced by fewer rows."""
-    path, (milestone, day) = scratch(spark), REPLACED_SLICE
+    path, (milestone, day) = new_folder(spark), REPLACED_SLICE
     store = feature_store(spark, sf_dir)
     tables.write_slices(store, path)
     one = store.where(
@@ -520,7 +515,7 @@ def build_report(spark, sf_dir):
 @query
 def store_update_from(spark, sf_dir):
     store = feature_store(spark, sf_dir)
-    baseline = encoding.risk_baseline(store, CUTOFF, MIN_N)
+    baseline = saved(encoding.risk_baseline(store, CUTOFF, MIN_N))
     return encoding.update_from(store, baseline, SNAPSHOT).select(
         *KEYS, *[f"{d}_uninstall_rate" for d in c.RISK_DIMENSIONS]
     )
@@ -537,7 +532,8 @@ def risk_baseline(spark, sf_dir):
 @query
 def apply_risk(spark, sf_dir):
     store = feature_store(spark, sf_dir)
-    rated = encoding.apply_risk(store, encoding.risk_baseline(store, CUTOFF, MIN_N))
+    baseline = saved(encoding.risk_baseline(store, CUTOFF, MIN_N))
+    rated = encoding.apply_risk(store, baseline)
     return rated.select(*KEYS, *c.RISK_DIMENSIONS,
                         *[f"{d}_uninstall_rate" for d in c.RISK_DIMENSIONS])
 
@@ -591,7 +587,7 @@ def fit_ordinal(spark, sf_dir):
 @query
 def apply_ordinal(spark, sf_dir):
     train, valid = dataset.time_split(training_rows(spark, sf_dir))
-    encoded = encoding.apply_ordinal(valid, encoding.fit_ordinal(train))
+    encoded = encoding.apply_ordinal(valid, saved(encoding.fit_ordinal(train)))
     return encoded.select(*KEYS, *c.CATEGORICAL_FEATURES)
 
 
@@ -605,7 +601,7 @@ def history_dictionary(spark, sf_dir):
 def assemble(spark, sf_dir):
     inputs = f.MODEL_INPUTS
     rows = training_rows(spark, sf_dir)
-    encoded = encoding.apply_ordinal(rows, encoding.fit_ordinal(rows))
+    encoded = encoding.apply_ordinal(rows, saved(encoding.fit_ordinal(rows)))
     vectors = encoding.assemble(encoded, inputs).select(
         *KEYS, vector_to_array("features").alias("x")
     )
@@ -670,7 +666,7 @@ def feature_importance(spark, sf_dir):
 
 @query
 def write_importance(spark, sf_dir):
-    path = scratch(spark)
+    path = new_folder(spark)
     model, valid, sizes = _quick_model(spark, sf_dir, "gbt_b")
     tables.write_importance(
         models.feature_importance(model, valid, f.MODEL_INPUTS, sizes), path

@@ -8,8 +8,6 @@ rows.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,22 +18,6 @@ from stayline.operators.rollup import DAY, USER, DayTables, Rollup, day_tables
 SLICE = ("milestone_day", "snapshot_date")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    In local mode without that setting a temporary folder is set for the
-    session; on a cluster the setting is required.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stayline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 # --- schemas ---------------------------------------------------------------
 
 # Features that are not counts

@@ -8,6 +8,7 @@ from stayline import config as c
 from stayline.operators import features as f
 from stayline.plans import jobs
 from stayline.sources import store as tables
+from stayline.sources.shared import shared_folder
 
 DAY = date(2024, 1, 8)
 
@@ -66,7 +67,7 @@ def test_tables_are_created_once(spark, tmp_path):
 
 
 def test_shared_folder_is_the_configured_one(spark):
-    assert tables.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
 def test_flat_events_are_staged_by_day(spark, tmp_path, frame):
