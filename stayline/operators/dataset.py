@@ -20,7 +20,9 @@ def training_set(store: DataFrame, as_of, kind: str = "milestone") -> DataFrame:
     ``kind`` is ``milestone``, ``calendar`` or ``all``.
     """
     cutoff = _day(as_of) - timedelta(days=c.LABEL_HORIZON + 1)
-    rows = store.where(F.col("snapshot_date") <= as_date(cutoff))
+    rows = store.where(
+        (F.col("snapshot_date") <= as_date(cutoff)) & F.col(c.LABEL).isNotNull()
+    )
     if kind == "milestone":
         rows = rows.where("milestone_day > 0")
     elif kind == "calendar":

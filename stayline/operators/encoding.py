@@ -40,7 +40,7 @@ def risk_baseline(store: DataFrame, cutoff, min_n: int = c.MIN_RISK_SAMPLE,
         .where("value <> ''")
         .groupBy(F.col("name").alias("dimension"), "value")
         .agg(F.round(F.avg(c.LABEL), 4).alias("uninstall_rate"),
-             F.count(F.lit(1)).alias("sample_size"))
+             F.count(c.LABEL).alias("sample_size"))
         .where(F.col("sample_size") >= min_n)
     )
 

@@ -73,16 +73,21 @@ def day_tables(spark: SparkSession, ws: Workspace):
 def finished_slices(spark: SparkSession, ws: Workspace, days) -> set[tuple[int, date]]:
     """Slices built after their label window had closed; there is one row per slice.
 
-    Only the partitions between the first and the last of ``days`` are read.
+    A label that was still unknown makes a slice due again.  Only the partitions
+    between the first and the last of ``days`` are read.
     """
     if not days or not ws.exists(spark, "features"):
         return set()
     built = (
         ws.store(spark)
         .where(F.col("snapshot_date").between(as_date(min(days)), as_date(max(days))))
-        .groupBy(*tables.SLICE).agg(F.max("created_at").alias("built"))
+        .groupBy(*tables.SLICE)
+        .agg(F.max("created_at").alias("built"),
+             F.count_if(F.col(c.LABEL).isNull()).alias("unknown"))
+    )
+    closed = (F.col("unknown") == 0) & (
+        F.col("built") >= F.date_add("snapshot_date", c.LABEL_HORIZON)
     )
-    closed = F.col("built") >= F.date_add("snapshot_date", c.LABEL_HORIZON)
     return {(r.milestone_day, r.snapshot_date) for r in built.where(closed).collect()}
 
 

@@ -53,6 +53,11 @@ def test_missing_slices_only(spark, tmp_path):
     after = ws.store(spark).groupBy("install_date", "milestone_day").count().collect()
     assert set(before) <= set(after) and len(after) == 6
     assert jobs.build_milestones(spark, ws, events, "2024-01-02", "2024-01-04", [1, 7]) == 0
+    # Slices whose label was open on the day of the build are due again.
+    assert jobs.build_milestones(
+        spark, ws, events, "2024-01-05", "2024-01-05", [1, 7], as_of="2024-01-13") == 2
+    assert jobs.build_milestones(
+        spark, ws, events, "2024-01-05", "2024-01-05", [1, 7], as_of="2024-01-20") == 1
     assert jobs.build_snapshots(spark, ws, events, ["2024-01-08"]) == 1
     assert jobs.build_snapshots(spark, ws, events, ["2024-01-08", "2024-01-09"]) == 1
     jobs.build_risk(spark, ws, "2024-01-10", min_n=1, first_date="2024-01-08")
