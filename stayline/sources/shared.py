@@ -8,20 +8,25 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of local applications without the setting, by application id.
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    In local mode without that setting a temporary folder is set for the
-    session; on a cluster the setting is required.
+    A local application without that setting gets a temporary folder; on a
+    cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stayline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="stayline-")
+    return _local[app]
 
 
 def new_folder(spark: SparkSession) -> str:
