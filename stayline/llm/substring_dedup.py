@@ -3,14 +3,15 @@
 Windows of 13 consecutive words are compared over the whole table.  Each window
 has a minimiser: the smallest hash among its runs of ``inner`` words.  Neighbouring
 windows with the same minimiser travel together, as one packed string of their
-words, to the bucket of that minimiser; equal windows always meet there.  In a
-bucket the windows are sorted and counted, and equal ones compared byte by byte.
+words, to the bucket of that minimiser; equal windows always meet there.  Strings of
+one slice of input for one group of buckets travel as a compressed block.  In a group
+the windows are sorted and counted, and equal ones compared byte by byte.
 
-* A string seen before in the same slice of input, in a smaller document, is
-  settled on the spot, so copies shrink before the shuffle.
-* A minimiser that owns more than one in ``1 / HEAVY`` strings (a very common
-  phrase) is found by a first scan; its windows travel one by one, dealt by their
-  own hash, so no bucket grows with one phrase.
+* A string that the slice has already sent for a smaller document is settled on the
+  spot, so copies shrink before the shuffle.
+* A minimiser that owns more than ``HEAVY`` strings (a very common phrase) is found by
+  a first scan; its windows travel one by one, dealt by their own hash, so that no
+  group grows with one phrase.
 
 Defined results: a null text has no words; a null document id is smaller and
 greater than none, so its row loses nothing and takes nothing; rows with equal ids
@@ -29,11 +30,16 @@ from pyspark.sql import functions as F
 
 from stayline.llm.texts import U, Words, slices, span_hashes, window_hashes
 
-#: A minimiser with more than this share of all packed strings is dealt by window.
-HEAVY = 1 / 1024
+#: Packed strings that meet in one group, on average.
+TOGETHER = 20_000
+#: A minimiser with more strings than this is dealt by window; at most ``MOST_HEAVY`` are.
+HEAVY, MOST_HEAVY = 5_000, 100_000
+#: Bytes of text whose strings are settled and sent together.
+SLICE = 16 << 20
 
-_PACKED = "bucket long, packed binary, doc_id long, key long, first int, n int"
-_RANGES = "doc_id long, key long, first int, n int"
+_BLOCKS = "grp int, strings binary, spots binary"
+_RANGES = "doc_id long, key int, first int, n int"
+_SPOT = np.dtype([("doc_id", "<i8"), ("key", "<i4"), ("first", "<i4"), ("n", "<i4")])
 
 
 def _least(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -65,160 +71,204 @@ class _Runs:
         self.hashes = hashes
 
 
-def _heavy(window: int, inner: int):
+def _common(window: int, inner: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             runs = _Runs(Words.of(batch.column("text")), window, inner)
             values, counts = np.unique(runs.minimiser, return_counts=True)
-            many = counts > max(16, counts.sum() * HEAVY / 4)
+            many = counts > 3  # anything common overall is common in some slices
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(values[many].astype(np.int64)) + [None], pa.int64()),
                  pa.array(list(counts[many]) + [counts.sum()], pa.int64())], ["minimiser", "n"])
     return count
 
 
-def heavy_minimisers(docs: DataFrame, window: int, inner: int) -> list[int]:
-    """Minimisers of more than a share of all strings: at most ``1 / HEAVY`` of them."""
-    counted = docs.select("text").mapInArrow(_heavy(window, inner), "minimiser long, n long")
+def heavy_minimisers(docs: DataFrame, window: int, inner: int) -> tuple[int, list[int]]:
+    """Number of packed strings, and the minimisers with too many of them (a bounded list)."""
+    counted = docs.select("text").mapInArrow(_common(window, inner), "minimiser long, n long")
     sums = counted.groupBy("minimiser").agg(F.sum("n").alias("n"))
-    total = sums.where("minimiser IS NULL").agg(F.max("n")).first()[0] or 0
-    return [r[0] for r in sums.where(F.col("minimiser").isNotNull() & (F.col("n") > total * HEAVY)).collect()]
+    rows = sums.where(F.col("minimiser").isNull() | (F.col("n") > HEAVY)).orderBy(F.col("minimiser").isNotNull(), F.desc("n")).limit(MOST_HEAVY + 1).collect()
+    return next((r["n"] for r in rows if r["minimiser"] is None), 0), [r["minimiser"] for r in rows if r["minimiser"] is not None]
+
+
+class _Sender:
+    """Gathers packed strings of some slices and hands them out as blocks by group."""
+
+    def __init__(self, window: int, inner: int, heavy: list[int], groups: int):
+        import zstandard
+
+        self.compress = zstandard.ZstdCompressor(level=3).compress
+        self.window, self.inner, self.groups = window, inner, groups
+        self.heavy = np.sort(np.array(heavy, np.int64).astype(U))
+        self._clear()
+
+    def _clear(self):
+        self.seen: dict[bytes, int] = {}
+        self.strings: list[bytes] = []
+        self.spots: list[np.ndarray] = []
+        self.bucket: list[np.ndarray] = []
+        self.settled: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        batch = batch.take(pa.compute.sort_indices(batch.column("doc_id")))
+        words = Words.of(batch.column("text"))
+        runs = _Runs(words, self.window, self.inner)
+        start, n, bucket, text = runs.word, runs.n, runs.minimiser, runs.text
+        if len(self.heavy) and len(bucket):
+            found = np.minimum(np.searchsorted(self.heavy, bucket), len(self.heavy) - 1)
+            alone = self.heavy[found] == bucket
+            times = np.where(alone, n, 1)
+            pick = np.repeat(np.arange(len(n)), times)
+            start = start[pick] + np.arange(len(pick)) - np.repeat(np.cumsum(times) - times, times)
+            n, text, bucket, alone = np.where(alone, 1, n)[pick], text[pick], bucket[pick], alone[pick]
+            own = start[alone]
+            bucket[alone] = span_hashes(runs.hashes, own, own + self.window, 0xA0761D6478BD642F)
+        spots = np.empty(len(start), _SPOT)
+        spots["doc_id"] = batch.column("doc_id").to_numpy()[text]
+        spots["key"] = batch.column("key").to_numpy()[text]
+        spots["first"], spots["n"] = start - words.first[text], n
+        sent = self._pack(words, start, n, spots["doc_id"].tolist())
+        self.spots.append(spots[sent])
+        self.bucket.append(bucket[sent])
+        if not sent.all():
+            self.settled.append(_joined(spots[~sent]))
+        self.size += len(words.data)
+
+    def _pack(self, words: Words, start: np.ndarray, n: np.ndarray, docs: list[int]) -> np.ndarray:
+        """Keep the strings to send; false where a smaller document has sent the same."""
+        data = words.data.copy()
+        data[(data >= 9) & (data <= 13)] = 32
+        text = data.tobytes()
+        wide = np.concatenate(([0], np.cumsum(words.ends[:-1] + 1 != words.starts[1:])))
+        last = start + n + self.window - 2
+        sent = np.ones(len(start), bool)
+        begin, end, uneven = words.starts[start].tolist(), words.ends[last].tolist(), (wide[last] != wide[start]).tolist()
+        seen, strings = self.seen, self.strings
+        for i, (b, e, loose, doc) in enumerate(zip(begin, end, uneven, docs)):
+            packed = b" ".join(text[b:e].split()) if loose else text[b:e]
+            if seen.setdefault(packed, doc) < doc:
+                sent[i] = False
+            else:
+                seen[packed] = doc
+                strings.append(packed)
+        return sent
+
+    def blocks(self) -> Iterator[pa.RecordBatch]:
+        names = ["grp", "strings", "spots"]
+        if self.strings:
+            group = (np.concatenate(self.bucket) % U(self.groups)).astype(np.int32)
+            order = np.argsort(group, kind="stable")
+            spots = np.concatenate(self.spots)[order]
+            cuts = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist() + [len(order)]
+            where = order.tolist()
+            grp, strings, at = [], [], []
+            for a, b in zip(cuts, cuts[1:]):
+                grp.append(int(group[where[a]]))
+                strings.append(self.compress(b"\n".join([self.strings[i] for i in where[a:b]])))
+                at.append(self.compress(b"".join(np.ascontiguousarray(spots[f][a:b]).tobytes() for f in _SPOT.names)))
+            yield pa.RecordBatch.from_arrays([pa.array(grp, pa.int32()), pa.array(strings, pa.binary()), pa.array(at, pa.binary())], names)
+        for spots in self.settled:
+            at = self.compress(b"".join(np.ascontiguousarray(spots[f]).tobytes() for f in _SPOT.names))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(spots["key"][0]) % self.groups], pa.int32()), pa.nulls(1, pa.binary()), pa.array([at], pa.binary())], names)
+        self._clear()
+
 
+def _joined(spots: np.ndarray) -> np.ndarray:
+    """Ranges that follow each other in one text, as one."""
+    new = np.ones(len(spots), bool)
+    new[1:] = (
+        (spots["doc_id"][1:] != spots["doc_id"][:-1]) | (spots["key"][1:] != spots["key"][:-1])
+        | (spots["first"][1:] != spots["first"][:-1] + spots["n"][:-1]))
+    at = np.flatnonzero(new)
+    out = spots[at]
+    out["n"] = np.add.reduceat(spots["n"], at)
+    return out
 
-def _pack(window: int, inner: int, heavy: list[int]):
-    singles = np.sort(np.array(heavy, np.int64).astype(U))
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _send(window: int, inner: int, heavy: list[int], groups: int):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sender = _Sender(window, inner, heavy, groups)
         for batch in slices(batches, "text"):
-            batch = batch.take(pa.compute.sort_indices(batch.column("doc_id")))
-            words = Words.of(batch.column("text"))
-            runs = _Runs(words, window, inner)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[runs.text]
-            keys = batch.column("key").to_numpy(zero_copy_only=False)[runs.text]
-            first = runs.word - words.first[runs.text]
-            start, n, bucket = runs.word, runs.n, runs.minimiser
-            if len(singles) and len(bucket):
-                found = np.minimum(np.searchsorted(singles, bucket), len(singles) - 1)
-                alone = singles[found] == bucket
-                if alone.any():
-                    times = np.where(alone, n, 1)
-                    pick = np.repeat(np.arange(len(n)), times)
-                    shift = np.arange(len(pick)) - np.repeat(np.cumsum(times) - times, times)
-                    ids, keys, first, start = ids[pick], keys[pick], first[pick] + shift, start[pick] + shift
-                    n = np.where(alone, 1, n)[pick]
-                    at = start
-                    bucket = np.where(alone[pick], span_hashes(runs.hashes, at, at + window, 0xA0761D6478BD642F | 1), bucket[pick])
-            yield from _settled(words, ids, keys, first, start, n, bucket, window)
-
-    return pack
-
-
-def _settled(words, ids, keys, first, start, n, bucket, window):
-    """Rows to send; what a smaller document of the slice already has goes out as settled."""
-    space = words.data.copy()
-    space[(space >= 9) & (space <= 13)] = 32
-    text = space.tobytes()
-    wide = words.ends[:-1] + 1 != words.starts[1:] if len(words.starts) else np.zeros(0, bool)
-    gaps = np.concatenate(([0], np.cumsum(wide)))  # more than one separator before a word
-    last = start + n + window - 2
-    begin, end = words.starts[start].tolist(), words.ends[last].tolist()
-    uneven = (gaps[last] != gaps[start]).tolist() if len(start) else []
-    seen, strings, settled = {}, [None] * len(begin), np.zeros(len(begin), bool)
-    owner = ids.tolist()
-    for i, (b, e, loose) in enumerate(zip(begin, end, uneven)):
-        packed = text[b:e]
-        if loose:
-            packed = b" ".join(packed.split(b" ")) if b"  " not in packed else b" ".join(packed.split())
-        doc = seen.setdefault(packed, owner[i])
-        if doc == owner[i]:
-            strings[i] = packed
-        else:
-            settled[i] = True
-    send = np.flatnonzero(~settled)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(bucket[send].astype(np.int64)), pa.array([strings[i] for i in send], pa.binary()),
-         pa.array(ids[send]), pa.array(keys[send]), pa.array(first[send].astype(np.int32)), pa.array(n[send].astype(np.int32))],
-        ["bucket", "packed", "doc_id", "key", "first", "n"])
-    there = np.flatnonzero(settled)
-    if len(there):
-        # neighbours of one text become one range
-        joined = np.ones(len(there), bool)
-        joined[1:] = (np.diff(there) != 1) | (start[there[1:]] != start[there[:-1]] + n[there[:-1]]) | (keys[there[1:]] != keys[there[:-1]]) | (ids[there[1:]] != ids[there[:-1]]) | (first[there[1:]] != first[there[:-1]] + n[there[:-1]])
-        at = np.flatnonzero(joined)
-        total = np.add.reduceat(n[there], at)
-        head = there[at]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[head] ^ first[head]), pa.nulls(len(head), pa.binary()), pa.array(ids[head]), pa.array(keys[head]),
-             pa.array(first[head].astype(np.int32)), pa.array(total.astype(np.int32))],
-            ["bucket", "packed", "doc_id", "key", "first", "n"])
-
-
-def _repeats(batch: pa.Table, window: int) -> pa.RecordBatch:
-    """Ranges of windows that also stand in a smaller document of these buckets."""
-    words = Words.of(batch.column("packed"))
+            sender.add(batch)
+            if sender.size >= SLICE:
+                yield from sender.blocks()
+        yield from sender.blocks()
+    return send
+
+
+def _repeats(strings: list[bytes], spots: np.ndarray, window: int) -> np.ndarray:
+    """Ranges of windows that also stand in a smaller document."""
+    words = Words.of(pa.array(strings, pa.binary()))
     hashes, counts = words.hashes(), words.counts()
-    per = np.maximum(counts - window + 1, 0)
+    per = counts - window + 1
     row = np.repeat(np.arange(len(counts)), per)
     before = np.cumsum(per) - per
     word = np.repeat(words.first[:-1] - before, per) + np.arange(len(row))
-    value = window_hashes(hashes, window)[word] if len(word) else np.zeros(0, U)
-    doc = batch.column("doc_id").to_numpy()
-    order = np.lexsort((doc[row], value))
-    ordered, owners = value[order], doc[row][order]
+    value, doc = window_hashes(hashes, window)[word], spots["doc_id"][row]
+    order = np.lexsort((doc, value))
     new = np.ones(len(order), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
+    new[1:] = value[order[1:]] != value[order[:-1]]
     group = np.cumsum(new) - 1
-    heads = order[np.flatnonzero(new)] if len(order) else order
-    head = heads[group] if len(order) else order
-    later = np.flatnonzero(owners > doc[row[head]]) if len(order) else order
+    head = order[np.flatnonzero(new)][group]  # the smallest document of each group
+    later = np.flatnonzero(doc[order] > doc[head])
     gone = np.zeros(len(row), bool)
     text, starts, ends = words.data.tobytes(), words.starts, words.ends
     a, b = order[later], head[later]
-    equal = zip(starts[word[a]].tolist(), ends[word[a] + window - 1].tolist(),
+    spans = zip(starts[word[a]].tolist(), ends[word[a] + window - 1].tolist(),
                 starts[word[b]].tolist(), ends[word[b] + window - 1].tolist())
-    same = np.fromiter((text[p:q] == text[r:s] for p, q, r, s in equal), bool, len(a))
+    same = np.fromiter((text[p:q] == text[r:s] for p, q, r, s in spans), bool, len(a))
     gone[a[same]] = True
     for g in np.unique(group[later[~same]]):  # different windows with one hash
         seen: dict[bytes, int] = {}
         for i in order[group == g]:
             held = text[starts[word[i]]: ends[word[i] + window - 1]]
-            gone[i] = doc[row[i]] > seen.setdefault(held, doc[row[i]])
+            gone[i] = doc[i] > seen.setdefault(held, doc[i])
     flags = np.flatnonzero(gone)
     cut = np.ones(len(flags), bool)
     cut[1:] = (np.diff(flags) != 1) | (row[flags[1:]] != row[flags[:-1]])
     at = np.flatnonzero(cut)
-    from_, size = flags[at], np.diff(np.append(at, len(flags)))
-    rows = row[from_]
-    first = batch.column("first").to_numpy()[rows] + (from_ - before[rows])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[rows]), pa.array(batch.column("key").to_numpy()[rows]),
-         pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))], ["doc_id", "key", "first", "n"])
+    found = spots[row[flags[at]]]
+    found["first"] += (flags[at] - before[row[flags[at]]]).astype(np.int32)
+    found["n"] = np.diff(np.append(at, len(flags)))
+    return found
+
+
+def _count(window: int):
+    """Blocks arrive in order of their group; a group at a time is unpacked and counted."""
 
+    def unpack(raw: bytes) -> np.ndarray:
+        n = len(raw) // _SPOT.itemsize
+        out, at = np.empty(n, _SPOT), 0
+        for f in _SPOT.names:
+            width = _SPOT[f].itemsize * n
+            out[f] = np.frombuffer(raw[at: at + width], _SPOT[f])
+            at += width
+        return out
 
-def _count(window: int, most: int = 6 << 20):
-    """Buckets arrive in order; whole buckets are gathered to a few MB and sorted."""
-    names = ["doc_id", "key", "first", "n"]
+    def ranges(found: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found[f])) for f in _SPOT.names], list(_SPOT.names))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in slices(batches, "packed", most // 2):
-            settled = batch.filter(pa.compute.is_null(batch.column("packed")))
-            if settled.num_rows:
-                yield settled.select(names)
-            batch = batch.filter(pa.compute.is_valid(batch.column("packed")))
-            if not batch.num_rows:
-                continue
-            bucket = batch.column("bucket").to_numpy()
-            cut = int(np.searchsorted(bucket, bucket[-1]))
-            if size + batch.nbytes > most and (cut or (held and held[-1].column("bucket")[-1].as_py() != bucket[0])):
-                held.append(batch.slice(0, cut))
-                yield _repeats(pa.Table.from_batches(held).combine_chunks(), window)
-                held, size, batch = [], 0, batch.slice(cut)
-            held.append(batch)
-            size += batch.nbytes
-        if held:
-            yield _repeats(pa.Table.from_batches(held).combine_chunks(), window)
+        import zstandard
+
+        decompress = zstandard.ZstdDecompressor().decompress
+        current, strings, spots = None, [], []
+        for batch in batches:
+            for grp, block, at in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                here = unpack(decompress(at))
+                if block is None:
+                    yield ranges(here)
+                    continue
+                if grp != current and strings:
+                    yield ranges(_repeats(strings, np.concatenate(spots), window))
+                    strings, spots = [], []
+                current = grp
+                strings.extend(decompress(block).split(b"\n"))
+                spots.append(here)
+        if strings:
+            yield ranges(_repeats(strings, np.concatenate(spots), window))
 
     return count
 
@@ -256,21 +306,21 @@ def _apply(window: int):
     return apply
 
 
-def repeated_ranges(docs: DataFrame, window: int = 13, inner: int = 4) -> DataFrame:
+def repeated_ranges(docs: DataFrame, window: int = 13, inner: int = 2) -> DataFrame:
     """Runs of windows (first word, number) of each text that stand in a smaller document.
 
-    ``docs`` has ``doc_id`` and ``text``; ``key`` tells texts with one id apart.
+    ``docs`` has ``doc_id``, ``text`` and ``key``, which tells texts with one id apart.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("key")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    heavy = heavy_minimisers(rows, window, inner)
-    packed = rows.mapInArrow(_pack(window, inner, heavy), _PACKED)
-    dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    total, heavy = heavy_minimisers(rows, window, inner)
+    blocks = rows.mapInArrow(_send(window, inner, heavy, max(16, total // TOGETHER)), _BLOCKS)
+    dealt = blocks.repartition("grp").sortWithinPartitions("grp")
     return dealt.mapInArrow(_count(window), _RANGES)
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, inner: int = 4) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, inner: int = 2) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` of every row of ``docs(doc_id, text)``."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.hash("text").alias("key"))
     ranges = repeated_ranges(docs, window, inner).groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "n")).alias("ranges"))
-    rows = docs.withColumn("key", F.xxhash64("text")).join(ranges, ["doc_id", "key"], "left").select("doc_id", "text", "ranges")
+    rows = docs.join(ranges, ["doc_id", "key"], "left").select("doc_id", "text", "ranges")
     return rows.mapInArrow(_apply(window), "doc_id long, n_words long, n_removed long, kept_text string")
