@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import substring_dedup
+from stayline.llm import packing, substring_dedup, token_files
+from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -20,8 +21,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in 13-word windows of an earlier document are removed."""
     kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of at most 2048."""
+    return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as byte planes and read back."""
+    folder = new_folder(spark)
+    token_files.write(documents(spark, sf_dir), folder, tokenizer("word_bpe_49k.json"))
+    return token_files.read(spark, folder)
