@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import packing, substring_dedup, token_files
+from stayline.llm import bpe, packing, substring_dedup, token_files
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -46,3 +46,10 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     token_files.write(documents(spark, sf_dir), folder, tokenizer("word_bpe_49k.json"))
     return token_files.read(spark, folder)
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    rows = bpe.encode_decode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), digests=True)
+    return rows.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
