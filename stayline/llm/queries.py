@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, packing, substring_dedup, token_files
+from stayline.llm import bpe, fingerprints, packing, substring_dedup, token_files
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -53,3 +53,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     rows = bpe.encode_decode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), digests=True)
     return rows.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"})
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text, and their likeness."""
+    return fingerprints.compare_with_next(documents(spark, sf_dir))
