@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, fingerprints, packing, substring_dedup, token_files
+from stayline.llm import bpe, embedding_dedup, fingerprints, line_dedup, packing, substring_dedup, token_files
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -59,3 +59,63 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited text, and their likeness."""
     return fingerprints.compare_with_next(documents(spark, sf_dir))
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at a cosine of 0.93 and their components over all vectors of a label."""
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE_SQL["op4_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+c AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(c.b, e.vec_id)) AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(c.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+"""
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of all documents without repeated multi-line chunks."""
+    return line_dedup.remove_repeated_chunks(documents(spark, sf_dir)).select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+#: Needs ``documents`` rows as table ``d(doc_id, text)``.
+LINE_DEDUP_SQL = f"""
+l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM d WHERE text IS NOT NULL
+), h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
+b AS (
+  SELECT *, (h + {line_dedup.BASE} * lag(h, 1, 0) OVER (PARTITION BY doc_id ORDER BY i)) % {line_dedup.MEAN} = 0 AS last FROM h
+), c AS (
+  SELECT doc_id, i, line, coalesce(sum(CAST(last AS INTEGER)) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM b
+), k AS (
+  SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n,
+    bool_or(regexp_matches(line, '[^\\s]')) AS words FROM c GROUP BY doc_id, pos
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) > 1 AND n > 1 AND words AS gone FROM k
+), deduped AS (
+  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
+    CAST(sum(n) AS BIGINT) AS n_lines, CAST(coalesce(sum(n) FILTER (gone), 0) AS BIGINT) AS n_removed
+  FROM r GROUP BY doc_id
+  UNION ALL SELECT doc_id, text, 0, 0 FROM d WHERE text IS NULL
+)"""
+ORACLE_SQL["op6_line_dedup"] = f"""
+WITH d AS (SELECT doc_id, text FROM documents), {LINE_DEDUP_SQL}
+SELECT doc_id, text, n_lines, n_removed FROM deduped
+"""
