@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,23 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
     roots = state.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def reached(mask: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id that each row and column of a link matrix reaches through it."""
+    low, high = left.copy(), right.copy()
+    rows, columns = mask.any(axis=1), mask.any(axis=0)
+    todo = rows.copy()
+    while todo.any():
+        reach, across = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        front = np.zeros(len(left), bool)
+        front[np.argmax(todo)] = True
+        while front.any():
+            reach |= front
+            new = mask[front].any(axis=0) & ~across
+            across |= new
+            front = mask[:, new].any(axis=1) & ~reach if new.any() else np.zeros(len(left), bool)
+        least = min(left[reach].min(), right[across].min())
+        low[reach], high[across] = least, least
+        todo &= ~reach
+    return np.where(rows, low, left), np.where(columns, high, right)

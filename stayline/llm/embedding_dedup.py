@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.components import components
+from stayline.llm.components import components, reached
 from stayline.sources.shared import ensure_checkpoints
 
 THRESHOLD, TILE = 0.93, 2048
@@ -67,26 +67,6 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return out
 
 
-def _roots(mask: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest id that each row and column of a link matrix reaches through it."""
-    low, high = left.copy(), right.copy()
-    rows, columns = mask.any(axis=1), mask.any(axis=0)
-    todo = rows.copy()
-    while todo.any():
-        reach, across = np.zeros(len(left), bool), np.zeros(len(right), bool)
-        front = np.zeros(len(left), bool)
-        front[np.argmax(todo)] = True
-        while front.any():
-            reach |= front
-            new = mask[front].any(axis=0) & ~across
-            across |= new
-            front = mask[:, new].any(axis=1) & ~reach if new.any() else np.zeros(len(left), bool)
-        least = min(left[reach].min(), right[across].min())
-        low[reach], high[across] = least, least
-        todo &= ~reach
-    return np.where(rows, low, left), np.where(columns, high, right)
-
-
 def _pair(threshold: float):
     def pair(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -103,7 +83,7 @@ def _pair(threshold: float):
         if i == j:
             np.fill_diagonal(mask, False)
             mask |= mask.T
-        low, high = _roots(mask, rep[a], rep[b])
+        low, high = reached(mask, rep[a], rep[b])
         reps, links, roots = [rep[a]], [mask @ size[b]], [low]
         if i != j:
             reps, links, roots = [rep[a], rep[b]], [mask @ size[b], size[a] @ mask], [low, high]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, embedding_dedup, fingerprints, line_dedup, packing, substring_dedup, token_files
+from stayline.llm import bpe, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_files
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -119,3 +119,35 @@ ORACLE_SQL["op6_line_dedup"] = f"""
 WITH d AS (SELECT doc_id, text FROM documents), {LINE_DEDUP_SQL}
 SELECT doc_id, text, n_lines, n_removed FROM deduped
 """
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes, links and groups of all documents at a Jaccard similarity of 0.8."""
+    return jaccard_join.near_duplicates(documents(spark, sf_dir)).drop("text_key")
+
+
+#: Needs ``documents`` rows as table ``d(doc_id, text)``; ids are unique.
+JACCARD_SQL = """
+w AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d WHERE text IS NOT NULL)
+), s AS (
+  SELECT DISTINCT doc_id, list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle, i, n FROM w
+), sh AS (SELECT DISTINCT doc_id, shingle FROM s WHERE i = 1 OR i <= n - 4),
+sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(md5(CAST(shingle AS VARCHAR)), '' ORDER BY md5(CAST(shingle AS VARCHAR)))) AS key FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sh a JOIN sh b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT pairs.a, pairs.b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE CAST(pairs.n AS DOUBLE) / (x.n + y.n - pairs.n) >= 0.8
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), cls AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY key) AS class_id FROM sizes),
+nl AS (SELECT a, count(*) AS n FROM links GROUP BY a), comp AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+"""
+ORACLE_SQL["op7_jaccard_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, text FROM documents), {JACCARD_SQL}
+SELECT d.doc_id, coalesce(cls.class_id, d.doc_id) AS class_id, coalesce(nl.n, 0) AS n_links,
+  least(d.doc_id, coalesce(comp.b, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(comp.b, d.doc_id)) AS kept
+FROM d LEFT JOIN cls ON cls.doc_id = d.doc_id LEFT JOIN nl ON nl.a = d.doc_id LEFT JOIN comp ON comp.a = d.doc_id
+"""
