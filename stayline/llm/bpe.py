@@ -21,6 +21,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -192,9 +193,15 @@ class TextEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> TextEncoder:
+    """The encoder of this worker process; its table outlives a task."""
+    return TextEncoder(path)
+
+
 def _run(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(path)
+        encoder = worker_encoder(path)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for batch in slices(batches, "text"):
             n, ids, texts = zip(*encoder.encode(batch.column("text").to_pylist()))

@@ -22,19 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.pieces import PieceEncoder
+from stayline.llm.pieces import worker_encoder
 from stayline.llm.texts import slices
 from stayline.sources.shared import saved
 
 #: Pieces of one length that are ranked together.
-RANKED_TOGETHER = 100_000
+RANKED_TOGETHER = 1_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cut(path: str, spaced: bool, end_id: int, capacity: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(path, spaced)
+        encoder = worker_encoder(path, spaced)
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, "text"):
             doc, piece, start, length, crc, content = [], [], [], [], [], []

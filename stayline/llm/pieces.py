@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import os
 from array import array
+from functools import lru_cache
 
 #: Distinct pieces held per worker; beyond it the table starts anew.
-HELD = 600_000
+HELD = 1_000_000
 
 
 class PieceEncoder:
@@ -96,3 +97,9 @@ class PieceEncoder:
             else:
                 out.append(b"".join(map(get, c)))
         return out
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, spaced: bool) -> PieceEncoder:
+    """The encoder of this worker process; its table outlives a task."""
+    return PieceEncoder(path, spaced)

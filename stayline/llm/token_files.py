@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.pieces import PieceEncoder
+from stayline.llm.pieces import worker_encoder
 from stayline.llm.texts import slices
 
 BLOCK = 1 << 16
@@ -63,7 +63,7 @@ def _write(path: str, spaced: bool, end_id: int, block: int, chunk_ids: int, bit
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        encoder, compress = PieceEncoder(path, spaced), zstandard.ZstdCompressor(level=3).compress
+        encoder, compress = worker_encoder(path, spaced), zstandard.ZstdCompressor(level=3).compress
         end = np.array([end_id], "<u4").tobytes()
         part, chunk = TaskContext.get().partitionId(), 0
         docs: list[int | None] = []
