@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_files
+from stayline.llm import bpe, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_files, toxicity
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -151,3 +151,10 @@ SELECT d.doc_id, coalesce(cls.class_id, d.doc_id) AS class_id, coalesce(nl.n, 0)
   least(d.doc_id, coalesce(comp.b, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(comp.b, d.doc_id)) AS kept
 FROM d LEFT JOIN cls ON cls.doc_id = d.doc_id LEFT JOIN nl ON nl.a = d.doc_id LEFT JOIN comp ON comp.a = d.doc_id
 """
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a classifier that learned from rows not held out."""
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -71,20 +71,27 @@ class Words:
     first: np.ndarray
 
     @classmethod
-    def of(cls, column: pa.Array) -> Words:
+    def of(cls, column: pa.Array, letters: bool = False) -> Words:
+        """``letters``: runs of ASCII letters, digits and any non-ASCII bytes, in ASCII lower case."""
         spaced = with_space(column)
         _, where, content = spaced.buffers()
         offsets = np.frombuffer(where, np.int64)[spaced.offset: spaced.offset + len(spaced) + 1]
         data = np.frombuffer(content, np.uint8)[offsets[0]: offsets[-1]] if content else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0]
-        blank = (data == 32) | ((data >= 9) & (data <= 13))
+        if letters:
+            data = np.where((data >= 65) & (data <= 90), data | 32, data).astype(np.uint8)
+            blank = ~((data >= 128) | ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)))
+        else:
+            blank = (data == 32) | ((data >= 9) & (data <= 13))
         # every text ends with a space, so words never touch across texts
         edges = np.flatnonzero(np.diff(np.concatenate(([True], blank))) != 0)
         starts, ends = edges[0::2], edges[1::2]
         return cls(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.data, self.starts, self.ends, _BYTE)
+    def hashes(self, most: int | None = None) -> np.ndarray:
+        """Hash of each word, or of its first ``most`` bytes."""
+        ends = self.ends if most is None else np.minimum(self.ends, self.starts + most)
+        return span_hashes(self.data, self.starts, ends, _BYTE)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
