@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_files, toxicity
+from stayline.llm import bpe, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -158,3 +158,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a classifier that learned from rows not held out."""
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of all documents and those added by learned contexts."""
+    found = pii.find(documents(spark, sf_dir))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) AS long)").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    spans = found.withColumn("every", F.concat("base", "added"))
+    return spans.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("every").alias("spans"))
