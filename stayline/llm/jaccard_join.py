@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayline.llm.components import components, reached
@@ -254,7 +254,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: float = THR
 
     ``class_id`` is the smallest id with the same shingle set, ``n_links`` the number of other
     documents at or above the threshold, ``component_id`` the smallest id reached by links.
-    ``text_key`` (``xxhash64`` of the text) tells rows with one id apart.
+    ``text_key`` (``xxhash64`` of the text) tells rows with one id apart; ``kept`` is true for
+    the row (and repeated rows) of the smallest id and key of each component.
     """
     ensure_checkpoints(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
@@ -280,13 +281,28 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: float = THR
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cls")
     state = classes.join(links, "cls", "left").join(groups, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    least = state.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = state.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("head"))
     state = state.join(least, "component").select(
-        "set_a", "set_b", F.col("doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "component_id")
+        "set_a", "set_b", F.col("doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), "head")
     # rows without a set, or without an id, meet no class
     sets_of = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("set_a"))
     out = rows.select("doc_id", "text_key", sets_of.alias("set_a"), "set_b").join(state, ["set_a", "set_b"], "left")
     return out.select(
         "doc_id", "text_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        F.coalesce("head.doc_id", "doc_id").alias("component_id"),
+        F.expr("head IS NULL OR (head.doc_id = doc_id AND head.text_key = text_key)").alias("kept"))
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, all columns, less those near an earlier one: one row of each group stays.
+
+    Rows that link with nothing stay, however often they occur.
+    """
+    found = near_duplicates(docs, **how)
+    found = found.groupBy("doc_id", "text_key").agg(F.first("kept").alias("kept"), F.max("n_links").alias("n_links")).where("kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    same = rows["id"].eqNullSafe(found["doc_id"]) & (rows["key"] == found["text_key"])
+    joined = rows.join(found, same).select("row", "id", "key", "n_links")
+    # repeated rows of the one that stays
+    again = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(0)))
+    return joined.withColumn("again", again).where("again = 1 OR n_links = 0").select("row.*")

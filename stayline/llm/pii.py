@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.texts import slices
+from stayline.llm.texts import column_of, slices
 from stayline.sources.shared import saved
 
 KINDS = ("email", "ip", "card", "phone")
@@ -193,9 +193,9 @@ def listed(spans: str):
 
 
 def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "row.text"):
         out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for text, spans in zip(column_of(batch, "row.text").to_pylist(), batch.column("spans").to_pylist()):
             if text is None or not spans:
                 out.append(text)
                 continue
@@ -214,8 +214,8 @@ def redact(docs: DataFrame, **how) -> DataFrame:
     spans = find(docs, **how).select("doc_id", "text_key", F.sort_array(F.concat("base", "added")).alias("spans")).where(F.size("spans") > 0)
     # repeated rows have equal spans
     spans = spans.groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), "text")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
     same = rows["id"].eqNullSafe(spans["doc_id"]) & (rows["key"] == spans["text_key"])
-    joined = rows.join(spans, same, "left").select("row", rows["text"], "spans")
+    joined = rows.join(spans, same, "left").select("row", "spans")
     kind = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_redacted, f"row {kind}, text string")

@@ -124,12 +124,19 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found[order], text[order]
 
 
+def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A column, or a field of a struct column as ``column.field``."""
+    top, _, field = name.partition(".")
+    column = batch.column(top)
+    return pc.struct_field(column, field) if field else column
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that a column holds about ``most`` bytes, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(column_of(batch, column)), 0).to_numpy(zero_copy_only=False)
         total, begin = np.cumsum(sizes, dtype=np.int64), 0
         while begin < batch.num_rows:
             before = total[begin - 1] if begin else 0

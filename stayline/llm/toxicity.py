@@ -27,7 +27,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.llm.texts import U, Words, slices
+from stayline.llm.texts import U, Words, column_of, slices
 from stayline.sources.shared import saved
 
 # Insults by kind, English
@@ -288,9 +288,9 @@ def _chosen(features: list[tuple[int, bool]]):
 
 def _score(features: list[tuple[int, bool]], weights: np.ndarray, bias: float, carry: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = _Finder(features)
-        for batch in slices(batches, "text"):
-            text, at = finder.find(batch.column("text"))
+        finder, place = _Finder(features), "row.text" if carry == "row" else "text"
+        for batch in slices(batches, place):
+            text, at = finder.find(column_of(batch, place))
             total = bias + (np.bincount(text, weights=weights[at], minlength=batch.num_rows) if len(at) else np.zeros(batch.num_rows))
             score = pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))
             yield pa.RecordBatch.from_arrays([batch.column(carry), score], [carry, "score"])
@@ -357,7 +357,7 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
 def clean(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
     run = _score(classifier.features, classifier.weights, classifier.bias, "row")
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select(F.struct("*").alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
     scored = rows.mapInArrow(run, f"row {kind}, score double")
     return scored.where(F.col("score") < THRESHOLD).select("row.*")

@@ -40,13 +40,15 @@ def brute(rows):
     out = []
     for i, (doc, _) in enumerate(rows):
         comp = least[root[i]] if doc is not None else None
-        out.append((doc, cls[i], counts[i], comp, doc is None or doc == comp))
+        out.append((doc, cls[i], counts[i], comp))
     return sorted(out, key=str)
 
 
 def got(frame, **how):
     out = join.near_duplicates(frame, **how).select("doc_id", "class_id", "n_links", "component_id", "kept").collect()
-    return sorted(map(tuple, out), key=str)
+    for r in out:
+        assert r.kept if r.doc_id is None or not r.n_links else r.kept <= (r.doc_id == r.component_id)
+    return sorted((tuple(r)[:4] for r in out), key=str)
 
 
 def family(rng, at, size, words, swaps):
@@ -81,6 +83,11 @@ def test_groups_and_odd_rows(spark, monkeypatch):
     frame = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, cls int, label string")
     want = brute(rows)
     assert got(frame) == want
+    kept = join.keep_one(frame)
+    assert kept.columns == frame.columns
+    left = [r.doc_id for r in kept.collect()]
+    groups = {r[3] for r in want if r[0] is not None}
+    assert sorted(d for d in left if d is not None and d != 3) == sorted(groups - {3}) and left.count(None) == 3
     for name, value in (("PART", 8), ("LEADERS", 2), ("TILE", 2000)):  # salted nodes, full lists, many tiles
         monkeypatch.setattr(join, name, value)
     assert got(frame) == want
