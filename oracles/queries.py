@@ -270,6 +270,16 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
         "calendar_range": calendar(None, SNAPSHOTS),
 
         "slice_exists": on_store(
+            """SELECT m.milestone_day, d.snapshot_date, s.n IS NOT NULL AS found,
+              coalesce(s.unknown = 0, false) AS finished
+            FROM (VALUES (0), (7), (28)) m(milestone_day)
+            CROSS JOIN (VALUES (date '2024-01-05'), (date '2024-01-06'), (date '2024-01-07'),
+              (date '2024-01-08'), (date '2024-02-11'), (date '2024-02-12')) d(snapshot_date)
+            LEFT JOIN (SELECT milestone_day, snapshot_date, count(*) AS n,
+                count(*) FILTER (WHERE label_uninstall_7d IS NULL) AS unknown
+              FROM store GROUP BY ALL) s
+              ON s.milestone_day = m.milestone_day AND s.snapshot_date = d.snapshot_date""", []),
+        "slice_rows": on_store(
             "SELECT milestone_day, snapshot_date, count(*) AS n_rows FROM store GROUP BY ALL", []),
         "latest_version": on_store(
             f"""SELECT milestone_day, version, count(*) AS n_rows,
@@ -278,6 +288,7 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
         "replace_slice": on_store(
             f"""SELECT {KEYS}, {label}, session_cnt_30d FROM store
               WHERE NOT (milestone_day = 7 AND snapshot_date = date '2024-01-12')
+                AND NOT (milestone_day = 1 AND snapshot_date = date '2024-01-09')
             UNION ALL SELECT {KEYS}, 1, session_cnt_30d FROM store
               WHERE milestone_day = 7 AND snapshot_date = date '2024-01-12'
                 AND session_cnt_30d > 0""", ["session_cnt_30d"]),
@@ -290,6 +301,11 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
 
         "risk_baseline": on_store(
             "SELECT * FROM rates", DIMENSIONS, baseline("rates", "2024-01-22", 10)),
+        "risk_baseline_closed": on_store(
+            "SELECT * FROM rates", DIMENSIONS,
+            "closed AS (SELECT * FROM store WHERE milestone_day > 0"
+            " AND snapshot_date <= date '2024-01-22' - 7)",
+            baseline("rates", "2024-01-22", 10).replace("FROM store", "FROM closed")),
         "apply_risk": on_store(
             f"SELECT {KEYS}, {', '.join(DIMENSIONS)}, {rates()} FROM store s",
             DIMENSIONS, baseline("rates", "2024-01-22", 10)),
@@ -333,6 +349,16 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
                 AND d.value = t.{inputs[-1]}) AS double) AS last_input FROM training t""",
             [inputs[0], *CATEGORIES], TRAINING, dictionary("training")),
 
+        **{f"train_{m}": on_store(
+            f"SELECT {KEYS}, {label}, true AS is_probability FROM valid", [], TRAINING, SPLIT)
+           for m in SCORES},
+        **{name: f"SELECT unnest({inputs}) AS feature, true AS is_share"
+           for name in ("feature_importance", "write_importance")},
+        "score": on_store(
+            """SELECT snapshot_date AS prediction_date, user_pseudo_id, true AS are_probabilities,
+              true AS is_primary, true AS is_segment FROM store
+            WHERE milestone_day = 0 AND snapshot_date = date '2024-01-22'""", []),
+
         "choose_model": o.with_flat(
             "SELECT model, auc_pr FROM ranked WHERE rank = 1",
             *scored(), CONFUSION, RANKING, SELECTION),

@@ -108,7 +108,6 @@ TRAIN_RATIO = 0.8
 MISSING_CATEGORY = "__NA__"
 MIN_RISK_SAMPLE = 100
 UNKNOWN_RATE = -1.0
-IMPORTANCE_SAMPLE = 5000
 SEED = 42
 SELECTION_METRIC = "auc_pr"
 MODEL_NAMES = ("gbt_a", "gbt_b", "gbt_c")

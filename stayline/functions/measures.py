@@ -19,6 +19,11 @@ def _days(n: int, first_day: int) -> str:
     return f"d BETWEEN {first_day} AND {n}"
 
 
+def _at_most(n: int, most: int) -> None:
+    if n > most:
+        raise ValueError(f"a window of {n} days exceeds {most}")
+
+
 def sum_in_days(measure: str, n: int, first_day: int = 1) -> str:
     """Sum of a day measure, 0 when there is none."""
     return f"coalesce(sum(CASE WHEN {_days(n, first_day)} THEN {measure} END), 0)"
@@ -33,8 +38,10 @@ def distinct_in_days(facet: str, n: int, first_day: int = 1) -> str:
     """Exact number of distinct facet values seen in the window.
 
     A value counts on the last day it was seen within the window, that is
-    when it comes back only after the window has ended.
+    when it comes back only after the window has ended.  Gaps are known up to
+    the feature window, so longer windows are refused.
     """
+    _at_most(n, c.FEATURE_WINDOW)
     return (
         f"coalesce(sum(CASE WHEN {_days(n, first_day)} AND gap > d - {first_day}"
         f" THEN distinct_{facet} END), 0L)"
@@ -42,7 +49,8 @@ def distinct_in_days(facet: str, n: int, first_day: int = 1) -> str:
 
 
 def days_with(measure: str, n: int) -> str:
-    """Number of days on which the counter was positive."""
+    """Number of days on which the counter was positive; the days are bits of a long."""
+    _at_most(n, 63)
     seen = f"CASE WHEN {_days(n, 1)} AND {measure} > 0 THEN shiftleft(1L, d - 1) END"
     return f"cast(bit_count(coalesce(bit_or({seen}), 0L)) AS bigint)"
 

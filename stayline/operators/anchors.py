@@ -63,10 +63,11 @@ def milestone_rows(rows: DataFrame, anchors: DataFrame, as_of=None,
     joined = rows.join(anchors, USER)
     if not batch_bound:
         joined = joined.where(F.col(DAY) >= F.date_sub("install_date", c.FEATURE_WINDOW))
+    # Only the milestones whose windows or label reach the day are multiplied out.
+    reach = f"filter(milestones, m -> datediff(install_date, {DAY}) + m > {-c.LABEL_HORIZON})"
     anchored = (
-        joined.withColumn("milestone_day", F.explode("milestones")).drop("milestones")
+        joined.withColumn("milestone_day", F.explode(F.expr(reach))).drop("milestones")
         .withColumn("d", F.expr(f"datediff(install_date, {DAY}) + milestone_day"))
-        .where(F.col("d") > -c.LABEL_HORIZON)
     )
     if as_of is not None:
         anchored = anchored.where(
@@ -97,11 +98,11 @@ def calendar_rows(rows: DataFrame, dates) -> DataFrame:
     dates = sorted(_day(x) for x in dates)
     if len(dates) > 1:
         rows = rows.repartition(USER)
-    return (
-        rows.withColumn("snapshot_date", F.explode(F.lit(dates)))
-        .withColumn("d", F.datediff("snapshot_date", DAY))
-        .where(F.col("d").between(1 - c.LABEL_HORIZON, c.FEATURE_WINDOW))
-    )
+    # Only the dates within reach of the day are multiplied out.
+    reach = F.filter(F.lit(dates), lambda x: F.datediff(x, F.col(DAY)).between(
+        1 - c.LABEL_HORIZON, c.FEATURE_WINDOW))
+    return rows.withColumn("snapshot_date", F.explode(reach)).withColumn(
+        "d", F.datediff("snapshot_date", DAY))
 
 
 def user_install_date(events: DataFrame, column: str = "install_date") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayline import config as c
 from stayline.operators.anchors import _day
+from stayline.operators.encoding import of_kind
 from stayline.operators.rollup import USER
 from stayline.sources.events import as_date
 from stayline.sources.store import latest_version
@@ -23,12 +24,7 @@ def training_set(store: DataFrame, as_of, kind: str = "milestone") -> DataFrame:
     rows = store.where(
         (F.col("snapshot_date") <= as_date(cutoff)) & F.col(c.LABEL).isNotNull()
     )
-    if kind == "milestone":
-        rows = rows.where("milestone_day > 0")
-    elif kind == "calendar":
-        rows = rows.where("milestone_day = 0")
-    elif kind != "all":
-        raise ValueError(f"unknown kind {kind!r}")
+    rows = of_kind(rows, kind)
     if "created_at" in store.columns:
         rows = latest_version(rows, c.STORE_KEY, "created_at")
     return rows

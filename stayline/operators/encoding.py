@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline import config as c
-from stayline.operators.lookup import is_small, lookup
+from stayline.operators.lookup import BROADCAST_BYTES, is_small, lookup
 from stayline.operators.rollup import USER
 from stayline.operators.running import BUCKETS, running_totals
 from stayline.sources.events import as_date
@@ -21,18 +21,27 @@ def _unpivot(frame: DataFrame, columns, keep=()) -> DataFrame:
     return frame.select(*keep, F.expr(f"stack({len(columns)}, {pairs}) AS (name, value)"))
 
 
+def of_kind(store: DataFrame, kind: str) -> DataFrame:
+    """``milestone``, ``calendar`` or ``all`` rows of a store."""
+    if kind not in ("milestone", "calendar", "all"):
+        raise ValueError(f"unknown kind {kind!r}")
+    return store if kind == "all" else store.where(f"milestone_day {'>' if kind == 'milestone' else '='} 0")
+
+
 # --- target encoding -------------------------------------------------------
 
 
 def risk_baseline(store: DataFrame, cutoff, min_n: int = c.MIN_RISK_SAMPLE,
-                  dimensions=c.RISK_DIMENSIONS, label_closed: bool = False) -> DataFrame:
+                  dimensions=c.RISK_DIMENSIONS, label_closed: bool = False,
+                  kind: str = "all") -> DataFrame:
     """Uninstall rate and sample size per value, all dimensions in one aggregate.
 
     Only snapshots before the cutoff count; with ``label_closed`` only those
-    whose label window had ended by then.
+    whose label window had ended by then.  ``kind`` is ``milestone``,
+    ``calendar`` or ``all``.
     """
     last = F.date_sub(as_date(cutoff), c.LABEL_HORIZON) if label_closed else None
-    history = store.where(F.col("snapshot_date") < as_date(cutoff))
+    history = of_kind(store, kind).where(F.col("snapshot_date") < as_date(cutoff))
     if last is not None:
         history = history.where(F.col("snapshot_date") <= last)
     return (
@@ -124,16 +133,18 @@ def apply_ordinal(frame: DataFrame, dictionary: DataFrame,
                   columns=c.CATEGORICAL_FEATURES) -> DataFrame:
     """Replace each category by its code, -1 for values the dictionary lacks.
 
-    The dictionary is a saved table; it is read once per column.
+    The dictionary is a saved table; it is read once per column.  Whether its
+    values are broadcast is decided per column, by their bytes.
     """
-    small = is_small(dictionary)
+    bytes_ = {r.feature: r.bytes for r in dictionary.groupBy("feature").agg(
+        F.sum(F.octet_length("value") + 16).alias("bytes")).collect()}
     outputs = {x: F.col(x) for x in frame.columns}
     for column in columns:
         codes = dictionary.where(F.col("feature") == column).select(
             F.col("value").alias("key"), F.col("code").alias("value")
         )
         frame = lookup(frame, f"coalesce({column}, '{c.MISSING_CATEGORY}')", codes,
-                       f"_code_{column}", small=small, spread_by=USER)
+                       f"_code_{column}", small=bytes_.get(column, 0) <= BROADCAST_BYTES, spread_by=USER)
         outputs[column] = F.coalesce(f"_code_{column}", F.lit(-1)).alias(column)
     return frame.select(*outputs.values())
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a lookup side that may be broadcast: a few tens of megabytes.
+# Size of a lookup side that may be broadcast, and rows that surely stay below it.
+BROADCAST_BYTES = 32 << 20
 BROADCAST_ROWS = 200_000
 
 # Copies of a lookup side that is too large for that.

@@ -107,49 +107,57 @@ def load_model(path: str) -> GBTClassificationModel:
     return GBTClassificationModel.load(path)
 
 
+# Rows among which a row finds another row's values.
+RING = 10_000
+
+
 # --- importance ------------------------------------------------------------
 
 
-def importance_sample(encoded: DataFrame, rows: int = c.IMPORTANCE_SAMPLE,
-                      seed: int = c.SEED) -> DataFrame:
+def importance_sample(encoded: DataFrame, rows: int, seed: int = c.SEED) -> DataFrame:
     """A fixed pseudo-random sample of at most ``rows`` rows."""
-    order = F.xxhash64(F.lit(seed), USER, "snapshot_date", "milestone_day")
-    return encoded.withColumn("_order", order).orderBy("_order", *c.STORE_KEY).limit(rows)
+    return encoded.orderBy(_random_order(seed), *c.STORE_KEY).limit(rows)
+
+
+def _random_order(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), USER, "snapshot_date", "milestone_day")
 
 
 def feature_importance(model: GBTClassificationModel, encoded: DataFrame, features,
                        sizes: dict[str, int], nominal: bool = False,
-                       rows: int = c.IMPORTANCE_SAMPLE) -> DataFrame:
+                       rows: int | None = None) -> DataFrame:
     """Mean change of the probability when a feature takes another row's value.
 
-    The sample is bounded; its copies, one per feature, are scored in parallel.
+    All rows count; with ``rows`` a sample of that size.  Rows are dealt to
+    random parts of about ``RING`` rows, in which each takes its value from the
+    next one in a random order.  A row is scored once as it is and once per
+    feature, with one value changed.
     """
-    sample = _inputs(
-        importance_sample(encoded, rows), features, sizes if nominal else None
-    ).select("_order", vector_to_array("features").alias("x"))
-    # A bounded sample, so one ordered window is safe.
-    ring = Window.partitionBy(F.lit(1)).orderBy("_order")
+    if rows is not None:
+        encoded = importance_sample(encoded, rows)
+    parts = -(-encoded.count() // RING)
+    vectors = _inputs(encoded, features, sizes if nominal else None)
+
+    def scored(frame: DataFrame, output: str) -> DataFrame:
+        out = model.transform(frame).withColumn(output, vector_to_array("probability")[1])
+        return out.drop("rawPrediction", "probability", "prediction", "features")
+
+    plain = scored(vectors.select(
+        _random_order(c.SEED).alias("_order"), "features", vector_to_array("features").alias("x")), "p")
+    plain = plain.withColumn("_part", F.pmod(F.xxhash64("_order", F.lit(1)), F.lit(max(1, parts))))
+    ring = Window.partitionBy("_part").orderBy("_order")
     everything = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    paired = sample.withColumn(
+    paired = plain.withColumn(
         "other", F.coalesce(F.lead("x").over(ring), F.first("x").over(everything))
     )
-    swapped = paired.select(
-        "x", "other", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("j")
-    ).select(
-        "j", "x", F.expr("transform(x, (v, i) -> CASE WHEN i = j THEN other[i] ELSE v END)")
-        .alias("swapped"),
+    changed = paired.select("p", "x", F.posexplode("other").alias("j", "value")).select(
+        "j", "p", array_to_vector(F.expr("transform(x, (v, i) -> CASE WHEN i = j THEN value ELSE v END)"))
+        .alias("features"),
     )
-    spread = swapped.repartition("j")
-
-    def scored(column: str, output: str, frame: DataFrame) -> DataFrame:
-        frame = frame.withColumn("features", array_to_vector(column))
-        out = model.transform(frame).withColumn(output, vector_to_array("probability")[1])
-        return out.drop("features", "rawPrediction", "probability", "prediction")
-
-    both = scored("swapped", "p_swapped", scored("x", "p", spread.where("j >= 0")))
     names = F.lit(list(features))
     return (
-        both.groupBy("j").agg(F.avg(F.abs(F.col("p") - F.col("p_swapped"))).alias("importance"))
+        scored(changed, "p_changed").groupBy("j")
+        .agg(F.avg(F.abs(F.col("p") - F.col("p_changed"))).alias("importance"))
         .select(F.element_at(names, F.col("j") + 1).alias("feature"), "importance")
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +14,15 @@ from stayline.operators.encoding import apply_ordinal
 from stayline.operators.rollup import USER
 
 
+@dataclass(frozen=True)
+class Trained:
+    """A model with the dictionary and the inputs it was trained on."""
+
+    model: GBTClassificationModel
+    dictionary: DataFrame
+    inputs: list[str]
+
+
 def choose_model(metrics: DataFrame | None, available) -> str:
     """The model marked best in the latest run, else the first available one."""
     available = [m for m in c.MODEL_NAMES if m in available]
@@ -34,23 +46,44 @@ def risk_segment(probability: str) -> Column:
     return segment
 
 
-def score(snapshot: DataFrame, dictionary: DataFrame, trained: dict, primary: str,
-          features) -> DataFrame:
-    """Probabilities of every trained model, -1 for the others, and the segment."""
-    encoded = apply_ordinal(snapshot, dictionary)
-    sizes = models.dictionary_sizes(dictionary)
-    columns = []
+def score(snapshot: DataFrame, trained: dict, primary: str) -> DataFrame:
+    """Probabilities of every trained model, -1 for the others, and the segment.
+
+    ``trained`` has a model, its dictionary and its inputs by name.  Models that
+    share a dictionary share the encoding.
+    """
+    columns, kept = [], list(snapshot.columns)
+    encodings: list[tuple[DataFrame, list[str]]] = []
     for name in c.MODEL_NAMES:
         output = f"uninstall_prob_{name}"
-        if name in trained:
+        columns.append(output)
+        if name not in trained:
+            snapshot = snapshot.withColumn(output, F.lit(-1.0))
+            kept.append(output)
+            continue
+        for dictionary, names in encodings:
+            if dictionary is trained[name].dictionary:
+                names.append(name)
+                break
+        else:
+            encodings.append((trained[name].dictionary, [name]))
+    for dictionary, names in encodings:
+        # Codes replace the categories for these models only.
+        originals = [F.col(x).alias(f"_own_{x}") for x in c.CATEGORICAL_FEATURES]
+        encoded = apply_ordinal(snapshot.select("*", *originals), dictionary)
+        sizes = models.dictionary_sizes(dictionary)
+        for name in names:
+            output = f"uninstall_prob_{name}"
             encoded = models.probability(
-                trained[name], encoded, features, sizes, models.MODELS[name].nominal, output
+                trained[name].model, encoded, trained[name].inputs, sizes,
+                models.MODELS[name].nominal, output,
             )
-        else:
-            encoded = encoded.withColumn(output, F.lit(-1.0))
-        columns.append(output)
+            kept.append(output)
+        snapshot = encoded.select(*[
+            F.col(f"_own_{x}").alias(x) if x in c.CATEGORICAL_FEATURES else F.col(x) for x in kept
+        ])
     return (
-        encoded.select(
+        snapshot.select(
             F.col("snapshot_date").alias("prediction_date"), USER, *columns,
             F.col(f"uninstall_prob_{primary}").alias("uninstall_prob"),
         )

@@ -6,6 +6,8 @@ a workspace.  Running a job again leaves the same tables.
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -18,6 +20,7 @@ from stayline.operators import (
 )
 from stayline.sources import store as tables
 from stayline.sources.events import as_date, between_days
+from stayline.sources.shared import scratch
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,10 @@ class Workspace:
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
         return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
+    def complete(self, spark: SparkSession, name: str) -> bool:
+        """Whether a table was written to its end; a half-written folder is not."""
+        return self.exists(spark, f"{name}/_SUCCESS")
+
     def store(self, spark: SparkSession) -> DataFrame:
         return tables.read_store(spark, self.path("features"), features.FEATURES)
 
@@ -42,6 +49,13 @@ class Workspace:
     def metrics(self, spark: SparkSession) -> DataFrame:
         return tables.read_table(spark, self.path("metrics"), tables.METRICS_SCHEMA)
 
+    def production(self, spark: SparkSession) -> dict[str, str]:
+        """The run each model is taken from: one row per model."""
+        if not self.exists(spark, "production"):
+            return {}
+        rows = tables.read_table(spark, self.path("production"), tables.PRODUCTION_SCHEMA)
+        return {r.model: r.run_id for r in rows.collect()}
+
     def predictions(self, spark: SparkSession) -> DataFrame:
         return tables.read_table(spark, self.path("predictions"), tables.PREDICTION_SCHEMA)
 
@@ -57,9 +71,10 @@ def init_tables(spark: SparkSession, ws: Workspace) -> None:
 
 
 def refresh_days(events: DataFrame, ws: Workspace, first, last) -> None:
-    """Reduce new days of events to day tables."""
+    """Reduce new days of events to day tables; days without events leave none."""
     tables.write_day_tables(
-        between_days(events, first, last), features.CHURN_ROLLUP, ws.path("days")
+        between_days(events, first, last), features.CHURN_ROLLUP, ws.path("days"),
+        anchors.snapshot_dates(first, last),
     )
 
 
@@ -109,10 +124,21 @@ def _build_slices(spark, ws, events, wanted, force, as_of, narrow=False) -> int:
     if not due:
         return 0
     built = features.slice_features(events, due, as_of=as_of, narrow=narrow)
-    tables.write_features(built, ws.path("features"))
+    slices = [(m, day + timedelta(days=m)) for day, m in due]
+    tables.write_features(built, ws.path("features"), slices)
+    _report_build(spark, ws, slices)
     return len(due)
 
 
+def _report_build(spark, ws, slices) -> None:
+    """Rows and label rate of the slices just built; one row per slice."""
+    days = [day for _, day in slices]
+    wanted = spark.createDataFrame(slices, "milestone_day int, snapshot_date date")
+    built = ws.store(spark).where(F.col("snapshot_date").between(as_date(min(days)), as_date(max(days))))
+    report = tables.build_report(built.join(F.broadcast(wanted), list(tables.SLICE), "left_semi"))
+    tables.write_slices(report, ws.path("reports/builds"), ("snapshot_date",), "milestone_day")
+
+
 def build_label_complete(spark: SparkSession, ws: Workspace, events, run_date,
                          milestones=c.MILESTONES, *, force: bool = False) -> int:
     """Build the slices whose label window closed on the run day."""
@@ -128,7 +154,9 @@ def build_snapshots(spark: SparkSession, ws: Workspace, events, dates, *,
     due = [d for d in days if (0, d) not in done]
     if due:
         built = features.calendar_range(events, due, **options)
-        tables.write_features(built, ws.path("features"))
+        slices = [(0, day) for day in due]
+        tables.write_features(built, ws.path("features"), slices)
+        _report_build(spark, ws, slices)
     return len(due)
 
 
@@ -136,16 +164,21 @@ def build_snapshots(spark: SparkSession, ws: Workspace, events, dates, *,
 
 
 def build_risk(spark: SparkSession, ws: Workspace, cutoff, *, min_n: int = c.MIN_RISK_SAMPLE,
-               first_date=None) -> None:
-    """Merge new rates into the baseline and write them to the recent slices."""
-    new = encoding.risk_baseline(ws.store(spark), cutoff, min_n).withColumn(
-        "updated_at", F.current_timestamp()
-    )
-    if ws.exists(spark, "risk_baseline"):
-        new = encoding.merge_baseline(ws.baseline(spark), new)
-    tables.write_risk_baseline(new, ws.path("risk_baseline"))
-    recent = ws.store(spark).where(F.col("snapshot_date") >= as_date(first_date or cutoff))
-    tables.write_slices(encoding.apply_risk(recent, ws.baseline(spark)), ws.path("features"))
+               first_date=None, kind: str = "milestone") -> None:
+    """Merge new rates into the baseline and write them to the recent slices.
+
+    Rates come from milestone rows with closed labels; scoring snapshots would
+    count the same users again.
+    """
+    with scratch(spark):
+        new = encoding.risk_baseline(
+            ws.store(spark), cutoff, min_n, label_closed=True, kind=kind
+        ).withColumn("updated_at", F.current_timestamp())
+        if ws.exists(spark, "risk_baseline"):
+            new = encoding.merge_baseline(ws.baseline(spark), new)
+        tables.write_risk_baseline(new, ws.path("risk_baseline"))
+        recent = ws.store(spark).where(F.col("snapshot_date") >= as_date(first_date or cutoff))
+        tables.write_slices(encoding.apply_risk(recent, ws.baseline(spark)), ws.path("features"))
 
 
 # --- training --------------------------------------------------------------
@@ -153,62 +186,98 @@ def build_risk(spark: SparkSession, ws: Workspace, cutoff, *, min_n: int = c.MIN
 
 def train_models(spark: SparkSession, ws: Workspace, as_of, *, kind: str = "milestone",
                  names=c.MODEL_NAMES, embargo_days: int = 0, importance: bool = False,
-                 ratio: float = c.TRAIN_RATIO, **overrides) -> DataFrame:
-    """Train, compare and save; returns the metrics, best model first."""
-    run_id = str(as_of)
+                 ratio: float = c.TRAIN_RATIO, run_id: str | None = None,
+                 **overrides) -> DataFrame:
+    """Train, compare and save; returns the metrics, best model first.
+
+    All that a run makes lies below ``runs/<run_id>``: models, the dictionary
+    and inputs they were trained with, held-out scores and reports.  Only when
+    it is complete do the names in ``production`` point at it; earlier runs stay.
+    """
+    run_id = run_id or str(as_of)
+    at = f"runs/{run_id}"
     inputs = features.MODEL_INPUTS
-    rows = dataset.training_set(ws.store(spark), as_of, kind)
-    rows = dataset.require_rows(rows, "the training set")
-    train_rows, valid_rows = dataset.time_split(rows, ratio, embargo_days)
-
-    encoding.fit_ordinal(train_rows).write.mode("overwrite").parquet(ws.path("dictionary"))
-    dictionary = spark.read.parquet(ws.path("dictionary"))
-    sizes = models.dictionary_sizes(dictionary)
-    # Encoded once; boosting reads it many times.
-    for part, frame in (("train", train_rows), ("valid", valid_rows)):
-        encoding.apply_ordinal(frame, dictionary).write.mode("overwrite").parquet(
-            ws.path(f"encoded/{part}")
-        )
-    train_rows = spark.read.parquet(ws.path("encoded/train"))
-    valid_rows = spark.read.parquet(ws.path("encoded/valid"))
-
-    scored = None
-    for name in names:
-        spec = models.MODELS[name]
-        model = models.train(spec, train_rows, valid_rows, inputs, sizes, **overrides)
-        models.save_model(model, ws.path(f"models/{name}"))
-        held_out = models.probability(
-            model, valid_rows, inputs, sizes, spec.nominal, "score"
-        ).select(
-            F.lit(name).alias("model"), "score", F.col(c.LABEL).alias("label"),
-            *[F.col(x).alias(x) for x in c.SEGMENT_BINS],
-        )
-        scored = held_out if scored is None else scored.unionByName(held_out)
-        if importance:
-            tables.write_importance(
-                models.feature_importance(model, valid_rows, inputs, sizes, spec.nominal),
-                ws.path(f"importance/{run_id}/{name}"),
+    with scratch(spark):
+        rows = dataset.training_set(ws.store(spark), as_of, kind)
+        rows = dataset.require_rows(rows, "the training set")
+        dataset.dataset_summary(rows).write.mode("overwrite").parquet(ws.path(f"{at}/summary"))
+        train_rows, valid_rows = dataset.time_split(rows, ratio, embargo_days)
+        encoding.fit_ordinal(train_rows).write.mode("overwrite").parquet(ws.path(f"{at}/dictionary"))
+        spark.createDataFrame(list(enumerate(inputs)), "position int, feature string").write.mode(
+            "overwrite").parquet(ws.path(f"{at}/inputs"))
+        dictionary = spark.read.parquet(ws.path(f"{at}/dictionary"))
+        sizes = models.dictionary_sizes(dictionary)
+        # Encoded once; boosting reads it many times.
+        for part, frame in (("train", train_rows), ("valid", valid_rows)):
+            encoding.apply_ordinal(frame, dictionary).write.mode("overwrite").parquet(
+                ws.path(f"{at}/encoded/{part}")
             )
-    scored.write.mode("overwrite").parquet(ws.path("held_out"))
-    scored = spark.read.parquet(ws.path("held_out"))
-    compared = metrics.model_selection(metrics.model_metrics(scored)).withColumn(
-        "run_id", F.lit(run_id)
-    )
-    tables.write_metrics(compared, ws.path("metrics"))
-    report = metrics.segment_analysis(scored.where(F.col("model") == names[0]))
-    report.write.mode("overwrite").parquet(ws.path("segments"))
+        train_rows = spark.read.parquet(ws.path(f"{at}/encoded/train"))
+        valid_rows = spark.read.parquet(ws.path(f"{at}/encoded/valid"))
+        n_train, n_valid = train_rows.count(), valid_rows.count()
+
+        scored, facts = None, []
+        for name in names:
+            spec, start = models.MODELS[name], time.time()
+            model = models.train(spec, train_rows, valid_rows, inputs, sizes, **overrides)
+            params = json.dumps({**spec.params, **overrides}, sort_keys=True, default=str)
+            facts.append((name, params, n_train, n_valid, len(inputs), round(time.time() - start, 3)))
+            models.save_model(model, ws.path(f"{at}/models/{name}"))
+            held_out = models.probability(
+                model, valid_rows, inputs, sizes, spec.nominal, "score"
+            ).select(
+                F.lit(name).alias("model"), "score", F.col(c.LABEL).alias("label"),
+                *[F.col(x).alias(x) for x in c.SEGMENT_BINS],
+            )
+            scored = held_out if scored is None else scored.unionByName(held_out)
+            if importance:
+                tables.write_importance(
+                    models.feature_importance(model, valid_rows, inputs, sizes, spec.nominal),
+                    ws.path(f"{at}/importance/{name}"),
+                )
+        scored.write.mode("overwrite").parquet(ws.path(f"{at}/held_out"))
+        scored = spark.read.parquet(ws.path(f"{at}/held_out"))
+        about = spark.createDataFrame(
+            facts, "model string, params string, train_rows long, valid_rows long, n_inputs int, train_seconds double")
+        compared = metrics.model_selection(metrics.model_metrics(scored)).join(
+            F.broadcast(about), "model"  # one row per model
+        ).withColumn("run_id", F.lit(run_id))
+        tables.write_metrics(compared, ws.path("metrics"))
+        report = metrics.segment_analysis(scored.where(F.col("model") == names[0]))
+        report.write.mode("overwrite").parquet(ws.path(f"{at}/segments"))
+    tables.write_production(spark, {name: run_id for name in names}, ws.path("production"))
     return ws.metrics(spark).where(F.col("run_id") == run_id)
 
 
+def trained_models(spark: SparkSession, ws: Workspace, runs: dict[str, str]) -> dict[str, scoring.Trained]:
+    """Models of the given runs, each with its own dictionary and inputs."""
+    found, dictionaries = {}, {}
+    for name, run_id in runs.items():
+        at = f"runs/{run_id}"
+        if not ws.complete(spark, f"{at}/models/{name}/metadata"):
+            continue
+        if run_id not in dictionaries:
+            inputs = spark.read.parquet(ws.path(f"{at}/inputs")).orderBy("position").collect()
+            dictionaries[run_id] = (
+                spark.read.parquet(ws.path(f"{at}/dictionary")), [r.feature for r in inputs])
+        found[name] = scoring.Trained(
+            models.load_model(ws.path(f"{at}/models/{name}")), *dictionaries[run_id])
+    return found
+
+
 # --- scoring ---------------------------------------------------------------
 
 
-def score_day(spark: SparkSession, ws: Workspace, events, day) -> DataFrame:
-    """Score the calendar snapshot of a day, building it when absent."""
+def score_day(spark: SparkSession, ws: Workspace, events, day, runs: dict[str, str] | None = None) -> DataFrame:
+    """Score the calendar snapshot of a day, building it when absent.
+
+    Its label is unknown on that day and stays null.  ``runs`` names other runs
+    than those in production.
+    """
     if not ws.exists(spark, "features") or not tables.slice_exists(
         ws.store(spark), milestone_day=0, snapshot_date=day
     ):
-        build_snapshots(spark, ws, events, [day], force=True)
+        build_snapshots(spark, ws, events, [day], force=True, as_of=day)
     snapshot = dataset.require_rows(
         ws.store(spark).where(
             (F.col("milestone_day") == 0) & (F.col("snapshot_date") == as_date(day))
@@ -217,16 +286,16 @@ def score_day(spark: SparkSession, ws: Workspace, events, day) -> DataFrame:
     )
     if ws.exists(spark, "risk_baseline"):
         snapshot = encoding.apply_risk(snapshot, ws.baseline(spark))
-    trained = {n: models.load_model(ws.path(f"models/{n}"))
-               for n in c.MODEL_NAMES if ws.exists(spark, f"models/{n}")}
+    runs = runs or ws.production(spark)
+    trained = trained_models(spark, ws, runs)
     known = ws.metrics(spark) if ws.exists(spark, "metrics") else None
     primary = scoring.choose_model(known, trained)
-    predictions = scoring.score(
-        snapshot, spark.read.parquet(ws.path("dictionary")), trained, primary,
-        features.MODEL_INPUTS,
-    )
-    tables.write_predictions(predictions, ws.path("predictions"))
-    return ws.predictions(spark).where(F.col("prediction_date") == as_date(day))
+    tables.write_predictions(scoring.score(snapshot, trained, primary), ws.path("predictions"))
+    predictions = ws.predictions(spark).where(F.col("prediction_date") == as_date(day))
+    for name, report in (("segments", scoring.segment_distribution(predictions)),
+                         ("means", scoring.mean_probability(predictions))):
+        report.write.mode("overwrite").parquet(ws.path(f"reports/scores/{day}/{name}"))
+    return predictions
 
 
 # --- schedules -------------------------------------------------------------
@@ -235,7 +304,7 @@ def score_day(spark: SparkSession, ws: Workspace, events, day) -> DataFrame:
 def daily(spark: SparkSession, ws: Workspace, events, run_date) -> DataFrame:
     """Label-complete milestone slices, today's snapshot, today's scores."""
     build_label_complete(spark, ws, events, run_date)
-    build_snapshots(spark, ws, events, [run_date], force=True)
+    build_snapshots(spark, ws, events, [run_date], force=True, as_of=run_date)
     return score_day(spark, ws, events, run_date)
 
 

@@ -34,7 +34,7 @@ COHORT = ("2024-01-03", "2024-01-10")
 CUTOFF, EARLY_CUTOFF, MIN_N = "2024-01-22", "2024-01-12", 10
 AS_OF = "2024-01-26"
 DATA_START, REMOVALS = "2024-01-08", ("2024-01-10", "2024-01-30")
-REPLACED_SLICE = (7, "2024-01-12")
+REPLACED_SLICE, EMPTIED_SLICE = (7, "2024-01-12"), (1, "2024-01-09")
 KEYS = ("snapshot_date", USER, "install_date", "milestone_day")
 
 QUERIES: dict = {}
@@ -207,10 +207,9 @@ def exclude_already_churned(spark, sf_dir):
 @query
 def snapshot_dates(spark, sf_dir):
     """Weekly anchors over the days that have events."""
-    span = flat_events(spark, sf_dir).agg(F.min(DAY).alias("lo"), F.max(DAY).alias("hi"))
-    return span.select(
-        F.explode(F.expr("sequence(lo, hi, interval 7 days)")).alias("snapshot_date")
-    )
+    span = flat_events(spark, sf_dir).agg(F.min(DAY).alias("lo"), F.max(DAY).alias("hi")).first()
+    dates = anchors.snapshot_dates(span.lo, span.hi, 7) if span.lo else []
+    return spark.createDataFrame([(d,) for d in dates], "snapshot_date date")
 
 
 @query
@@ -482,6 +481,18 @@ for _mode in ("milestone", "calendar"):
 
 @query
 def slice_exists(spark, sf_dir):
+    """The check per slice, and whether a build would skip it, for present and absent slices."""
+    ws, store = workspace(spark, sf_dir), feature_store(spark, sf_dir)
+    days = [*anchors.snapshot_dates("2024-01-05", "2024-01-08"), *anchors.snapshot_dates("2024-02-11", "2024-02-12")]
+    wanted = [(m, day) for m in (0, 7, 28) for day in days]
+    done = jobs.finished_slices(spark, ws, days)
+    rows = [(m, day, tables.slice_exists(store, milestone_day=m, snapshot_date=day), (m, day) in done)
+            for m, day in wanted]
+    return spark.createDataFrame(rows, "milestone_day int, snapshot_date date, found boolean, finished boolean")
+
+
+@query
+def slice_rows(spark, sf_dir):
     return tables.slice_rows(feature_store(spark, sf_dir))
 
 
@@ -496,7 +507,7 @@ def latest_version(spark, sf_dir):
 
 @query
 def replace_slice(spark, sf_dir):
-    """All slices written, then one of them replaced by fewer rows."""
+    """All slices written, then one of them replaced by fewer rows and one by none."""
     path, (milestone, day) = new_folder(spark), REPLACED_SLICE
     store = feature_store(spark, sf_dir)
     tables.write_slices(store, path)
@@ -504,6 +515,12 @@ def replace_slice(spark, sf_dir):
         (F.col("milestone_day") == milestone) & (F.col("snapshot_date") == as_date(day))
     )
     tables.write_slices(one.where("session_cnt_30d > 0").withColumn(c.LABEL, F.lit(1)), path)
+    # another one is replaced by no rows
+    milestone, day = EMPTIED_SLICE
+    gone = store.where(
+        (F.col("milestone_day") == milestone) & (F.col("snapshot_date") == as_date(day))
+    )
+    tables.write_slices(gone.where("session_cnt_30d < 0"), path, replacing=[EMPTIED_SLICE])
     return tables.read_store(spark, path, f.FEATURES).select(*KEYS, c.LABEL, "session_cnt_30d")
 
 
@@ -529,6 +546,14 @@ def risk_baseline(spark, sf_dir):
     return encoding.risk_baseline(feature_store(spark, sf_dir), CUTOFF, MIN_N)
 
 
+@query
+def risk_baseline_closed(spark, sf_dir):
+    """What the job writes: rates of milestone rows whose label window had ended."""
+    return encoding.risk_baseline(
+        feature_store(spark, sf_dir), CUTOFF, MIN_N, label_closed=True, kind="milestone"
+    )
+
+
 @query
 def apply_risk(spark, sf_dir):
     store = feature_store(spark, sf_dir)
@@ -613,8 +638,6 @@ def assemble(spark, sf_dir):
 
 # --- models and scores -----------------------------------------------------
 
-# Small forests; the parameters of a real run are those in the library.
-_QUICK = {"maxIter": 4, "maxDepth": 3, "minInstancesPerNode": 5}
 _trained: dict = {}
 
 
@@ -622,7 +645,7 @@ def _encoded_split(spark, sf_dir):
     """Encoded train and validation rows and the dictionary, written once."""
     ws = workspace(spark, sf_dir)
     names = ("encoded/train", "encoded/valid", "dictionary")
-    if not ws.exists(spark, "encoded/valid"):
+    if not ws.complete(spark, "encoded/valid"):
         train, valid = dataset.time_split(training_rows(spark, sf_dir))
         encoding.fit_ordinal(train).write.mode("overwrite").parquet(ws.path("dictionary"))
         dictionary = spark.read.parquet(ws.path("dictionary"))
@@ -633,24 +656,24 @@ def _encoded_split(spark, sf_dir):
     return [spark.read.parquet(ws.path(name)) for name in names]
 
 
-def _quick_model(spark, sf_dir, name):
-    """A small model on the train part, its held-out rows and its inputs."""
+def _model(spark, sf_dir, name):
+    """A model of the library's parameters on the train part, its held-out rows and inputs."""
     train, valid, dictionary = _encoded_split(spark, sf_dir)
     sizes = models.dictionary_sizes(dictionary)
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _trained:
-        _trained[key] = models.train(
-            models.MODELS[name], train, valid, f.MODEL_INPUTS, sizes, **_QUICK
-        )
+        fitted = models.train(models.MODELS[name], train, valid, f.MODEL_INPUTS, sizes)
+        _trained[key] = scoring.Trained(fitted, dictionary, f.MODEL_INPUTS)
     return _trained[key], valid, sizes
 
 
 def _held_out(name):
+    """What holds for any trained model: its rows, and scores that are probabilities."""
     def run(spark, sf_dir):
-        model, valid, sizes = _quick_model(spark, sf_dir, name)
+        trained, valid, sizes = _model(spark, sf_dir, name)
         return models.probability(
-            model, valid, f.MODEL_INPUTS, sizes, models.MODELS[name].nominal, "score"
-        ).select(*KEYS, c.LABEL, "score")
+            trained.model, valid, f.MODEL_INPUTS, sizes, models.MODELS[name].nominal, "score"
+        ).select(*KEYS, c.LABEL, F.col("score").between(0, 1).alias("is_probability"))
     return run
 
 
@@ -660,18 +683,22 @@ for _name in c.MODEL_NAMES:
 
 @query
 def feature_importance(spark, sf_dir):
-    model, valid, sizes = _quick_model(spark, sf_dir, "gbt_a")
-    return models.top(models.feature_importance(model, valid, f.MODEL_INPUTS, sizes))
+    trained, valid, sizes = _model(spark, sf_dir, "gbt_a")
+    ranked = models.top(
+        models.feature_importance(trained.model, valid, f.MODEL_INPUTS, sizes), len(f.MODEL_INPUTS)
+    )
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("is_share"))
 
 
 @query
 def write_importance(spark, sf_dir):
     path = new_folder(spark)
-    model, valid, sizes = _quick_model(spark, sf_dir, "gbt_b")
+    trained, valid, sizes = _model(spark, sf_dir, "gbt_b")
     tables.write_importance(
-        models.feature_importance(model, valid, f.MODEL_INPUTS, sizes), path
+        models.feature_importance(trained.model, valid, f.MODEL_INPUTS, sizes), path
     )
-    return spark.read.csv(path, header=True, schema="feature string, importance double")
+    written = spark.read.csv(path, header=True, schema="feature string, importance double")
+    return written.select("feature", F.col("importance").between(0, 1).alias("is_share"))
 
 
 @query
@@ -683,13 +710,21 @@ def choose_model(spark, sf_dir):
 
 @query
 def score(spark, sf_dir):
-    dictionary = _encoded_split(spark, sf_dir)[2]
-    trained = {"gbt_a": _quick_model(spark, sf_dir, "gbt_a")[0],
-               "gbt_c": _quick_model(spark, sf_dir, "gbt_c")[0]}
+    """Scores of one snapshot by all models, reduced to what holds for any models."""
+    trained = {name: _model(spark, sf_dir, name)[0] for name in c.MODEL_NAMES}
     snapshot = feature_store(spark, sf_dir).where(
         (F.col("milestone_day") == 0) & (F.col("snapshot_date") == as_date(SNAPSHOTS[-1]))
     )
-    return scoring.score(snapshot, dictionary, trained, "gbt_a", f.MODEL_INPUTS)
+    scored = scoring.score(snapshot, trained, "gbt_a")
+    probabilities = [F.col(f"uninstall_prob_{m}").between(0, 1) for m in c.MODEL_NAMES]
+    return scored.select(
+        "prediction_date", USER,
+        F.least(*[p.cast("int") for p in probabilities]).cast("boolean").alias("are_probabilities"),
+        (F.col("uninstall_prob") == F.col("uninstall_prob_gbt_a")).alias("is_primary"),
+        F.expr("""risk_segment = CASE WHEN uninstall_prob < 0.3 THEN 'low'
+            WHEN uninstall_prob < 0.5 THEN 'medium' WHEN uninstall_prob < 0.7 THEN 'high'
+            ELSE 'very_high' END""").alias("is_segment"),
+    )
 
 
 @query

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Folders of local applications without the setting, by application id.
 _local: dict[str, str] = {}
 
+# Folders that the innermost open job has written for its own use.
+_scratch: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
@@ -41,10 +46,32 @@ def saved(frame: DataFrame) -> DataFrame:
     were computed from; a lost executor does not lose them.
     """
     path = new_folder(frame.sparkSession)
+    if _scratch:
+        _scratch[-1].append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it is on."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is :func:`saved` within a job is removed at its end.
+
+    The job must have written its results elsewhere by then.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Point RDD checkpoints, which long boosting runs need, at the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -8,12 +8,16 @@ rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline import config as c
 from stayline.operators.rollup import DAY, USER, DayTables, Rollup, day_tables
+from stayline.sources.shared import remove
 
 SLICE = ("milestone_day", "snapshot_date")
 
@@ -61,37 +65,53 @@ PREDICTION_SCHEMA = f"""prediction_date date, {USER} string,
     {", ".join(f"uninstall_prob_{m} double" for m in c.MODEL_NAMES)},
     uninstall_prob double, risk_segment string, created_at timestamp"""
 
+METRICS_SCHEMA = """run_id string, model string, auc_roc double, auc_pr double,
+    precision double, recall double, f1 double, rank int, is_best int,
+    params string, train_rows long, valid_rows long, n_inputs int, train_seconds double"""
+PRODUCTION_SCHEMA = "model string, run_id string, updated_at timestamp"
+
 
 def create_table(spark: SparkSession, path: str, schema, partitions=()) -> None:
     """Create an empty table; an existing one is left alone."""
     empty = spark.createDataFrame([], schema)
     empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
-METRICS_SCHEMA = """run_id string, model string, auc_roc double, auc_pr double,
-    precision double, recall double, f1 double, rank int, is_best int"""
 
 
 # --- slices ----------------------------------------------------------------
 
 
-def write_slices(frame: DataFrame, path: str, partitions=SLICE, sort_by: str = USER) -> None:
-    """Replace exactly the partitions that occur in ``frame``.
+def write_slices(frame: DataFrame, path: str, partitions=SLICE, sort_by: str = USER,
+                 replacing=()) -> None:
+    """Replace the partitions that occur in ``frame`` and those named in ``replacing``.
 
+    A named partition (its values, in order) without rows is removed.  What
+    occurs is observed while the rows are written, one value per partition.
     ``rebalance`` splits a large slice over several files and keeps small ones
     in one; rows are sorted so that files carry useful key ranges.
     """
+    seen = Observation()
     (
-        frame.hint("rebalance", *partitions)
+        frame.observe(seen, F.collect_set(F.concat_ws("/", *partitions)).alias("slices"))
+        .hint("rebalance", *partitions)
         .sortWithinPartitions(*partitions, sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
+    if replacing:
+        written = set(seen.get["slices"])
+        for values in replacing:
+            if "/".join(map(str, values)) not in written:
+                names = "/".join(f"{p}={v}" for p, v in zip(partitions, values))
+                remove(frame.sparkSession, f"{path}/{names}")
 
 
-def write_features(features: DataFrame, path: str) -> None:
+def write_features(features: DataFrame, path: str, replacing=()) -> None:
     """Insert or replace feature slices, stamped with their build time."""
-    write_slices(features.withColumn("created_at", F.current_timestamp()), path)
+    write_slices(
+        features.withColumn("created_at", F.current_timestamp()), path, replacing=replacing
+    )
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -126,13 +146,21 @@ def default_value(feature: str):
 def latest_version(frame: DataFrame, keys, version) -> DataFrame:
     """Keep the newest row per key.
 
-    A maximum over structs, so copies of a key are reduced before the shuffle
-    however many there are; equal versions are settled by the row's values.
+    Keys with several rows are found on the keys alone.  Only their rows are
+    reduced, by a maximum over structs that combines before the shuffle; equal
+    versions are settled by the row's values.  All other rows pass unshuffled
+    as long as the repeated keys are few enough to broadcast, as in a store
+    whose slices were replaced and not appended.
     """
     versions = [version] if isinstance(version, str) else list(version)
     payload = [x for x in frame.columns if x not in (*keys, *versions)]
-    newest = frame.groupBy(*keys).agg(F.max(F.struct(*versions, *payload)).alias("row"))
-    return newest.select(*keys, "row.*").select(*frame.columns)
+    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counts.where("_n > 1").select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    single = frame.join(repeated, same, "left_anti")
+    several = frame.join(repeated, same, "left_semi")
+    newest = several.groupBy(*keys).agg(F.max(F.struct(*versions, *payload)).alias("row"))
+    return single.unionByName(newest.select(*keys, "row.*").select(*frame.columns))
 
 
 def slice_rows(store: DataFrame, by=SLICE) -> DataFrame:
@@ -170,6 +198,12 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     )
 
 
+def write_production(spark: SparkSession, runs: dict[str, str], path: str) -> None:
+    """Point models at the runs that trained them."""
+    rows = spark.createDataFrame(list(runs.items()), "model string, run_id string")
+    write_slices(rows.withColumn("updated_at", F.current_timestamp()), path, ("model",), "run_id")
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Replace the metrics of a training run."""
     write_slices(metrics, path, ("run_id",), "model")
@@ -185,15 +219,15 @@ def write_importance(importance: DataFrame, path: str) -> None:
 # --- day tables ------------------------------------------------------------
 
 
-def write_day_tables(events: DataFrame, spec: Rollup, path: str) -> None:
-    """Add or replace the reduced days that occur in ``events``.
+def write_day_tables(events: DataFrame, spec: Rollup, path: str, days=()) -> None:
+    """Add or replace the reduced days that occur in ``events``, and those in ``days``.
 
     A daily run reads one day of events; feature builds read these tables and
-    never the events again.
+    never the events again.  A day of ``days`` without events is removed.
     """
-    tables = day_tables(events, spec)
-    write_slices(tables.measures, f"{path}/measures", (DAY,))
-    write_slices(tables.values, f"{path}/values", (DAY,))
+    tables, replacing = day_tables(events, spec), [(day,) for day in days]
+    write_slices(tables.measures, f"{path}/measures", (DAY,), replacing=replacing)
+    write_slices(tables.values, f"{path}/values", (DAY,), replacing=replacing)
 
 
 def read_day_tables(spark: SparkSession, spec: Rollup, path: str) -> DayTables:

@@ -31,9 +31,18 @@ def test_weekly_then_daily(spark, tmp_path):
 
     chosen = ws.metrics(spark).where("is_best = 1").collect()
     assert len(chosen) == 1 and chosen[0].run_id == "2024-01-24"
-    importance = spark.read.csv(ws.path("importance/2024-01-24/gbt_a"), header=True)
+    importance = spark.read.csv(ws.path("runs/2024-01-24/importance/gbt_a"), header=True)
     assert importance.count() == 146
-    assert spark.read.parquet(ws.path("segments")).count() > 0
+    assert spark.read.parquet(ws.path("runs/2024-01-24/segments")).count() > 0
+    facts = ws.metrics(spark).where("model = 'gbt_a'").first()
+    assert '"maxDepth": 2' in facts.params and facts.n_inputs == 146
+    assert facts.train_rows > 0 and facts.valid_rows > 0 and facts.train_seconds > 0
+    summary = spark.read.parquet(ws.path("runs/2024-01-24/summary")).first()
+    assert summary.n_rows == facts.train_rows + facts.valid_rows
+    assert spark.read.parquet(ws.path("reports/builds")).count() > 0
+    scores = spark.read.parquet(ws.path("reports/scores/2024-01-24/segments"))
+    assert scores.where("risk_segment = 'all'").first().users == 150
+    assert spark.read.parquet(ws.path("reports/scores/2024-01-24/means")).count() == 1
 
     second = jobs.daily(spark, ws, days, "2024-01-25")
     assert second.count() == 150
@@ -64,3 +73,61 @@ def test_missing_slices_only(spark, tmp_path):
     store = ws.store(spark)
     assert store.where("snapshot_date >= '2024-01-08' AND country_uninstall_rate >= 0").count() > 0
     assert store.where("snapshot_date < '2024-01-08' AND country_uninstall_rate >= 0").count() == 0
+
+
+def test_rates_never_learn_from_open_labels(spark, tmp_path):
+    """Events end on the run day, so the labels of the scoring snapshot are unknown."""
+    ws = jobs.Workspace(str(tmp_path))
+    events = flat_events(spark, SF).where("event_date < '2024-01-20'")
+    jobs.build_milestones(spark, ws, events, "2024-01-01", "2024-01-12", [1, 7], as_of="2024-01-20")
+    jobs.build_snapshots(spark, ws, events, ["2024-01-20"], as_of="2024-01-20")
+    store = ws.store(spark)
+    snapshot = store.where("milestone_day = 0")
+    assert snapshot.count() > 0 and snapshot.where(f"{c.LABEL} IS NOT NULL").count() == 0
+    # a snapshot that was built with false labels does not count either
+    false = snapshot.withColumn(c.LABEL, F.lit(0)).withColumn("snapshot_date", F.lit("2024-01-10").cast("date"))
+    jobs.tables.write_slices(false, ws.path("features"))
+    jobs.build_risk(spark, ws, "2024-01-20", min_n=1)
+    closed = store.where("milestone_day > 0 AND snapshot_date <= '2024-01-13'")
+    for r in ws.baseline(spark).where("dimension = 'country'").collect():
+        rows = closed.where(F.col("country") == r.value)
+        assert r.sample_size == rows.count()
+        assert r.uninstall_rate == round(rows.agg(F.avg(c.LABEL)).first()[0], 4)
+
+
+def test_days_without_events_leave_none(spark, tmp_path):
+    ws, events = jobs.Workspace(str(tmp_path)), flat_events(spark, SF)
+    jobs.refresh_days(events, ws, "2024-01-08", "2024-01-10")
+    jobs.refresh_days(events.where("event_date <> '2024-01-09'"), ws, "2024-01-09", "2024-01-09")
+    left = jobs.day_tables(spark, ws)
+    for table in (left.measures, left.values):
+        days = {r[0] for r in table.select("event_date").distinct().collect()}
+        assert date(2024, 1, 9) not in days and days
+
+
+def test_runs_keep_their_own_dictionary(spark, tmp_path):
+    ws, events = jobs.Workspace(str(tmp_path)), flat_events(spark, SF)
+    jobs.build_milestones(spark, ws, events, "2024-01-01", "2024-01-12", [1, 7])
+    jobs.train_models(spark, ws, "2024-01-28", names=("gbt_a", "gbt_b"), run_id="one", **QUICK)
+    first = {r.user_pseudo_id: r for r in jobs.score_day(spark, ws, events, "2024-01-22").collect()}
+    # other rows, so other codes; only one model is trained again
+    store = ws.store(spark).where("milestone_day = 1 AND snapshot_date < '2024-01-09'")
+    renamed = store.withColumn("country", F.concat(F.lit("a"), "country")).withColumn("last_screen", F.reverse("last_screen"))
+    jobs.tables.write_slices(renamed, ws.path("features"))
+    jobs.train_models(spark, ws, "2024-01-28", names=("gbt_a",), run_id="two", **QUICK)
+    codes = [spark.read.parquet(ws.path(f"runs/{r}/dictionary")).exceptAll(
+        spark.read.parquet(ws.path(f"runs/{s}/dictionary"))).count() for r, s in (("one", "two"), ("two", "one"))]
+    assert max(codes) > 0
+    assert ws.production(spark) == {"gbt_a": "two", "gbt_b": "one"}
+    second = {r.user_pseudo_id: r for r in jobs.score_day(spark, ws, events, "2024-01-22").collect()}
+    assert all(second[u].uninstall_prob_gbt_b == r.uninstall_prob_gbt_b for u, r in first.items())
+    back = jobs.score_day(spark, ws, events, "2024-01-22", runs={"gbt_a": "one", "gbt_b": "one"})
+    assert all(first[r.user_pseudo_id].uninstall_prob_gbt_a == r.uninstall_prob_gbt_a for r in back.collect())
+
+
+def test_scratch_is_removed(spark):
+    from stayline.sources.shared import saved, scratch
+    with scratch(spark):
+        path = saved(spark.range(3)).inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    import os
+    assert not os.path.exists(path)

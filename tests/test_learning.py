@@ -226,3 +226,45 @@ def test_models_use_their_inputs(spark):
     sample = models.importance_sample(frame, 50)
     assert sample.count() == 50 and sorted(sample.collect()) == sorted(
         models.importance_sample(frame.repartition(7), 50).collect())
+
+
+def _signal_frame(spark, n, days=4):
+    rng = random.Random(7)
+    rows = []
+    for i in range(n):
+        k = rng.randint(0, 3)
+        rows.append((START + timedelta(days=i % days), f"u{i}", 7, k, rng.random(), int(rng.random() < (0.8 if k in (0, 2) else 0.1))))
+    return spark.createDataFrame(
+        rows, "snapshot_date date, user_pseudo_id string, milestone_day int, k int, noise double,"
+              f" {c.LABEL} int")
+
+
+def test_registered_parameters_learn(spark):
+    """The parameters of the library, unchanged, beat chance on held-out rows."""
+    train, valid = dataset.time_split(_signal_frame(spark, 3000).cache())
+    for name, spec in models.MODELS.items():
+        model = models.train(spec, train, valid, ["noise", "k"], {"k": 4})
+        scored = models.probability(model, valid, ["noise", "k"], {"k": 4}, spec.nominal, "score")
+        got = metrics.ranking_metrics(scored.withColumnRenamed(c.LABEL, "label")).collect()[0]
+        assert got.auc_roc > 0.8, name
+
+
+def test_importance_sees_every_row(spark):
+    frame = _signal_frame(spark, 6001)
+    train, valid = dataset.time_split(frame)
+    model = models.train(models.MODELS["gbt_b"], train, valid, ["noise", "k"], {"k": 4}, maxIter=3)
+    used = {r.feature: r.importance for r in models.feature_importance(model, frame, ["noise", "k"], {"k": 4}).collect()}
+    fewer = {r.feature: r.importance for r in models.feature_importance(
+        model, frame, ["noise", "k"], {"k": 4}, rows=5000).collect()}
+    assert used["k"] != fewer["k"] and abs(used["k"] - fewer["k"]) < 0.05
+    plan = models.feature_importance(model, frame, ["noise", "k"], {"k": 4})._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_long_windows_are_refused():
+    from stayline.functions import measures
+
+    with pytest.raises(ValueError):
+        measures.distinct_in_days("session", 31)
+    with pytest.raises(ValueError):
+        measures.days_with("n", 64)
