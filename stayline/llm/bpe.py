@@ -22,6 +22,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from stayline.llm.texts import slices
 
 #: Distinct pieces of text whose encodings a worker keeps.
-HELD = 500_000
+HELD = 800_000
+#: Distinct steps of the walk that are kept.
+STEPS = 500_000
 
 
 class TrieEncoder:
@@ -50,23 +53,29 @@ class TrieEncoder:
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self.rank.setdefault((left, right), k)
         #: tokens by their symbols: a last symbol that ends a word is a symbol of its own
-        self.longest = 1
         self.tokens: dict[str, int] = {}
+        starts: set[str] = set()
         for token, i in self.vocab.items():
             ended = self.suffix and token.endswith(self.suffix)
-            self.tokens[token[: -len(self.suffix)] + "\0" if ended else token] = i
-            self.longest = max(self.longest, len(token) - (len(self.suffix) if ended else 0))
-        self.whole: dict[int, bool] = {}
+            symbols = token[: -len(self.suffix)] + "\0" if ended else token
+            self.tokens[symbols] = i
+            starts.update(symbols[:k] for k in range(1, len(symbols) + 1))
+        self.starts = starts
+        #: by what may still grow into a token and the next symbol: the same after it,
+        #: and the tokens that end there as (symbols, token), longest first
+        self.steps: dict[tuple[str, str], tuple[str, list[tuple[int, int]]]] = {}
         self.valid: dict[tuple[int, int], bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain byte-pair merging, lowest rank first, from the left."""
-        symbols = list(symbols)
+        symbols, rank = list(symbols), self.rank.get
         while len(symbols) > 1:
-            best = min(range(len(symbols) - 1), key=lambda i: (self.rank.get((symbols[i], symbols[i + 1]), 1 << 60), i))
-            if (symbols[best], symbols[best + 1]) not in self.rank:
+            ranks = [rank(pair, 1 << 60) for pair in zip(symbols, symbols[1:])]
+            least = min(ranks)
+            if least == 1 << 60:
                 break
-            symbols[best: best + 2] = [symbols[best] + symbols[best + 1]]
+            at = ranks.index(least)
+            symbols[at: at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
     def symbols(self, text: str) -> list[str]:
@@ -75,18 +84,25 @@ class TrieEncoder:
             return [*text[:-2], text[-2] + self.suffix]
         return list(text)
 
-    def _is_valid(self, left: str, right: str) -> bool:
-        return self.merged(self.symbols(left + right)) == [*self._one(left), *self._one(right)]
+    def _is_valid(self, left: str, token: int) -> bool:
+        """Whether a token may follow one (not at a word end): both stay as they are together."""
+        right = self.strings[token]
+        ended = self.suffix and right.endswith(self.suffix)
+        text = left + (right[: -len(self.suffix)] + "\0" if ended else right)
+        return self.merged(self.symbols(text)) == [left, right]
 
-    def _one(self, text: str) -> list[str]:
-        return [text[:-1] + self.suffix if text.endswith("\0") else text]
-
-    def _is_token(self, text: str, token: int) -> bool:
-        """Whether the token's own text encodes to the token."""
-        found = self.whole.get(token)
-        if found is None:
-            found = self.whole[token] = self.merged(self.symbols(text)) == self._one(text)
-        return found
+    def _step(self, held: str, edge: str) -> tuple[str, list[tuple[int, int]]]:
+        text = held + edge
+        ended = text.endswith("\0")
+        found = []
+        for at in range(len(text) - ended):
+            part = text[at:]
+            token = self.tokens.get(part)
+            # a token counts if its own text encodes to it
+            if token is not None and self.merged(self.symbols(part)) == [self.strings[token]]:
+                found.append((len(part) - ended, token))
+        grows = next((text[at:] for at in range(len(text)) if text[at:] in self.starts), "")
+        return grows, found
 
     def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words, each given as its byte-level characters."""
@@ -98,10 +114,12 @@ class TrieEncoder:
             # the last character carries the word end: an edge of its own, to a leaf
             node[word[-1] + "\0"] = None
         out: dict[str, tuple[int, ...]] = {}
-        tokens, longest, valid = self.tokens, self.longest, self.valid
+        steps, valid = self.steps, self.valid
+        if len(steps) > STEPS:
+            steps.clear()
         prefix = ""
         # by depth: the last token of the prefix and how many symbols it takes
-        last, width = [-1], [0]
+        last, width, open_ = [-1], [0], [""]
         stack = [iter(trie.items())]
         while stack:
             step = next(stack[-1], None)
@@ -110,22 +128,22 @@ class TrieEncoder:
                 prefix = prefix[:-1]
                 last.pop()
                 width.pop()
+                open_.pop()
                 continue
             edge, below = step
-            here, depth = prefix + edge, len(prefix) + 1
+            depth = len(last)
+            after = steps.get((open_[-1], edge))
+            if after is None:
+                after = steps[(open_[-1], edge)] = self._step(open_[-1], edge)
             chosen = size = -1
-            for size in range(min(longest, depth), 0, -1):
-                part = here[depth - size:]
-                token = tokens.get(part)
-                if token is None or not self._is_token(part, token):
-                    continue
+            for size, token in after[1]:
                 before = last[depth - size]
                 if before < 0:
                     ok = size == depth
                 else:
                     ok = valid.get((before, token))
                     if ok is None:
-                        ok = valid[(before, token)] = self._is_valid(self.strings[before], part)
+                        ok = valid[(before, token)] = self._is_valid(self.strings[before], token)
                 if ok:
                     chosen = token
                     break
@@ -134,15 +152,20 @@ class TrieEncoder:
                 while at:
                     ids.append(last[at])
                     at -= width[at]
-                out[here[:-1]] = tuple(reversed(ids))
+                out[prefix + edge[:-1]] = tuple(reversed(ids))
             else:
-                prefix = here
+                prefix += edge
                 last.append(chosen)
                 width.append(size)
+                open_.append(after[0])
                 stack.append(iter(below.items()))
         return out
 
 
+_CONTROLS = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile(r"[^\S\x1c-\x1f]+")
+
+
 class TextEncoder:
     """Ids and decoded texts of whole texts."""
 
@@ -155,12 +178,30 @@ class TextEncoder:
         self.trie = TrieEncoder(path)
         self.special = re.compile("(" + "|".join(map(re.escape, self.trie.special)) + ")") if self.trie.special else None
         self.held = held
-        self.pieces: dict[str, tuple[int, str, str]] = {}  # number of ids, ids and tokens as text
+        self.decimal = {i: str(i) for i in self.trie.strings}
+        #: how the splitter shows the bytes of Latin letters
+        self.byte_chars: dict[int, str] = {}
+        for char in filter(str.isalpha, map(chr, range(0x250))):
+            self.byte_chars.update(zip(char.encode(), self.split(char)[0][0]))
+        # by word, and by piece of text: ids and tokens, each joined by spaces
+        self.words: dict[str, tuple[str, str]] = {}
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}
 
-    def _words(self, piece: str) -> list[str | int]:
+    def _parts(self, piece: str) -> list[str | int]:
         """Byte-level words of a piece without white space inside; special tokens as ids."""
-        if piece.isascii() and piece.isalpha():
-            return [piece.lower()]
+        if piece.isascii():
+            if piece.isalpha():
+                return [piece.lower()]
+            if piece[-1] in ".," and piece[:-1].isalpha():
+                return [piece[:-1].lower(), piece[-1]]
+        elif piece[-1] in ".," and piece[:-1].isalpha():
+            return [*self._parts(piece[:-1]), piece[-1]]
+        elif piece.isalpha():
+            # Latin letters in composed form change by lower case only
+            normal = piece.lower() if max(piece) < "\u0250" and is_normalized("NFC", piece) else self.normalise(piece)
+            if normal.isalpha() and max(normal) < "\u0250":
+                return ["".join([self.byte_chars[b] for b in normal.encode()])]
         out: list[str | int] = []
         for k, part in enumerate(self.special.split(piece) if self.special else [piece]):
             if k % 2:
@@ -170,26 +211,34 @@ class TextEncoder:
         return out
 
     def _learn(self, missing: set[str]) -> None:
-        words = {p: self._words(p) for p in missing}
-        found = self.trie.encode_words({w for ws in words.values() for w in ws if isinstance(w, str)})
-        strings = self.trie.strings
-        for piece, ws in words.items():
-            ids = [i for w in ws for i in ((w,) if isinstance(w, int) else found[w])]
-            self.pieces[piece] = (len(ids), " ".join(map(str, ids)), " ".join([strings[i] for i in ids]))
+        parts = {p: self._parts(p) for p in missing}
+        words, decimal, strings = self.words, self.decimal, self.trie.strings
+        unknown = {w for ws in parts.values() for w in ws if isinstance(w, str)}.difference(words)
+        for word, ids in self.trie.encode_words(unknown).items():
+            words[word] = (" ".join([decimal[i] for i in ids]), " ".join([strings[i] for i in ids]))
+        for piece, ws in parts.items():
+            if len(ws) == 1 and isinstance(ws[0], str):
+                self.ids[piece], self.decoded[piece] = words[ws[0]]
+            else:
+                shown = [(decimal[w], strings[w]) if isinstance(w, int) else words[w] for w in ws]
+                self.ids[piece], self.decoded[piece] = " ".join([i for i, _ in shown]), " ".join([d for _, d in shown])
 
     def encode(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Number of ids, ids and decoded text, each joined by one space, of every text."""
-        if len(self.pieces) > self.held:
-            self.pieces.clear()
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        if len(self.ids) + len(self.words) // 2 > self.held:
+            self.ids.clear()
+            self.decoded.clear()
+            self.words.clear()
+        # white space as the normaliser knows it; four controls are more than that to Python
+        cut = [(t or "").split() if not _CONTROLS.search(t or "") else [p for p in _SPACE.split(t) if p] for t in texts]
         wanted: set[str] = set()
         for c in cut:
             wanted.update(c)
-        self._learn(wanted.difference(self.pieces))
-        out, get = [], self.pieces.__getitem__
+        self._learn(wanted.difference(self.ids))
+        out = []
         for c in cut:
-            n, ids, strings = zip(*map(get, c))
-            out.append((sum(n), " ".join(filter(None, ids)), " ".join(filter(None, strings))))
+            ids = " ".join(map(self.ids.__getitem__, c))
+            out.append((ids.count(" ") + 1 if ids else 0, ids, " ".join(map(self.decoded.__getitem__, c))))
         return out
 
 
