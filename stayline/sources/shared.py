@@ -52,10 +52,23 @@ def saved(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it is on."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def file_names(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files in a folder, none when it does not exist."""
+    files, folder = _file_system(spark, path)
+    if not files.exists(folder):
+        return set()
+    return {x.getPath().getName() for x in files.listStatus(folder)}
 
 
 @contextmanager

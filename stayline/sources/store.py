@@ -11,13 +11,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline import config as c
 from stayline.operators.rollup import DAY, USER, DayTables, Rollup, day_tables
-from stayline.sources.shared import remove
+from stayline.sources.shared import file_names, remove
 
 SLICE = ("milestone_day", "snapshot_date")
 
@@ -84,27 +84,25 @@ def write_slices(frame: DataFrame, path: str, partitions=SLICE, sort_by: str = U
                  replacing=()) -> None:
     """Replace the partitions that occur in ``frame`` and those named in ``replacing``.
 
-    A named partition (its values, in order) without rows is removed.  What
-    occurs is observed while the rows are written, one value per partition.
+    A named partition (its values, in order) that got no rows is removed: its
+    files are still the old ones after the write.
     ``rebalance`` splits a large slice over several files and keeps small ones
     in one; rows are sorted so that files carry useful key ranges.
     """
-    seen = Observation()
+    spark = frame.sparkSession
+    folders = ["/".join([path, *[f"{p}={v}" for p, v in zip(partitions, x)]]) for x in replacing]
+    before = [file_names(spark, folder) for folder in folders]
     (
-        frame.observe(seen, F.collect_set(F.concat_ws("/", *partitions)).alias("slices"))
-        .hint("rebalance", *partitions)
+        frame.hint("rebalance", *partitions)
         .sortWithinPartitions(*partitions, sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
-    if replacing:
-        written = set(seen.get["slices"])
-        for values in replacing:
-            if "/".join(map(str, values)) not in written:
-                names = "/".join(f"{p}={v}" for p, v in zip(partitions, values))
-                remove(frame.sparkSession, f"{path}/{names}")
+    for folder, names in zip(folders, before):
+        if names and file_names(spark, folder) == names:
+            remove(spark, folder)
 
 
 def write_features(features: DataFrame, path: str, replacing=()) -> None:
