@@ -36,7 +36,7 @@ from stayline.sources.shared import ensure_checkpoints, saved
 
 SHINGLE, THRESHOLD, TREES, LONGEST, RECALL = 5, 0.8, 20, 6, 0.9995
 #: A node's classes per salted part, leaders per part, shingles per tile.
-PART, LEADERS, TILE = 4_000, 32, 1 << 19
+PART, LEADERS, TILE = 4_000, 32, 1 << 18
 
 _SETS = "doc_id long, text_key long, set_a long, set_b long, n_shingles int, signature binary"
 
@@ -130,10 +130,13 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
 
 
 def _lead(connect: float, close: float, leaders: int):
-    """Edges from classes to leaders; rows are streamed, only leaders are held."""
+    """Edges from classes to leaders; rows are streamed, only leaders are held.
+
+    Leaders that hang together already need one edge from a class, not one each.
+    """
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, signs, held = None, None, []
+        current, signs, group, held = None, None, None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -143,17 +146,22 @@ def _lead(connect: float, close: float, leaders: int):
             for i, (n, s, c) in enumerate(zip(node, salt, cls)):
                 if (n, s) != current:
                     current, held = (n, s), []
+                    group = np.empty(leaders, int)  # the first leader that each hangs together with
                     signs = np.empty((leaders, signatures.shape[1]), np.uint16)
                 near = (signs[: len(held)] == signatures[i]).mean(axis=1) if held else np.zeros(0)
-                for k in np.flatnonzero(near >= connect):
-                    out.append((n, c, held[k], False))
-                if not len(near) or near.max() < close:
-                    if len(held) < leaders:
-                        signs[len(held)] = signatures[i]
-                        held.append(c)
-                        out.append((n, c, c, True))
-                    else:
-                        out.append((n, c, held[0], False))
+                joined = np.unique(group[np.flatnonzero(near >= connect)]) if held else np.zeros(0, int)
+                settled, full = len(near) and near.max() >= close, len(held) == leaders
+                if full and not settled:
+                    joined = np.union1d(joined, group[:1])
+                out.extend((n, c, held[k], False) for k in joined.tolist())
+                if len(joined) > 1:
+                    part = group[: len(held)]
+                    part[np.isin(part, joined)] = joined[0]
+                if not full and not settled:
+                    signs[len(held)] = signatures[i]
+                    group[len(held)] = joined[0] if len(joined) else len(held)
+                    held.append(c)
+                    out.append((n, c, c, True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(col, t) for col, t in zip(zip(*out) if out else [[]] * 4, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
                 ["node", "a", "b", "leads"])
