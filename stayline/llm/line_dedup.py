@@ -24,31 +24,41 @@ from pyspark.sql import functions as F
 MEAN, WINDOW, BASE = 3, 2, 31
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL that evaluates ``value`` once for all its uses in ``body``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _chunks(text: str, mean: int, window: int, base: int):
-    """Expression for the chunks of a text column."""
-    lines = f"split({text}, '\\n', -1)"
-    hashes = f"transform({lines}, x -> cast(conv(substr(md5(x), 1, 7), 16, 10) AS bigint))"
-    rolled = hashes
+    """Expression for the chunks of a text column, null for a null text."""
+    rolled = "hashes"
     for back in range(1, window):
         # hashes of the lines ``back`` lines earlier, 0 before the first
         rolled = (
-            f"zip_with({rolled}, slice(concat(array_repeat(0L, {back}), {hashes}), 1, size({lines})),"
+            f"zip_with({rolled}, slice(concat(array_repeat(0L, {back}), hashes), 1, size(hashes)),"
             f" (a, b) -> a + {base ** back} * b)")
-    marked = f"zip_with({lines}, {rolled}, (x, r) -> concat('x', x, if(r % {mean} = 0, '\\nb', '')))"
     # the end of a text ends its last chunk in any case
-    joined = f"array_join({marked}, '\\n')"
-    return F.expr(f"split(regexp_replace({joined}, '\\nb$', ''), '\\nb\\n', -1)")
+    ends = f"transform({rolled}, (r, i) -> i < size(hashes) - 1 AND r % {mean} = 0)"
+    marked = f"array_join(zip_with(lines, {ends}, (x, e) -> concat('x', x, if(e, '\nb', ''))), '\n')"
+    hashes = "transform(lines, x -> cast(conv(substr(md5(x), 1, 7), 16, 10) AS bigint))"
+    whole = _let("lines", f"split({text}, '\n', -1)", _let("hashes", hashes, f"split({marked}, '\nb\n', -1)"))
+    return F.expr(f"if({text} IS NULL, NULL, {whole})")
 
 
 def remove_repeated_chunks(docs: DataFrame, mean: int = MEAN, window: int = WINDOW, base: int = BASE) -> DataFrame:
-    """``docs`` with shorter texts, between ``row`` (all columns) and counts of lines.
+    """``docs`` with shorter texts and counts of lines.
 
-    Returns ``row`` (the given columns as a struct), ``text``, ``n_lines`` and ``n_removed``.
+    Returns ``row`` (the given columns with the new text, as a struct), ``text``, ``n_lines``
+    and ``n_removed``.  A text moves once, as its chunks.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc"), _chunks("text", mean, window, base).alias("chunks"))
-    known = rows.where("doc IS NOT NULL AND chunks IS NOT NULL").select("doc", "chunks")
+    chunks = _chunks("text", mean, window, base).alias("chunks")
+    others = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != "text"])
+    rows = docs.select(others.alias("row"), F.col("doc_id").cast("long").alias("doc"), chunks)
+    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), chunks)
     several = F.expr("filter(transform(chunks, (c, i) -> struct(i AS pos, c AS chunk)), p -> contains(p.chunk, '\\n') AND p.chunk RLIKE '(^|\\n)x[^\\n]*[^\\\\s][^\\n]*')")
-    places = known.select("doc", F.explode(several).alias("p")).select("doc", "p.pos", F.xxhash64("p.chunk").alias("hash"))
+    hashed = F.transform(several, lambda p: F.struct(p["pos"].alias("pos"), F.xxhash64(p["chunk"]).alias("hash")))
+    # the outer form, for the inner one would evaluate its argument twice
+    places = known.select("doc", F.explode_outer(hashed).alias("p")).select("doc", "p.*").where("pos IS NOT NULL")
     again = places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     found = places.join(again, "hash", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("at"))
     texts = known.join(found, "doc").select("doc", F.explode(F.expr("transform(at, p -> struct(p AS pos, chunks[p] AS chunk))")).alias("p"))
@@ -59,7 +69,8 @@ def remove_repeated_chunks(docs: DataFrame, mean: int = MEAN, window: int = WIND
         "row", "chunks", F.expr("array_except(sequence(0, size(chunks) - 1), coalesce(removed, cast(array() AS array<int>)))").alias("keep"))
     kept = kept.select("row", F.expr("if(chunks IS NULL, 0, size(split(array_join(chunks, '\\n'), '\\n', -1)))").alias("n_lines"),
                        F.expr("if(chunks IS NULL, NULL, array_join(transform(keep, i -> chunks[i]), '\\n'))").alias("left"))
+    new = F.expr("substr(replace(concat('\\n', left), '\\nx', '\\n'), 2)")
     return kept.select(
-        "row", F.expr("substr(replace(concat('\\n', left), '\\nx', '\\n'), 2)").alias("text"),
-        F.col("n_lines").cast("long").alias("n_lines"),
+        F.struct(*[new.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]).alias("row"),
+        new.alias("text"), F.col("n_lines").cast("long").alias("n_lines"),
         F.expr("cast(n_lines - if(left IS NULL OR left = '', 0, size(split(left, '\\n', -1))) AS long)").alias("n_removed"))
