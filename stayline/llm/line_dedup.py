@@ -52,7 +52,7 @@ def remove_repeated_chunks(docs: DataFrame, mean: int = MEAN, window: int = WIND
     and ``n_removed``.  A text moves once, as its chunks.
     """
     chunks = _chunks("text", mean, window, base).alias("chunks")
-    others = F.struct(F.lit(0).alias("_"), *[c for c in docs.columns if c != "text"])
+    others = F.struct(F.lit(0).alias("_no_column"), *[c for c in docs.columns if c != "text"])
     rows = docs.select(others.alias("row"), F.col("doc_id").cast("long").alias("doc"), chunks)
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), chunks)
     several = F.expr("filter(transform(chunks, (c, i) -> struct(i AS pos, c AS chunk)), p -> contains(p.chunk, '\\n') AND p.chunk RLIKE '(^|\\n)x[^\\n]*[^\\\\s][^\\n]*')")
