@@ -42,6 +42,8 @@ MINED, MINED_VOTERS, PURE = 192, 8, 0.8
 #: Rows on which the classifier is fitted at most, and its features.
 SAMPLE, FEATURES = 20_000, 2048
 THRESHOLD = 0.7
+#: Bytes of text whose word starts a worker holds at a time.
+SLICE = 1 << 20
 #: Bytes of word starts (``None``: whole words); a start is dense in a text if it begins two
 #: words or more and at least one word in ``DENSE``.
 STARTS, DENSE = (None, 4, 5, 6, 8), 200
@@ -107,7 +109,7 @@ _COUNTS = "start long, dense boolean, bad double, n long"
 
 def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with each feature and their toxic share ``p``, added up per slice."""
-    for batch in slices(batches, "text", 2 << 20):
+    for batch in slices(batches, "text", SLICE):
         p = batch.column("p").to_numpy()
         starts, dense, text = _events(batch.column("text"))
         for kind in (False, True):
@@ -154,7 +156,7 @@ def _vote(mined: list[tuple[int, bool]]):
         address = re.compile(rf"\b(?:you|your|you're|u)\b[^.!?\n]{{0,40}}\b(?:{spoken})\b", re.IGNORECASE)
         masked = re.compile(r"\b[a-z]+[*@$!01]{1,3}[a-z]+\b", re.IGNORECASE)
         low = MINED_VOTERS + len(LEXICONS)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             votes = np.zeros(batch.num_rows, np.int64)
             text, at = finder.find(batch.column("text"))
             np.bitwise_or.at(votes, text, np.int64(1) << (at % MINED_VOTERS))
@@ -277,7 +279,7 @@ def _chosen(features: list[tuple[int, bool]]):
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = _Finder(features)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             text, at = finder.find(batch.column("text"))
             order = np.lexsort((at, text))
             cuts = np.searchsorted(text[order], np.arange(batch.num_rows + 1)).astype(np.int32)
@@ -289,7 +291,7 @@ def _chosen(features: list[tuple[int, bool]]):
 def _score(features: list[tuple[int, bool]], weights: np.ndarray, bias: float, carry: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, place = _Finder(features), "row.text" if carry == "row" else "text"
-        for batch in slices(batches, place):
+        for batch in slices(batches, place, SLICE):
             text, at = finder.find(column_of(batch, place))
             total = bias + (np.bincount(text, weights=weights[at], minlength=batch.num_rows) if len(at) else np.zeros(batch.num_rows))
             score = pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))
