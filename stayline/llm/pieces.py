@@ -18,7 +18,7 @@ from array import array
 from functools import lru_cache
 
 #: Distinct pieces held per worker; beyond it the table starts anew.
-HELD = 1_000_000
+HELD = 800_000
 
 
 class PieceEncoder:

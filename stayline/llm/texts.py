@@ -7,7 +7,9 @@ a difference of two running sums; they are finished with a bit mixer.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -131,8 +133,12 @@ def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pc.struct_field(column, field) if field else column
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that a column holds about ``most`` bytes, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a column holds about ``most`` bytes, or one row.
+
+    At the end of a task free memory goes back to the system: workers live on, and
+    what one stage has freed must not count against the next one.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -143,3 +149,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             end = max(begin + 1, int(np.searchsorted(total, before + most, "right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    give_back()
+
+
+def give_back() -> None:
+    """Return the freed memory of this worker to the system, where that is possible."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
