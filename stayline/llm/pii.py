@@ -6,7 +6,8 @@ value of a span).  Loosely shaped strings that are no base spans (``name (at) ho
 numbers without a plus, card numbers that fail their check digit, IPv6) hang in the same
 graph, unscored.  Spark scores it round by round: a pattern is as sure of a kind as the
 share of its instances known to be of that kind, given enough of them; an unknown
-instance is as sure as its patterns together.  Unknown spans in a sure pattern are added.
+instance is as sure as its patterns together, and counts for further patterns in the
+next round.  Unknown spans in a sure pattern are added.
 
 Positions are code points, ends exclusive.  Defined results: a null or empty text has no
 spans; repeated rows are returned each, with equal spans; null ids are kept; extra
@@ -15,6 +16,7 @@ columns are ignored by :func:`find` and kept by :func:`redact`.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -130,9 +132,14 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-_MENTION = "struct<kind:int,start:int,end:int,seed:boolean,value:string,patterns:array<string>>"
+_MENTION = "struct<kind:int,start:int,end:int,seed:boolean,value:binary,patterns:array<string>>"
 _ARROW = pa.list_(pa.struct([
-    ("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
+    ("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()), ("value", pa.binary()), ("patterns", pa.list_(pa.string()))]))
+
+
+def _identity(value: str) -> bytes:
+    """Hash of a whole value, without regard to case."""
+    return hashlib.blake2b(value.lower().encode(), digest_size=16).digest()
 
 
 def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +150,7 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = base_spans(text)
             here = [(s, k, e, True) for s, k, e in base] + [(s, k, e, False) for s, k, e in loose_spans(text, base)]
             rows.append([
-                {"kind": k, "start": s, "end": e, "seed": seed, "value": text[s: min(e, s + 200)].lower(), "patterns": patterns(text, s, e)}
+                {"kind": k, "start": s, "end": e, "seed": seed, "value": _identity(text[s:e]), "patterns": patterns(text, s, e)}
                 for s, k, e, seed in sorted(here)])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_key"), pa.array(rows, _ARROW)], ["doc_id", "text_key", "mentions"])
@@ -153,9 +160,9 @@ def _sure_patterns(mentions: DataFrame, rounds: int, support: int) -> DataFrame:
     """``pattern, kind, sure`` of patterns that know enough instances of a kind."""
     rows = mentions.select(F.explode("mentions").alias("m")).select("m.kind", "m.seed", "m.value", F.explode("m.patterns").alias("pattern"))
     edges = rows.groupBy("pattern", "kind", "value").agg(F.max("seed").alias("seed"))
-    # only patterns with enough seeds and something unknown can add anything
-    useful = edges.groupBy("pattern", "kind").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.sum((~F.col("seed")).cast("int")).alias("unknown"))
-    useful = useful.groupBy("pattern").agg(F.max("seeds").alias("seeds"), F.sum("unknown").alias("unknown")).where((F.col("seeds") >= support) & (F.col("unknown") > 0))
+    # a pattern needs this many values of a kind, known or yet to be found, and something unknown, to add anything in any round
+    useful = edges.groupBy("pattern", "kind").agg(F.count("*").alias("values"), F.sum((~F.col("seed")).cast("int")).alias("unknown"))
+    useful = useful.groupBy("pattern").agg(F.max("values").alias("values"), F.sum("unknown").alias("unknown")).where((F.col("values") >= support) & (F.col("unknown") > 0))
     edges = saved(edges.join(useful.select("pattern"), "pattern"))
     scores = edges.where("NOT seed").select("kind", "value", F.lit(0.0).alias("score")).distinct()
     for _ in range(rounds):

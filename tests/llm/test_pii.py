@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 from conftest import ODD_TEXTS, odd_rows
 
 from stayline.llm import pii
@@ -79,3 +80,23 @@ def test_contexts_find_unseen_identifiers(spark):
     assert found[201].added[0].kind == 3 and hidden[201][found[201].added[0].start: found[201].added[0].end] == "555-867-5309"
     red = {r.row.doc_id: r.text for r in pii.redact(frame).collect()}
     assert red[200] == "write to: [EMAIL] soon" and red[300] == fine[300] and red[100] == "ipsum my phone: [PHONE] thanks"
+
+
+def test_contexts_of_found_values_find_more(spark):
+    rows = [(i, f"lorem {i} write to: user{i}@mail{i % 5}.example.com soon") for i in range(30)]
+    # ten unseen values stand in a context of seeds and in one that has no seed at all
+    rows += [(100 + i, f"lorem write to: pal{i} (at) host{i} (dot) org soon") for i in range(10)]
+    rows += [(200 + i, f"ipsum {i} ping me: pal{i} (at) host{i} (dot) org thanks") for i in range(10)]
+    rows += [(300, "ipsum ping me: eve (at) corp (dot) net thanks"), (301, "we stayed (at) home thanks")]
+    found = {r.doc_id: r.added for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one = {r.doc_id: r.added for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string"), rounds=1).collect()}
+    assert all(len(found[d]) == 1 for d in [*range(100, 110), *range(200, 210), 300]) and not found[301]
+    assert not one[300]
+    assert rows[50][1][found[300][0].start: found[300][0].end] == "eve (at) corp (dot) net"
+
+
+def test_long_values_are_told_apart():
+    texts = ["a" * 300 + "1@x.org", "A" * 300 + "1@x.org", "a" * 300 + "2@x.org"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text_key": [1, 2, 3], "text": texts})
+    values = [m["value"] for out in pii._mentions(iter([batch])) for row in out.column("mentions").to_pylist() for m in row]
+    assert values[0] == values[1] != values[2]
