@@ -12,7 +12,8 @@ no content can be taken for a boundary.
 
 Defined results: a null text stays null and has no lines; a row with a null id keeps all
 and takes nothing; repeated rows, or rows that share an id, do not remove each other's
-chunk in the same position; a text whose chunks are all removed is empty; all other
+chunk in the same position, and what goes from one text of an id stays in its others
+unless repeated there; a text whose chunks are all removed is empty; all other
 columns are kept whatever their names.
 """
 
@@ -53,19 +54,21 @@ def remove_repeated_chunks(docs: DataFrame, mean: int = MEAN, window: int = WIND
     """
     chunks = _chunks("text", mean, window, base).alias("chunks")
     others = F.struct(F.lit(0).alias("_no_column"), *[c for c in docs.columns if c != "text"])
-    rows = docs.select(others.alias("row"), F.col("doc_id").cast("long").alias("doc"), chunks)
-    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), chunks)
+    # rows may share an id, so a place is in a text of an id
+    place = [F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("key")]
+    rows = docs.select(others.alias("row"), *place, chunks)
+    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(*place, chunks)
     several = F.expr("filter(transform(chunks, (c, i) -> struct(i AS pos, c AS chunk)), p -> contains(p.chunk, '\\n') AND p.chunk RLIKE '(^|\\n)x[^\\n]*[^\\\\s][^\\n]*')")
     hashed = F.transform(several, lambda p: F.struct(p["pos"].alias("pos"), F.xxhash64(p["chunk"]).alias("hash")))
     # the outer form, for the inner one would evaluate its argument twice
-    places = known.select("doc", F.explode_outer(hashed).alias("p")).select("doc", "p.*").where("pos IS NOT NULL")
+    places = known.select("doc", "key", F.explode_outer(hashed).alias("p")).select("doc", "key", "p.*").where("pos IS NOT NULL")
     again = places.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    found = places.join(again, "hash", "left_semi").groupBy("doc").agg(F.collect_set("pos").alias("at"))
-    texts = known.join(found, "doc").select("doc", F.explode(F.expr("transform(at, p -> struct(p AS pos, chunks[p] AS chunk))")).alias("p"))
-    texts = texts.select("doc", "p.*")
+    found = places.join(again, "hash", "left_semi").groupBy("doc", "key").agg(F.collect_set("pos").alias("at"))
+    texts = known.join(found, ["doc", "key"]).select("doc", "key", F.explode(F.expr("transform(at, p -> struct(p AS pos, chunks[p] AS chunk))")).alias("p"))
+    texts = texts.select("doc", "key", "p.*")
     firsts = texts.groupBy("chunk").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    removed = texts.join(firsts, "chunk").where("struct(doc, pos) != first").groupBy("doc").agg(F.collect_set("pos").alias("removed"))
-    kept = rows.join(removed, "doc", "left").select(
+    removed = texts.join(firsts, "chunk").where("struct(doc, pos) != first").groupBy("doc", "key").agg(F.collect_set("pos").alias("removed"))
+    kept = rows.join(removed, ["doc", "key"], "left").select(
         "row", "chunks", F.expr("array_except(sequence(0, size(chunks) - 1), coalesce(removed, cast(array() AS array<int>)))").alias("keep"))
     kept = kept.select("row", F.expr("if(chunks IS NULL, 0, size(split(array_join(chunks, '\\n'), '\\n', -1)))").alias("n_lines"),
                        F.expr("if(chunks IS NULL, NULL, array_join(transform(keep, i -> chunks[i]), '\\n'))").alias("left"))

@@ -54,6 +54,17 @@ def test_odd_rows_and_shifted_passages(spark):
     assert line_dedup.remove_repeated_chunks(frame.limit(0)).count() == 0
 
 
+def test_other_text_of_the_same_id_keeps_its_chunks(spark):
+    passage = "\n".join(f"line {i} of a passage" for i in range(40))
+    clean = "\n".join(f"clean line {i}" for i in range(40))
+    rows = [(1, passage), (5, passage), (5, clean), (5, clean), (5, "own\n" + passage), (6, clean)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = line_dedup.remove_repeated_chunks(frame).select("row.doc_id", "text", "n_lines", "n_removed")
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == brute(rows)
+    assert got.count((5, clean, 40, 0)) == 2
+
+
 def test_boundaries_resist_shifts():
     found = total = 0
     for k in range(60):
