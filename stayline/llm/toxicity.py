@@ -154,7 +154,10 @@ def _vote(mined: list[tuple[int, bool]]):
         lexicons = _Finder(fixed)
         spoken = "|".join(w for words in LEXICONS for w in words)
         address = re.compile(rf"\b(?:you|your|you're|u)\b[^.!?\n]{{0,40}}\b(?:{spoken})\b", re.IGNORECASE)
-        masked = re.compile(r"\b[a-z]+[*@$!01]{1,3}[a-z]+\b", re.IGNORECASE)
+        sign = re.compile(r"[*@$!01][A-Za-z]")
+        # addresses are passed over, whatever signs they have
+        masked = re.compile(
+            r"\b(?:https?://|www\.)\S+|(?<![\w.%+-])[\w.%+-]++@[\w-]++(?:\.[\w-]++)+|(\b[a-z]+[*@$!01]{1,3}[a-z]+\b)", re.IGNORECASE)
         low = MINED_VOTERS + len(LEXICONS)
         for batch in slices(batches, "text", SLICE):
             votes = np.zeros(batch.num_rows, np.int64)
@@ -169,7 +172,7 @@ def _vote(mined: list[tuple[int, bool]]):
                     votes[i] |= 1 << low
                 if "!!" in t or t.isupper():
                     votes[i] |= 1 << (low + 1)
-                if ("*" in t or "$" in t) and masked.search(t):
+                if sign.search(t) and any(m[1] for m in masked.finditer(t)):
                     votes[i] |= 1 << (low + 2)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes)], ["doc_id", "votes"])
     return vote

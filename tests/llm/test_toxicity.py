@@ -76,3 +76,11 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in out)
     for d, y in ((docs.limit(0), labels), (docs, labels.limit(0)), (docs.limit(0), labels.limit(0))):
         assert tox.score(d, tox.fit(d, y)).count() == d.count()
+
+
+def test_masked_words_vote_by_any_sign():
+    bad = ["an id1ot", "st@pid idea", "such a m0ron", "id!ot", "f*ck", "a$s", "see bob@example.com, id1ot"]
+    fine = ["bob@example.com", "write a1b.c0d@x-y.example.org now", "https://example.com/a1b", "www.foo1bar.org", "the 1st of 10", "wow! yes", ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(bad + fine))), "text": bad + fine})
+    votes = [v for out in tox._vote([])(iter([batch])) for v in out.column("votes").to_pylist()]
+    assert [v >> (tox.VOTERS - 1) & 1 for v in votes] == [1] * len(bad) + [0] * len(fine)
