@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import SparkSession
@@ -8,6 +7,8 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
+from rows import SCHEMA  # noqa: E402
+
 from stayline import config as c  # noqa: E402
 
 
@@ -28,21 +29,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-INSTALL = date(2024, 3, 1)
-SCHEMA = c.FLAT_SCHEMA.replace("install_date timestamp", "install_date date")
-
-
-def row(day, **values):
-    """One event; ``day`` is a date or days after the install."""
-    if isinstance(day, int):
-        day = INSTALL + timedelta(days=day)
-    base = {
-        "user_pseudo_id": "u", "event_date": day, "event_name": "x", "install_date": INSTALL,
-        "event_timestamp": int(datetime(day.year, day.month, day.day, 12).timestamp() * 1e6),
-    }
-    return {**base, **values}
-
-
 @pytest.fixture(scope="session")
 def frame(spark):
     names = [part.split()[0] for part in c.FLAT_SCHEMA.replace("\n", " ").split(",")]

@@ -4,7 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import INSTALL, row
+from rows import INSTALL, row
 from pyspark.sql import functions as F
 
 from stayline import config as c

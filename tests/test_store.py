@@ -71,7 +71,7 @@ def test_shared_folder_is_the_configured_one(spark):
 
 
 def test_flat_events_are_staged_by_day(spark, tmp_path, frame):
-    from conftest import row
+    from rows import row
 
     from stayline.sources import events as e
     path = str(tmp_path / "flat")
