@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import public_tokenizers
-from conftest import ODD_TEXTS, odd_rows
+from odd import ODD_TEXTS, odd_rows
 from tokenizers import Tokenizer
 
 from stayline.llm import bpe

@@ -4,7 +4,7 @@ import hashlib
 import re
 
 import numpy as np
-from conftest import odd_rows
+from odd import odd_rows
 
 from stayline.llm import fingerprints as fp
 from stayline.llm.queries import QUERIES

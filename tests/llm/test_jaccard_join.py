@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 from compare import differences, duck
-from conftest import odd_rows
+from odd import odd_rows
 from test_embeddings import find
 
 from stayline.llm import jaccard_join as join

@@ -3,7 +3,7 @@
 import hashlib
 
 from compare import differences, duck
-from conftest import odd_rows
+from odd import odd_rows
 
 from stayline.llm import line_dedup
 from stayline.llm.queries import ORACLE_SQL, QUERIES

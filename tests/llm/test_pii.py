@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pyarrow as pa
-from conftest import ODD_TEXTS, odd_rows
+from odd import ODD_TEXTS, odd_rows
 
 from stayline.llm import pii
 from stayline.llm.queries import QUERIES

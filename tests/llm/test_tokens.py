@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import ODD_TEXTS, odd_rows
+from odd import ODD_TEXTS, odd_rows
 from tokenizers import Tokenizer
 
 from stayline.llm import packing, token_files

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from conftest import odd_rows
+from odd import odd_rows
 
 from stayline.llm import toxicity as tox
 from stayline.llm.queries import QUERIES
