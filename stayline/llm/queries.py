@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
+from stayline.llm import bpe, conversations, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -167,3 +167,88 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) AS long)").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     spans = found.withColumn("every", F.concat("base", "added"))
     return spans.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("every").alias("spans"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired texts of all conversations after damage."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.audits(rows, conversations.damaged(rows))
+
+
+def _edit(way: str, cost: str, letter: str) -> str:
+    """SQL of a way (nine digits of cost, then letters) with one more edit."""
+    return f"lpad(CAST(CAST(left({way}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({way}, 10) || {letter}"
+
+
+#: The cheapest ways to stand before any row, behind s, behind u and behind a, by rows.
+_STEP = f"""CASE x[1]
+  WHEN '2' THEN [w[1], w[2], least(w[3], {", ".join(_edit(f"w[{k}]", "5", "'I'") for k in (1, 2, 4))}), w[4]]
+  WHEN '3' THEN [w[1], w[2], w[3], least(w[4], {_edit("w[3]", "5", "'I'")})]
+  ELSE [{_edit("w[1]", "2", "'D'")},
+    least({_edit("w[2]", "2", "'D'")}, {_edit("w[1]", "CAST(x[6] AS BIGINT)", "'K'")}),
+    least({_edit("w[3]", "2", "'D'")}, {", ".join(_edit(f"w[{k}]", "CAST(x[2] AS BIGINT)", "x[3]") for k in (1, 2, 4))}),
+    least({_edit("w[4]", "2", "'D'")}, {_edit("w[3]", "CAST(x[4] AS BIGINT)", "x[5]")})] END"""
+
+ORACLE_SQL["op12_conversation_repair"] = f"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([CAST(i AS BIGINT)] || [0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+), g AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place
+  FROM conversations
+), k AS (
+  SELECT g.*, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(place, ''), lambda x: CAST(unicode(x) AS BIGINT)),
+    lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS BIGINT) + 1])), 4294967295) % 20 AS kind
+  FROM g, crc
+), d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE kind <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d
+), s AS (
+  SELECT *, left(role, 1) AS r, regexp_extract(text, '([^\\\\x20\\\\x09-\\\\x0D])[\\\\x20\\\\x09-\\\\x0D]*$', 1) AS last,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o
+), f AS (
+  SELECT *, CASE WHEN last = '' THEN 1 WHEN again THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault FROM s
+), c AS (
+  SELECT conv_id,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal,
+    [['000000000', '300000000', '300000000', '300000000']] || flatten(list([['2'], ['3'], e] ORDER BY i)) || [['2'], ['3']] AS steps
+  FROM (SELECT *, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS p FROM f) f,
+    LATERAL (SELECT CASE WHEN fault IN (1, 2) THEN ['r', '100000000', 'D', '100000000', 'D', '100000000'] ELSE [
+      'r', CAST(p + CAST(r <> 'u' AS INTEGER) AS VARCHAR), CASE WHEN r = 'u' THEN 'K' ELSE 'R' END,
+      CAST(p + CAST(r <> 'a' AS INTEGER) AS VARCHAR), CASE WHEN r = 'a' THEN 'K' ELSE 'R' END,
+      CAST(CASE WHEN r = 's' THEN p ELSE 100000000 END AS VARCHAR)] END AS e)
+  GROUP BY conv_id
+), a AS (
+  SELECT * EXCLUDE (steps, w), CAST(left(w, 9) AS BIGINT) AS cost, substr(w, 10) AS audit
+  FROM (SELECT *, list_reduce(steps, lambda w, x: {_STEP}) AS ws FROM c), LATERAL (SELECT least(ws[1], ws[4]) AS w)
+), t AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS j
+  FROM a WHERE audit <> ''
+), n AS (
+  SELECT *, sum(CAST(letter <> 'I' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) AS i,
+    sum(CAST(letter <> 'D' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY j) AS made FROM t
+), m AS (
+  SELECT n.*, f.r, CASE WHEN letter = 'I' THEN '' ELSE f.text END AS text, f.role,
+    max(CAST(letter = 'K' AND f.r = 's' AS INTEGER)) OVER (PARTITION BY n.conv_id) AS led
+  FROM n LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM n.conv_id AND f.i = n.i WHERE letter <> 'D'
+), p AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (made - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || text, chr(10) ORDER BY j)) AS digest FROM m GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
