@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, conversations, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
+from stayline.llm import bpe, contamination, conversations, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -252,3 +252,50 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents in 10-word windows of benchmark items, and items nearly there."""
+    found = contamination.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slop=2)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"))
+
+
+#: Lengths of windows are those of items with fewer than 10 words, and 10; a near window
+#: has its words, as often as it has them, within 12 consecutive words.
+ORACLE_SQL["op13_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents
+), q AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark WHERE text IS NOT NULL
+), w AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS n, ws[i:i + 9] AS words
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM q WHERE len(ws) > 0)
+), lengths AS (SELECT DISTINCT n FROM w), p AS (
+  SELECT r, i, n, ws[i:i + n - 1] AS words
+  FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), lengths WHERE i + n - 1 <= len(ws)
+), h AS (SELECT DISTINCT r, i, n, item FROM p JOIN w USING (n, words)
+), hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM h) GROUP BY r
+), it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r
+), total AS (SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM d) GROUP BY word
+), kind AS (SELECT DISTINCT list_sort(words) AS words, n + 2 AS span FROM w
+), rare AS (
+  SELECT k.words, span, arg_min(word, (coalesce(t.n, 0), word)) AS word
+  FROM (SELECT words, span, unnest(words) AS word FROM kind) k LEFT JOIN total t USING (word) GROUP BY k.words, span
+), place AS (SELECT r, ws, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM d
+), near AS (
+  SELECT DISTINCT r, words FROM (SELECT r, ws, words, span, unnest(range(greatest(j - span + 1, 1), j + 1)) AS s FROM place JOIN rare USING (word))
+  WHERE list_bool_and(list_transform(words, lambda x: len(list_filter(ws[s:s + span - 1], lambda y: y = x)) >= len(list_filter(words, lambda y: y = x))))
+), ne AS (SELECT r, count(DISTINCT item) AS n_near FROM near JOIN (SELECT item, list_sort(words) AS words FROM w) USING (words) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near_items
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r) LEFT JOIN ne USING (r)
+"""
