@@ -39,16 +39,24 @@ def new_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{uuid4().hex}"
 
 
-def saved(frame: DataFrame) -> DataFrame:
+#: Parquet settings for rows of megabytes: small row groups, sizes looked at after each row.
+LARGE_ROWS = {
+    "parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1,
+    "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1,
+}
+
+
+def saved(frame: DataFrame, large_rows: bool = False) -> DataFrame:
     """A reduced frame, written once and read back.
 
     For results that are used several times and are far smaller than what they
-    were computed from; a lost executor does not lose them.
+    were computed from; a lost executor does not lose them.  A reader holds a row group
+    at least, which ``large_rows`` keeps to a few megabytes or one row.
     """
     path = new_folder(frame.sparkSession)
     if _scratch:
         _scratch[-1].append(path)
-    frame.write.parquet(path)
+    frame.write.options(**(LARGE_ROWS if large_rows else {})).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
