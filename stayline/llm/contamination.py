@@ -2,7 +2,7 @@
 
 Documents are indexed once: a segment (a row in the shared folder) covers a few
 megabytes of neighbouring documents and holds its distinct words, and per word the list of
-its positions in ascending order.  Words are runs of ASCII letters, digits and characters
+its positions in ascending order, as compressed planes.  Words are runs of ASCII letters, digits and characters
 beyond ASCII, in ASCII lower case.
 
 Test items become windows of ``size`` consecutive words (an item of fewer words, but at
@@ -34,17 +34,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.llm.texts import Words, slices
+from stayline.llm.token_files import from_planes, to_planes
 from stayline.sources.shared import saved
 
 #: Bytes of text in a segment (a longer document is one of its own), bytes of windows in a
 #: block, candidates that are looked at together.
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 BLOCK = 16 << 20
-TOGETHER = 1 << 20
+TOGETHER = 1 << 19
 
 _INDEX = (
-    "part int, segment int, doc_ids array<long>, n_words array<int>, hashes binary, counts binary, positions binary, "
-    "terms binary, term_sizes binary")
+    "part int, segment int, doc_ids array<long>, n_words array<int>, terms binary, counts array<binary>, positions array<binary>")
 _HITS = "part int, segment int, place int, spans array<struct<start: int, end: int>>, windows array<long>, near array<long>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -57,7 +57,9 @@ def _taken(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 def _index(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
+        import zstandard
+
+        compress, part = zstandard.ZstdCompressor(level=1).compress, TaskContext.get().partitionId()
         for k, batch in enumerate(slices(batches, "text", size)):
             words = Words.of(batch.column("text"), letters=True)
             hashes = words.hashes()
@@ -66,13 +68,12 @@ def _index(size: int):
             heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
             first = positions[heads]
             sizes = words.ends[first] - words.starts[first]
-            content = [
-                ordered[heads].astype("<u8"), np.diff(np.append(heads, len(ordered))).astype("<u4"), positions.astype("<u4"),
-                _taken(words.data, words.starts[first], sizes), sizes.astype("<u4")]
+            counts = np.diff(np.append(heads, len(ordered)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([k], pa.int32()),
                  pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([words.counts()], pa.list_(pa.int32())),
-                 *(pa.array([c.tobytes()], pa.binary()) for c in content)],
+                 pa.array([compress(_taken(words.data, words.starts[first], sizes + 1).tobytes())], pa.binary()),
+                 *(pa.array([to_planes(x, False, compress)], pa.list_(pa.binary())) for x in (counts, positions))],
                 [f.split()[0] for f in _INDEX.split(", ")])
     return run
 
@@ -80,7 +81,7 @@ def _index(size: int):
 def build(docs: DataFrame, size: int = SEGMENT) -> DataFrame:
     """The positional index of ``docs(doc_id, text)``, written to the shared folder."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return saved(rows.mapInArrow(_index(size), _INDEX))
+    return saved(rows.mapInArrow(_index(size), _INDEX), large_rows=True)
 
 
 def _cut(size: int):
@@ -123,25 +124,25 @@ class Windows:
 class _Segment:
     """The lists of one segment, as sorted keys of (word, position)."""
 
-    def __init__(self, row: dict):
-        self.hashes = np.frombuffer(row["hashes"], "<u8")
-        self.counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
-        self.positions = np.frombuffer(row["positions"], "<u4").astype(np.int64)
+    def __init__(self, row: dict, decompress):
+        terms = decompress(row["terms"])
+        self.words = Words.of(pa.array([terms], pa.binary()), letters=True)  # ascending by hash
+        self.terms, self.hashes = terms, self.words.hashes()
+        total, n = sum(row["n_words"]), len(self.hashes)
+        self.counts = from_planes(row["counts"], n, False, decompress).astype(np.int64)
+        self.positions = from_planes(row["positions"], total, False, decompress).astype(np.int64)
         self.begins = np.cumsum(self.counts) - self.counts
-        self.sizes = np.frombuffer(row["term_sizes"], "<u4").astype(np.int64)
-        self.terms = row["terms"]
         self.bounds = np.concatenate(([0], np.cumsum(np.asarray(row["n_words"], np.int64))))
-        self.keys = np.append((np.repeat(np.arange(len(self.counts)), self.counts) << 32) | self.positions, np.iinfo(np.int64).max)
+        self.keys = np.append((np.repeat(np.arange(n), self.counts) << 32) | self.positions, np.iinfo(np.int64).max)
 
     def numbers(self, block: Windows) -> np.ndarray:
         """The word of this segment for each word of a block, or -1."""
         if not len(self.hashes):
             return np.full(len(block.terms), -1)
         at = np.minimum(np.searchsorted(self.hashes, block.hashes), len(self.hashes) - 1)
-        found, ends = self.hashes[at] == block.hashes, np.cumsum(self.sizes)
+        found = self.hashes[at] == block.hashes
         for k in np.flatnonzero(found).tolist():
-            end = int(ends[at[k]])
-            found[k] = self.terms[end - int(self.sizes[at[k]]): end] == block.terms[k]
+            found[k] = self.terms[self.words.starts[at[k]]: self.words.ends[at[k]]] == block.terms[k]
         return np.where(found, at, -1)
 
     def phrases(self, words: np.ndarray, lengths: np.ndarray, order: np.ndarray, row: np.ndarray, start: np.ndarray):
@@ -228,10 +229,12 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> list[dict]:
 
 def _match(block, slop: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = block.value
-        for batch in slices(batches, "positions", SEGMENT):
+        import zstandard
+
+        windows, decompress = block.value, zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "terms", SEGMENT // 4):
             for row in batch.to_pylist():
-                held = _Segment(row)
+                held = _Segment(row, decompress)
                 (w, start, doc), (near_w, near_doc) = held.search(windows, slop)
                 places, spans, exact, near = np.union1d(doc, near_doc).tolist(), [], [], []
                 by_doc = np.argsort(doc, kind="stable")

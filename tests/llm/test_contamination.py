@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import zstandard
 from odd import odd_rows
 
 from stayline.llm import contamination as c
@@ -96,7 +97,7 @@ def test_candidates_in_parts():
         row = next(c._index(1 << 20)(iter([batch]))).to_pylist()[0]
         for most in (1, 17, 1 << 20):
             c.TOGETHER = most
-            exact, near = c._Segment(row).search(block, 1)
+            exact, near = c._Segment(row, zstandard.ZstdDecompressor().decompress).search(block, 1)
             results.append((sorted(zip(*map(list, exact))), sorted(set(zip(*map(list, near))))))
     finally:
         c.TaskContext, c.TOGETHER = kept
