@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayline.llm import bpe, contamination, conversations, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
+from stayline.llm import alignment, bpe, contamination, conversations, embedding_dedup, fingerprints, jaccard_join, line_dedup, packing, pii, substring_dedup, token_files, toxicity
 from stayline.sources.shared import new_folder
 
 QUERIES: dict = {}
@@ -169,6 +169,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("every").alias("spans"))
 
 
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, in all documents."""
+    rows = alignment.align(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired texts of all conversations after damage."""
