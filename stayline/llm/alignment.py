@@ -39,8 +39,8 @@ from stayline.sources.shared import saved
 #: Bytes of text in a slice and in a group of slices with one table of pairs.
 SLICE = 2 << 20
 GROUP = 32 << 20
-#: Pieces of text, and spelled windows, that a worker keeps.
-HELD_PIECES, HELD_WINDOWS = 300_000, 200_000
+#: Pieces of text that a worker keeps.
+HELD_PIECES = 300_000
 
 _BASE_A, _BASE_B = 0xA24BAED4963EE407, 0x9FB21C651E98DF25
 _FACTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -73,7 +73,8 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         plain = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.bytes_b = pa.array(plain, pa.large_binary())
-        self.spelled: dict[tuple[bytes, bytes], str] = {}
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.strings = pa.array([f"{i}{sign}" for i in range(most) for sign in ",|;"], pa.large_string())
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
         """Ids of A and B, and whether both spell the text."""
@@ -108,6 +109,12 @@ def _inner(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def _classes(ids: list[np.ndarray], starts: list[np.ndarray], sizes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Representatives of the distinct windows, and the class of each window."""
     hashes = [span_hashes(i, s, s + n, base) for i, s, n, base in zip(ids, starts, sizes, (_BASE_A, _BASE_B))]
@@ -162,7 +169,7 @@ class Aligned:
             own.append(self.ids[k][inner].astype(np.int64))
             stops.append(np.cumsum(lengths))
         self.own = own
-        every = np.union1d(*stops)  # between two neighbouring ends lie bytes of one A and one B token
+        every = _distinct(np.concatenate(stops))  # between two neighbouring ends lie bytes of one A and one B token
         a, b = (np.searchsorted(s, every) for s in stops)
         after = np.cumsum(self.sizes[0][chosen])
         window = np.searchsorted(after, a, "right")
@@ -171,43 +178,43 @@ class Aligned:
         self.closes = np.isin(stops[0], stops[1], assume_unique=True)  # by A token of the distinct windows
         self.closes_b = np.isin(stops[1], stops[0], assume_unique=True)
 
-    def spelled(self, kept: dict[tuple[bytes, bytes], str]) -> list[str]:
-        """Groups of each distinct window, ids of A and B, as text; spelled ones are kept by id tuples."""
-        if len(kept) > HELD_WINDOWS:
-            kept.clear()
-        chosen, out = self.representatives, []
-        raw = [o.astype("<u4").tobytes() for o in self.own]
-        ends = [(4 * np.cumsum(self.sizes[k][chosen])).tolist() for k in (0, 1)]
-        a0 = b0 = 0
-        for a1, b1 in zip(*ends):
-            key = (raw[0][a0:a1], raw[1][b0:b1])
-            text = kept.get(key)
-            if text is None:
-                sides = []
-                for k, low, high, closes in ((0, a0, a1, self.closes), (1, b0, b1, self.closes_b)):
-                    low, high = low // 4, high // 4
-                    groups: list[str] = []
-                    held: list[str] = []
-                    for i, close in zip(self.own[k][low:high].tolist(), closes[low:high].tolist()):
-                        held.append(str(i))
-                        if close:
-                            groups.append(",".join(held))
-                            held = []
-                    sides.append(groups)
-                text = kept[key] = ";".join([f"{x}|{y}" for x, y in zip(*sides)])
-            out.append(text)
-            a0, b0 = a1, b1
+    def spelled(self, strings: pa.Array) -> list[str]:
+        """Groups of each text, ids of A and B, put together from those of its windows.
+
+        The ids of a window, in the order they are written, and the sign behind each (a comma,
+        a bar or a semicolon) are found once per distinct window.
+        """
+        chosen = self.representatives
+        group = [np.concatenate(([0], np.cumsum(c)))[:-1] for c in (self.closes, self.closes_b)]
+        n = len(self.own[0]) + len(self.own[1])
+        # an id of A stands behind all of B in earlier groups, one of B behind all of A up to its group
+        places = [np.arange(len(self.own[0])) + np.searchsorted(group[1], group[0], "left"),
+                  np.arange(len(self.own[1])) + np.searchsorted(group[0], group[1], "right")]
+        written = np.empty(n, np.int64)
+        for k, closes in enumerate((self.closes, self.closes_b)):
+            written[places[k]] = 3 * self.own[k] + np.where(closes, 1 + k, 0)
+        size = self.sizes[0][chosen] + self.sizes[1][chosen]
+        inner = _inner((np.cumsum(size) - size)[self.classes], size[self.classes])
+        taken = strings.take(pa.array(written[inner]))
+        _, where, content = taken.buffers()
+        ends = np.frombuffer(where, np.int64)[taken.offset: taken.offset + len(inner) + 1]
+        stops = ends[np.concatenate(([0], np.cumsum(size[self.classes])))[self.first]].tolist()
+        content = content.to_pybytes() if content else b""
+        out, low = [], 0
+        for high in stops:
+            out.append(content[low: max(high - 1, low)].decode())
+            low = high
         return out
 
     def documents_of(self, codes: np.ndarray, link: np.ndarray) -> np.ndarray:
         """In how many texts of the slice each distinct pair is linked."""
         text = np.repeat(np.arange(len(self.per_text)), self.per_text)
         n = max(len(self.representatives), 1)
-        held = np.unique(text * n + self.classes)
+        held = _distinct(text * n + self.classes)
         text, kind = held // n, held % n
         first = np.cumsum(self.links) - self.links
         pairs = link[_inner(first[kind], self.links[kind])]
-        found = np.unique(np.repeat(text, self.links[kind]) * len(codes) + pairs) if len(codes) else pairs
+        found = _distinct(np.repeat(text, self.links[kind]) * len(codes) + pairs) if len(codes) else pairs
         return np.bincount(found % max(len(codes), 1), minlength=len(codes))
 
 
@@ -238,12 +245,9 @@ def _align(path_a: str, path_b: str, with_groups: bool, slice_bytes: int, group_
             ids_a, ids_b, good = pair.encode(texts)
             nothing = np.zeros(0, "<u4")
             held = Aligned(pair, *([i if g else nothing for i, g in zip(ids, good)] for ids in (ids_a, ids_b)))
-            per_class = held.spelled(pair.spelled)
-            groups, low, numbers = [], 0, held.classes.tolist()
-            for high in held.first.tolist():
-                text = ";".join([per_class[c] for c in numbers[low:high]])
-                groups.append(text if with_groups or not text else hashlib.sha256(text.encode()).hexdigest())
-                low = high
+            groups = held.spelled(pair.strings)
+            if not with_groups:
+                groups = [hashlib.sha256(g.encode()).hexdigest() if g else g for g in groups]
             pairs, link = np.unique(held.codes, return_inverse=True)
             codes, counts = _added(codes, counts, pairs, held.documents_of(pairs, link))
             sums = np.concatenate(([0], np.cumsum(held.links[held.classes])))

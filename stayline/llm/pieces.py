@@ -8,7 +8,9 @@ used here, so ids of a text are the ids of its pieces in a row:
   longer run; a text with such a piece is encoded as a whole.
 * otherwise white space separates words and is dropped.
 
-Pieces are kept in a table of bounded size; missing ones are encoded in batches.
+Pieces are kept in two generations of bounded size, so frequent ones stay when the table
+is full.  Missing ones are encoded in batches; those that are one word of letters, which
+the splitter leaves whole, go straight to the tokenizer's model.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from __future__ import annotations
 import os
 from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
-#: Distinct pieces held per worker; beyond it the table starts anew.
-HELD = 800_000
+#: Distinct pieces per generation; beyond it the younger one becomes the old one.
+HELD = 300_000
 
 
 class PieceEncoder:
@@ -36,22 +39,63 @@ class PieceEncoder:
         self.after: dict[str, bytes] = {}  # pieces behind a space
         self.bare: dict[str, bytes] = {}  # pieces at the start of a text or line
         self.whole: set[str] = set()  # pieces whose texts are encoded as a whole
+        self.older: dict[int, dict[str, bytes]] = {0: {}, 1: {}}  # behind a space or not: the generation before
+        self.model = self.tokenizer.model
+        #: how the model shows the bytes of letters
+        self.letters: dict[int, str] = {}
+        for char in filter(str.isalpha, map(chr, range(0x250))):
+            shown = self.tokenizer.pre_tokenizer.pre_tokenize_str(char)[0][0]
+            self.letters.update(zip(char.encode(), shown.removeprefix("Ġ")))
+        self.lead = "Ġ" if spaced else ""
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _shown(self, word: str) -> str | None:
+        """A word of letters as the model sees it, or None where the library has to say."""
+        if word.isascii():
+            return word if self.spaced else word.lower()
+        if not self.spaced:
+            # the normaliser composes and lowers; composed Latin letters change by lower case only
+            if max(word) >= "\u0250" or not is_normalized("NFC", word):
+                return None
+            word = word.lower()
+            if not word.isalpha() or max(word) >= "\u0250":
+                return None
+        elif max(word) >= "\u0250":
+            return None
+        return "".join([self.letters[b] for b in word.encode()])
+
+    def _words(self, words: list[str], space: str) -> list[bytes]:
+        """Ids of pieces without a full stop or comma taken off."""
+        out: list[bytes | None] = [None] * len(words)
+        lead, tokenize, rest = self.lead if space else "", self.model.tokenize, []
+        for k, word in enumerate(words):
+            shown = self._shown(word) if word.isalpha() else None
+            if shown is None:
+                rest.append(k)
+            else:
+                out[k] = array("I", [t.id for t in tokenize(lead + shown)]).tobytes()
+        for k, ids in zip(rest, self._encoded([space + words[k] for k in rest])):
+            out[k] = ids
+        return out
+
     def _fill(self, table: dict[str, bytes], wanted: set[str], space: str) -> None:
         """Encode what is missing; a word with a full stop or comma is put together."""
         wanted = wanted - table.keys()
         ended = [p for p in wanted if len(p) > 1 and p[-1] in ".," and p[:-1].isalpha()]
         words = list((wanted.difference(ended) | {p[:-1] for p in ended}) - table.keys())
-        table.update(zip(words, self._encoded([space + w for w in words])))
+        table.update(zip(words, self._words(words, space)))
         for piece in ended:
             table[piece] = table[piece[:-1]] + self.bare[piece[-1]]
 
     def _learn(self, missing: set[str], table: dict[str, bytes], space: str) -> None:
         """Add pieces to a table; the end of a line and the start of the next are put together."""
+        older = self.older[int(table is self.after)]
+        known = missing & older.keys()
+        table.update((p, older[p]) for p in known)
+        missing = missing - known
         lines = {}
         for piece in missing:
             left, _, right = piece.partition("\n")
@@ -65,9 +109,8 @@ class PieceEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null text has none."""
         if len(self.after) + len(self.bare) > self.held:
-            self.after.clear()
-            self.bare.clear()
-            self.whole.clear()
+            self.older = {0: self.bare, 1: self.after}
+            self.after, self.bare, self.whole = {}, {}, set()
         if self.spaced:
             cut = [(t or "").split(" ") for t in texts]
             heads = {c[0] for c in cut}
