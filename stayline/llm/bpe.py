@@ -1,14 +1,15 @@
 """Byte-pair encoding and decoding by a depth-first walk over a trie of words.
 
 Texts are normalised and split as the tokenizer file says, the distinct words of a
-slice are inserted into a trie, and the trie is walked depth first.  The state of a
+slice form a trie, held as their sorted list, and the trie is walked depth first.  The state of a
 node is the last token of the encoding of its prefix: it is the one token that ends
 there and forms a valid pair with the last token of the prefix before it, where a pair
 is valid if encoding the two tokens' text gives these two tokens.  So the encoding of
 a shared prefix is computed once, and a word is read backwards through the states.
 Decoding joins the tokens' strings as the file's (absent) decoder does.
 
-Word encodings of earlier slices are kept in a table of bounded size.
+Encodings of earlier slices are kept in two generations of bounded size, so frequent pieces
+of text stay when a table is full.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; special
 tokens written out in a text are found before anything else, as the library does;
@@ -30,10 +31,10 @@ from pyspark.sql import functions as F
 
 from stayline.llm.texts import slices
 
-#: Distinct pieces of text whose encodings a worker keeps.
-HELD = 800_000
-#: Distinct steps of the walk that are kept.
-STEPS = 500_000
+#: Distinct pieces of text whose encodings a worker keeps, per generation.
+HELD = 300_000
+#: Distinct steps of the walk, and pairs of tokens, that are kept.
+STEPS = 1_000_000
 
 
 class TrieEncoder:
@@ -61,10 +62,11 @@ class TrieEncoder:
             self.tokens[symbols] = i
             starts.update(symbols[:k] for k in range(1, len(symbols) + 1))
         self.starts = starts
-        #: by what may still grow into a token and the next symbol: the same after it,
-        #: and the tokens that end there as (symbols, token), longest first
-        self.steps: dict[tuple[str, str], tuple[str, list[tuple[int, int]]]] = {}
-        self.valid: dict[tuple[int, int], bool] = {}
+        #: steps of the walk by what may still grow into a token, and by token whether
+        #: it may follow another one; both are kept until they are ``STEPS``
+        self.states: dict[str, dict] = {}
+        self.valid: dict[int, dict[int, bool]] = {}
+        self.made = 0
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain byte-pair merging, lowest rank first, from the left."""
@@ -91,8 +93,20 @@ class TrieEncoder:
         text = left + (right[: -len(self.suffix)] + "\0" if ended else right)
         return self.merged(self.symbols(text)) == [left, right]
 
-    def _step(self, held: str, edge: str) -> tuple[str, list[tuple[int, int]]]:
-        text = held + edge
+    def _state(self, held: str) -> dict:
+        """The steps from what may still grow into a token; its text lies under the empty key."""
+        state = self.states.get(held)
+        if state is None:
+            state = self.states[held] = {"": held}
+        return state
+
+    def _step(self, state: dict, edge: str) -> tuple[dict, list[tuple[int, int, dict]]]:
+        """What may grow after the next symbol, and the tokens that end there, longest first.
+
+        A token comes with the number of its symbols and what is known of tokens before it.
+        """
+        self.made += 1
+        text = state[""] + edge
         ended = text.endswith("\0")
         found = []
         for at in range(len(text) - ended):
@@ -100,65 +114,64 @@ class TrieEncoder:
             token = self.tokens.get(part)
             # a token counts if its own text encodes to it
             if token is not None and self.merged(self.symbols(part)) == [self.strings[token]]:
-                found.append((len(part) - ended, token))
+                found.append((len(part) - ended, token, self.valid.setdefault(token, {})))
         grows = next((text[at:] for at in range(len(text)) if text[at:] in self.starts), "")
-        return grows, found
+        step = state[edge] = (self._state(grows), found)
+        return step
 
     def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words, each given as its byte-level characters."""
-        trie: dict = {}
-        for word in words:
-            node = trie
-            for char in word[:-1]:
-                node = node.setdefault(char, {})
-            # the last character carries the word end: an edge of its own, to a leaf
-            node[word[-1] + "\0"] = None
+        """Ids of distinct words, each given as its byte-level characters.
+
+        The trie of the words is walked as their sorted list: a word goes on from the node
+        it shares with the one before.
+        """
         out: dict[str, tuple[int, ...]] = {}
-        steps, valid = self.steps, self.valid
-        if len(steps) > STEPS:
-            steps.clear()
-        prefix = ""
-        # by depth: the last token of the prefix and how many symbols it takes
-        last, width, open_ = [-1], [0], [""]
-        stack = [iter(trie.items())]
-        while stack:
-            step = next(stack[-1], None)
-            if step is None:
-                stack.pop()
-                prefix = prefix[:-1]
-                last.pop()
-                width.pop()
-                open_.pop()
-                continue
-            edge, below = step
-            depth = len(last)
-            after = steps.get((open_[-1], edge))
-            if after is None:
-                after = steps[(open_[-1], edge)] = self._step(open_[-1], edge)
-            chosen = size = -1
-            for size, token in after[1]:
-                before = last[depth - size]
-                if before < 0:
-                    ok = size == depth
-                else:
-                    ok = valid.get((before, token))
-                    if ok is None:
-                        ok = valid[(before, token)] = self._is_valid(self.strings[before], token)
-                if ok:
-                    chosen = token
+        if self.made > STEPS:
+            self.states, self.valid, self.made = {}, {}, 0
+        strings = self.strings
+        # by depth: the last token of the prefix, how many symbols it takes, what may grow
+        last, width, states = [-1], [0], [self._state("")]
+        before_word = ""
+        for word in sorted(words):
+            end = len(word) - 1
+            depth, most = 0, min(len(before_word) - 1, end)
+            while depth < most and before_word[depth] == word[depth]:
+                depth += 1
+            del last[depth + 1:], width[depth + 1:], states[depth + 1:]
+            before_word = word
+            state = states[depth]
+            while True:
+                # the last character carries the word end: an edge of its own, to a leaf
+                edge = word[depth] if depth < end else word[depth] + "\0"
+                step = state.get(edge)
+                if step is None:
+                    step = self._step(state, edge)
+                depth += 1
+                chosen = size = -1
+                for size, token, known in step[1]:
+                    before = last[depth - size]
+                    if before < 0:
+                        ok = size == depth
+                    else:
+                        ok = known.get(before)
+                        if ok is None:
+                            ok = known[before] = self._is_valid(strings[before], token)
+                            self.made += 1
+                    if ok:
+                        chosen = token
+                        break
+                if depth > end:
                     break
-            if below is None:
-                ids, at = [chosen], depth - size
-                while at:
-                    ids.append(last[at])
-                    at -= width[at]
-                out[prefix + edge[:-1]] = tuple(reversed(ids))
-            else:
-                prefix += edge
+                state = step[0]
                 last.append(chosen)
                 width.append(size)
-                open_.append(after[0])
-                stack.append(iter(below.items()))
+                states.append(state)
+            ids, at = [chosen], depth - size
+            while at:
+                ids.append(last[at])
+                at -= width[at]
+            ids.reverse()
+            out[word] = tuple(ids)
         return out
 
 
@@ -183,10 +196,10 @@ class TextEncoder:
         self.byte_chars: dict[int, str] = {}
         for char in filter(str.isalpha, map(chr, range(0x250))):
             self.byte_chars.update(zip(char.encode(), self.split(char)[0][0]))
-        # by word, and by piece of text: ids and tokens, each joined by spaces
-        self.words: dict[str, tuple[str, str]] = {}
+        # by piece of text: ids and tokens, each joined by spaces
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, str] = {}
+        self.older: tuple[dict[str, str], dict[str, str]] = ({}, {})
 
     def _parts(self, piece: str) -> list[str | int]:
         """Byte-level words of a piece without white space inside; special tokens as ids."""
@@ -211,24 +224,31 @@ class TextEncoder:
         return out
 
     def _learn(self, missing: set[str]) -> None:
-        parts = {p: self._parts(p) for p in missing}
-        words, decimal, strings = self.words, self.decimal, self.trie.strings
-        unknown = {w for ws in parts.values() for w in ws if isinstance(w, str)}.difference(words)
-        for word, ids in self.trie.encode_words(unknown).items():
-            words[word] = (" ".join([decimal[i] for i in ids]), " ".join([strings[i] for i in ids]))
+        ids, decoded = self.ids, self.decoded
+        old_ids, old_decoded = self.older
+        known = missing & old_ids.keys()
+        ids.update((p, old_ids[p]) for p in known)
+        decoded.update((p, old_decoded[p]) for p in known)
+        parts = {p: self._parts(p) for p in missing - known}
+        decimal, strings = self.decimal, self.trie.strings
+        words: dict[str, tuple[str, str]] = {}
+        for word, found in self.trie.encode_words({w for ws in parts.values() for w in ws if isinstance(w, str)}).items():
+            if len(found) == 1:
+                words[word] = (decimal[found[0]], strings[found[0]])
+            else:
+                words[word] = (" ".join([decimal[i] for i in found]), " ".join([strings[i] for i in found]))
         for piece, ws in parts.items():
             if len(ws) == 1 and isinstance(ws[0], str):
-                self.ids[piece], self.decoded[piece] = words[ws[0]]
+                ids[piece], decoded[piece] = words[ws[0]]
             else:
                 shown = [(decimal[w], strings[w]) if isinstance(w, int) else words[w] for w in ws]
-                self.ids[piece], self.decoded[piece] = " ".join([i for i, _ in shown]), " ".join([d for _, d in shown])
+                ids[piece], decoded[piece] = " ".join([i for i, _ in shown]), " ".join([d for _, d in shown])
 
     def encode(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Number of ids, ids and decoded text, each joined by one space, of every text."""
-        if len(self.ids) + len(self.words) // 2 > self.held:
-            self.ids.clear()
-            self.decoded.clear()
-            self.words.clear()
+        if len(self.ids) > self.held:
+            self.older = (self.ids, self.decoded)
+            self.ids, self.decoded = {}, {}
         # white space as the normaliser knows it; four controls are more than that to Python
         cut = [(t or "").split() if not _CONTROLS.search(t or "") else [p for p in _SPACE.split(t) if p] for t in texts]
         wanted: set[str] = set()
