@@ -133,6 +133,45 @@ def dictionary(source: str) -> str:
     )
 
 
+def by_input(source: str, inputs) -> str:
+    """Encoded rows as ``(feature, v, y)``."""
+    columns = ", ".join(
+        f"(SELECT code FROM dictionary d WHERE d.feature = '{x}' AND d.value = coalesce(s.{x}, '__NA__'))::double AS {x}"
+        if x in CATEGORIES else f"{x}::double AS {x}" for x in inputs)
+    return (f"by_input AS (SELECT feature, v, y FROM (SELECT {c.LABEL} AS y, {columns} FROM {source} s)"
+            f" UNPIVOT INCLUDE NULLS (v FOR feature IN ({', '.join(inputs)})))")
+
+
+def strength(g: str, h: str) -> str:
+    return f"power(greatest(abs({g}) - 0.1, 0), 2) / ({h} + 0.1)"
+
+
+#: Gradients and Hessians in steps of 2**-24 at the label rate; borders are values but the last.
+SPLIT_GAINS = f"""
+SELECT feature, cast(n AS integer) AS distinct_values, border, gain, CASE WHEN gain IS NOT NULL THEN cast(below AS bigint) END AS rows_below FROM (
+  SELECT feature, n, CASE WHEN gain IS NOT NULL THEN v END AS border, gain, nl AS below,
+    row_number() OVER (PARTITION BY feature ORDER BY gain DESC NULLS LAST, v) AS k
+  FROM (SELECT *, CASE WHEN nl >= 5 AND nr >= 5 AND hl >= 0.001 AND hr >= 0.001 AND v < top THEN
+      round({strength("gl", "hl")} + {strength("gr", "hr")} - {strength("gl + gr", "hl + hr")}, 9) END AS gain
+    FROM (SELECT feature, v, n, top, nl, total - nl AS nr, gl / 16777216 AS gl, (gs - gl) / 16777216 AS gr,
+        hl / 16777216 AS hl, (hs - hl) / 16777216 AS hr
+      FROM (SELECT feature, v, max(n) OVER all_ AS n, max(v) OVER all_ AS top, sum(rows) OVER up AS nl, sum(rows) OVER all_ AS total,
+          sum(g) OVER up AS gl, sum(g) OVER all_ AS gs, sum(h) OVER up AS hl, sum(h) OVER all_ AS hs
+        FROM (SELECT feature, v, count(*) AS rows, sum(round((p - y) * 16777216)) AS g, sum(round(p * (1 - p) * 16777216)) AS h,
+            count(v) OVER (PARTITION BY feature) AS n
+          FROM by_input, (SELECT avg({c.LABEL}) AS p FROM train) GROUP BY feature, v, p)
+        WINDOW up AS (PARTITION BY feature ORDER BY v NULLS FIRST), all_ AS (PARTITION BY feature)))
+    WHERE v IS NOT NULL)) WHERE k = 1 AND n <= 64
+"""
+
+#: What three given stumps add to the margin.
+KNOWN_INPUTS = ["session_cnt_7d", "days_since_install", *c.CATEGORICAL_FEATURES]
+KNOWN = """
+known AS (SELECT *, CASE WHEN session_cnt_7d <= 2 THEN 0.5 ELSE -0.4 END AS a, CASE WHEN days_since_install <= 7 THEN -0.2 ELSE 0.3 END AS b,
+    CASE WHEN coalesce((SELECT code FROM dictionary d WHERE d.feature = 'country' AND d.value = coalesce(s.country, '__NA__')), -1) <= 3
+      THEN 0.25 ELSE -0.125 END AS d
+  FROM store s WHERE milestone_day = 0 AND snapshot_date = date '2024-01-22')"""
+
 AGE = """CASE WHEN days_since_install = 0 THEN 'D0' WHEN days_since_install <= 3 THEN 'D1-D3'
   WHEN days_since_install <= 7 THEN 'D4-D7' WHEN days_since_install <= 14 THEN 'D8-D14'
   WHEN days_since_install <= 30 THEN 'D15-D30' WHEN days_since_install <= 60 THEN 'D31-D60'
@@ -269,6 +308,15 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
         "calendar_features": calendar(None, [SNAPSHOT]),
         "calendar_range": calendar(None, SNAPSHOTS),
 
+        "sliding_features": calendar(None, [SNAPSHOT]),
+        "stale_slices": """
+            WITH wanted AS (
+              SELECT m AS milestone_day, cast(install + m AS date) AS snapshot_date
+              FROM (VALUES (1), (7), (14), (21), (28)) t(m), (SELECT unnest(range(date '2024-01-03', date '2024-01-11', INTERVAL 1 DAY))::date AS install)
+              UNION ALL SELECT 0, unnest([date '2024-01-08', date '2024-01-15', date '2024-01-22'])
+            ) SELECT cast(milestone_day AS integer) AS milestone_day, snapshot_date FROM wanted
+            WHERE date '2024-01-14' BETWEEN snapshot_date - milestone_day - 30 AND snapshot_date + 6""",
+
         "slice_exists": on_store(
             """SELECT m.milestone_day, d.snapshot_date, s.n IS NOT NULL AS found,
               coalesce(s.unknown = 0, false) AS finished
@@ -309,6 +357,11 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
         "apply_risk": on_store(
             f"SELECT {KEYS}, {', '.join(DIMENSIONS)}, {rates()} FROM store s",
             DIMENSIONS, baseline("rates", "2024-01-22", 10)),
+        "known_risk": on_store(
+            f"SELECT {KEYS}, {', '.join(DIMENSIONS)}, " + ", ".join(
+                f"""coalesce((SELECT CASE WHEN count(*) >= 10 THEN round(avg({c.LABEL}), 4) END FROM store t
+                  WHERE t.milestone_day > 0 AND t.{d} <> '' AND t.{d} = s.{d} AND t.snapshot_date + 7 <= s.snapshot_date), -1.0)
+                  AS {d}_uninstall_rate""" for d in DIMENSIONS) + " FROM store s", DIMENSIONS),
         "merge_baseline": on_store(
             """SELECT * FROM (SELECT *, 1 AS updated_at FROM old_rates UNION ALL
               SELECT *, 2 FROM new_rates) t
@@ -338,6 +391,12 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
                 f"coalesce((SELECT code FROM dictionary d WHERE d.feature = '{x}'"
                 f" AND d.value = coalesce(v.{x}, '__NA__')), -1) AS {x}" for x in CATEGORIES
             ) + " FROM valid v", CATEGORIES, TRAINING, SPLIT, dictionary("train")),
+        "stable_dictionary": on_store(
+            """SELECT *, 0 AS version FROM dictionary UNION ALL
+            SELECT n.feature, n.value, cast(coalesce(m.next, 0) + row_number() OVER (PARTITION BY n.feature ORDER BY n.value) - 1 AS integer), 1
+            FROM later n LEFT JOIN (SELECT feature, max(code) + 1 AS next FROM dictionary GROUP BY 1) m USING (feature)
+            WHERE NOT EXISTS (SELECT 1 FROM dictionary d WHERE d.feature = n.feature AND d.value = n.value)""",
+            CATEGORIES, TRAINING, SPLIT, dictionary("train"), dictionary("valid").replace("dictionary AS", "later AS", 1)),
         "history_dictionary": on_store(
             "SELECT * FROM dictionary", CATEGORIES,
             f"history AS (SELECT * FROM store WHERE snapshot_date < date '{SNAPSHOT}')",
@@ -349,11 +408,48 @@ newest AS (SELECT * FROM versions QUALIFY row_number() OVER (
                 AND d.value = t.{inputs[-1]}) AS double) AS last_input FROM training t""",
             [inputs[0], *CATEGORIES], TRAINING, dictionary("training")),
 
+        # A model with a possible split beats the label rate on its own train rows; the first
+        # one needs two leaves of 200 drawn rows, the second one a Hessian of 50 in both.
         **{f"train_{m}": on_store(
-            f"SELECT {KEYS}, {label}, true AS is_probability FROM valid", [], TRAINING, SPLIT)
-           for m in SCORES},
-        **{name: f"SELECT unnest({inputs}) AS feature, true AS is_share"
+            f"SELECT {KEYS}, {label}, true AS is_probability, (SELECT {able} FROM train) AS learns FROM valid", [], TRAINING, SPLIT)
+           for m, able in (("gbt_a", "0.8 * count(*) >= 400"),
+                           ("gbt_b", f"0.8 * count(*) * avg({label}) * (1 - avg({label})) >= 100"), ("gbt_c", "count(*) > 0"))},
+        **{name: on_store(
+            f"SELECT feature, CASE WHEN n <= 64 THEN n END AS distinct_values, true AS is_importance FROM counts",
+            inputs, TRAINING, SPLIT, dictionary("train"), by_input("train", inputs),
+            "counts AS (SELECT feature, cast(count(DISTINCT v) AS integer) AS n FROM by_input GROUP BY 1)")
            for name in ("feature_importance", "write_importance")},
+        "split_gains": on_store(SPLIT_GAINS, inputs, TRAINING, SPLIT, dictionary("train"), by_input("train", inputs)),
+        "ordered_statistics": on_store(
+            f"SELECT {KEYS}, " + ", ".join(
+                f"round((coalesce(sum({label}) OVER (PARTITION BY {x} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 0.5)"
+                f" / (count(*) OVER (PARTITION BY {x} ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1), 9) AS {x}"
+                for x in CATEGORIES)
+            + f" FROM (SELECT *, md5(concat_ws('|', '{c.SEED}', snapshot_date, user_pseudo_id, milestone_day)) AS place FROM train)",
+            CATEGORIES, TRAINING, SPLIT),
+        "category_statistics": on_store(
+            f"SELECT {KEYS}, " + ", ".join(
+                f"(SELECT round((coalesce(sum({label}), 0) + 0.5) / (count(*) + 1), 9) FROM train t"
+                f" WHERE coalesce(t.{x}, '__NA__') = coalesce(v.{x}, '__NA__')) AS {x}" for x in CATEGORIES)
+            + " FROM valid v", CATEGORIES, TRAINING, SPLIT),
+        "model_rounds": on_store(
+            f"""SELECT unnest({list(SCORES)}) AS model, count(*) AS n_valid, true AS stopped_in_time, true AS is_cut,
+              true AS is_recorded FROM valid""", [], TRAINING, SPLIT),
+        "score_known": on_store(
+            """SELECT *, -1.0::double AS uninstall_prob_gbt_b,
+              CASE WHEN uninstall_prob < 0.3 THEN 'low' WHEN uninstall_prob < 0.5 THEN 'medium'
+                WHEN uninstall_prob < 0.7 THEN 'high' ELSE 'very_high' END AS risk_segment
+            FROM (SELECT snapshot_date AS prediction_date, user_pseudo_id,
+              round(1 / (1 + exp(1.0 - a - b - d)), 9)::double AS uninstall_prob FROM known)""",
+            KNOWN_INPUTS, TRAINING, SPLIT, dictionary("train"), KNOWN),
+        "contributions_known": on_store(
+            f"""SELECT {KEYS}, round(-1.0 - 0.13 + 0.0 + 0.0625, 9)::double AS base, round(a + 0.13, 9)::double AS by_session_cnt_7d,
+              round(b, 9)::double AS by_days_since_install, round(d - 0.0625, 9)::double AS by_country FROM known""",
+            KNOWN_INPUTS, TRAINING, SPLIT, dictionary("train"), KNOWN),
+        "importance_known": on_store(
+            """SELECT unnest(['session_cnt_7d', 'days_since_install', 'country']) AS feature,
+              unnest([round(avg(abs(a + 0.13)), 9), round(avg(abs(b)), 9), round(avg(abs(d - 0.0625)), 9)])::double AS importance FROM known""",
+            KNOWN_INPUTS, TRAINING, SPLIT, dictionary("train"), KNOWN),
         "score": on_store(
             """SELECT snapshot_date AS prediction_date, user_pseudo_id, true AS are_probabilities,
               true AS is_primary, true AS is_segment FROM store

@@ -1,59 +1,53 @@
-"""Boosted trees with ``pyspark.ml`` and the importance of their inputs."""
+"""The three boosted-tree models, their probabilities and the importance of their inputs."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stayline import config as c
-from stayline.operators.encoding import assemble
+from stayline.operators import boosting
+from stayline.operators.encoding import category_statistics, ordered_statistics, with_statistics
 from stayline.operators.rollup import USER
-from stayline.sources.shared import ensure_checkpoints
+from stayline.sources.shared import saved
 
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """Parameters of one model; ``nominal`` splits categories as sets of codes."""
+    """Parameters of one model; ``nominal`` reads categories as target statistics."""
 
     params: dict = field(default_factory=dict)
     nominal: bool = False
 
 
-# Learning rate, rounds, depth, sampling and leaf sizes.  Boosting
-# stops early on the validation rows.
+# Learning rate, rounds, depth, leaves, sampling, penalties, leaf sizes,
+# metrics and patience.
 MODELS = {
     "gbt_a": ModelSpec({
-        "stepSize": 0.05, "maxIter": 1000, "maxDepth": 7, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8", "minInstancesPerNode": 200,
+        "growth": "leaf", "stepSize": 0.05, "maxIter": 1000, "maxLeaves": 127, "maxDepth": 1 << 30,
+        "minInstancesPerNode": 200, "columnRate": 0.8, "subsamplingRate": 0.8, "resampleEvery": 5,
+        "l1": 0.1, "l2": 0.1, "metrics": ("auc_roc", "auc_pr"), "patience": 50, "seed": c.SEED,
     }),
     "gbt_b": ModelSpec({
-        "stepSize": 0.05, "maxIter": 1000, "maxDepth": 6, "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8", "minInstancesPerNode": 50,
+        "growth": "depth", "stepSize": 0.05, "maxIter": 1000, "maxDepth": 6, "minHessian": 50.0,
+        "columnRate": 0.8, "subsamplingRate": 0.8, "l1": 0.1, "l2": 0.1,
+        "metrics": ("auc_roc",), "patience": 50, "seed": c.SEED,
     }),
     "gbt_c": ModelSpec({
-        "stepSize": 0.05, "maxIter": 500, "maxDepth": 7, "seed": c.SEED,
+        "growth": "symmetric", "stepSize": 0.05, "maxIter": 500, "maxDepth": 7, "l2": 3.0,
+        "metrics": ("auc_roc",), "patience": 50, "seed": c.SEED,
     }, nominal=True),
 }
 
 
-def _inputs(encoded: DataFrame, features, sizes: dict[str, int] | None) -> DataFrame:
-    """Feature vector; with ``sizes`` the categories are marked nominal.
+@dataclass
+class Model:
+    """Trees, and the statistics ``feature, code, value`` their categories are read as."""
 
-    Nominal codes start at 0, so the code -1 of unseen values is shifted up.
-    """
-    for name, size in (sizes or {}).items():
-        encoded = encoded.withColumn(
-            name,
-            (F.col(name) + 1).cast("double").alias(
-                name, metadata={"ml_attr": {"type": "nominal", "num_vals": size + 1}}
-            ),
-        )
-    return assemble(encoded, features)
+    trees: boosting.Trees
+    statistics: DataFrame | None = None
 
 
 def dictionary_sizes(dictionary: DataFrame) -> dict[str, int]:
@@ -62,53 +56,69 @@ def dictionary_sizes(dictionary: DataFrame) -> dict[str, int]:
             dictionary.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def row_key() -> Column:
+    """A number that names a store row."""
+    return F.xxhash64(USER, "snapshot_date", "milestone_day")
+
+
 def train(spec: ModelSpec, train_rows: DataFrame, valid_rows: DataFrame, features,
-          sizes: dict[str, int], **overrides) -> GBTClassificationModel:
-    """Fit one model on encoded rows; boosting watches the validation rows.
+          sizes: dict[str, int], **overrides) -> Model:
+    """Fit one model on encoded rows, up to its best round on the validation rows.
 
-    A round of step 0.05 improves little, so the tolerance is small.  Rounds
-    are checkpointed every ten, which bounds the lineage of long runs.
+    With a nominal model a train row reads its categories from the rows before it in a
+    random order, all other rows from all train rows.
     """
-    nominal = sizes if spec.nominal else None
-    rows = train_rows.withColumn("_valid", F.lit(False)).unionByName(
-        valid_rows.withColumn("_valid", F.lit(True))
-    )
-    vectors = _inputs(rows, features, nominal).select(
-        "features", F.col(c.LABEL).cast("double").alias("label"), "_valid"
-    )
-    ensure_checkpoints(train_rows.sparkSession)
-    params = {"seed": c.SEED, "validationTol": 1e-4, **spec.params, **overrides}
-    if nominal:
-        params["maxBins"] = max(params.get("maxBins", 32), max(nominal.values()) + 2)
-    return GBTClassifier(
-        featuresCol="features", labelCol="label", validationIndicatorCol="_valid", **params
-    ).fit(vectors)
+    params = boosting.Params(**{**spec.params, **overrides})
+    statistics = None
+    if spec.nominal:
+        names = [x for x in features if x in sizes]
+        statistics = saved(category_statistics(train_rows, names))
+        valid_rows = with_statistics(valid_rows, statistics, names)
+        train_rows = ordered_statistics(train_rows, names, params.seed)
+    return Model(boosting.fit(train_rows, valid_rows, features, c.LABEL, row_key(), params), statistics)
+
+
+def model_inputs(model: Model, encoded: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Encoded rows as the trees read them."""
+    if model.statistics is None:
+        return encoded
+    return with_statistics(encoded, model.statistics, [x for x in model.trees.inputs if x in sizes])
 
 
-def probability(model: GBTClassificationModel, encoded: DataFrame, features,
+def probability(model: Model, encoded: DataFrame, features,
                 sizes: dict[str, int], nominal: bool, output: str) -> DataFrame:
     """Probability of removal, added as a column."""
-    vectors = _inputs(
-        encoded.select("*", *[F.col(x).alias(f"_in_{x}") for x in features]),
-        [f"_in_{x}" for x in features],
-        {f"_in_{k}": v for k, v in sizes.items()} if nominal else None,
-    )
-    scored = model.transform(vectors)
+    own = {x: F.col(x).alias(f"_in_{x}") for x in sizes if x in encoded.columns} if nominal else {}
+    rows = model_inputs(model, encoded.select("*", *own.values()), sizes if nominal else {})
+    scored = boosting.with_margin(model.trees, rows, "_margin")
     return scored.select(
-        *encoded.columns, vector_to_array("probability")[1].alias(output)
+        *(F.col(f"_in_{x}").alias(x) if x in own else F.col(x) for x in encoded.columns),
+        (1 / (1 + F.exp(-F.col("_margin")))).alias(output),
     )
 
 
-def save_model(model: GBTClassificationModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Model, path: str) -> None:
+    """Statistics and trees; ``metadata`` is written last."""
+    spark = SparkSession.getActiveSession()
+    if model.statistics is not None:
+        model.statistics.write.mode("overwrite").parquet(f"{path}/statistics")
+    model.trees.save(spark, path)
 
 
-def load_model(path: str) -> GBTClassificationModel:
-    return GBTClassificationModel.load(path)
+def load_model(path: str, nominal: bool = False) -> Model:
+    spark = SparkSession.getActiveSession()
+    statistics = spark.read.parquet(f"{path}/statistics") if nominal else None
+    return Model(boosting.Trees.load(spark, path), statistics)
 
 
-# Rows among which a row finds another row's values.
-RING = 10_000
+def rounds(spark: SparkSession, models: dict[str, Model]) -> DataFrame:
+    """``model, rounds_run, best_round, auc_roc, auc_pr, loss``: what the validation rows said."""
+    rows = []
+    for name, model in models.items():
+        best = next((h for h in model.trees.history if h["round"] == model.trees.best_round), {})
+        rows.append((name, len(model.trees.history), model.trees.best_round, *(best.get(k) for k in ("auc_roc", "auc_pr", "loss"))))
+    return spark.createDataFrame(
+        rows, "model string, rounds_run int, best_round int, auc_roc double, auc_pr double, loss double")
 
 
 # --- importance ------------------------------------------------------------
@@ -123,53 +133,24 @@ def _random_order(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), USER, "snapshot_date", "milestone_day")
 
 
-def feature_importance(model: GBTClassificationModel, encoded: DataFrame, features,
+def feature_importance(model: Model, encoded: DataFrame, features,
                        sizes: dict[str, int], nominal: bool = False,
                        rows: int | None = None) -> DataFrame:
-    """Mean change of the probability when a feature takes another row's value.
+    """Mean absolute contribution of every input to the margin.
 
-    All rows count; with ``rows`` a sample of that size.  Rows are dealt to
-    random parts of about ``RING`` rows, in which each takes its value from the
-    next one in a random order.  A row is scored once as it is and once per
-    feature, with one value changed.
+    All rows count; with ``rows`` a sample of that size.
     """
     if rows is not None:
         encoded = importance_sample(encoded, rows)
-    parts = -(-encoded.count() // RING)
-    vectors = _inputs(encoded, features, sizes if nominal else None)
-
-    def scored(frame: DataFrame, output: str) -> DataFrame:
-        out = model.transform(frame).withColumn(output, vector_to_array("probability")[1])
-        return out.drop("rawPrediction", "probability", "prediction", "features")
-
-    plain = scored(vectors.select(
-        _random_order(c.SEED).alias("_order"), "features", vector_to_array("features").alias("x")), "p")
-    plain = plain.withColumn("_part", F.pmod(F.xxhash64("_order", F.lit(1)), F.lit(max(1, parts))))
-    ring = Window.partitionBy("_part").orderBy("_order")
-    everything = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    paired = plain.withColumn(
-        "other", F.coalesce(F.lead("x").over(ring), F.first("x").over(everything))
-    )
-    changed = paired.select("p", "x", F.posexplode("other").alias("j", "value")).select(
-        "j", "p", array_to_vector(F.expr("transform(x, (v, i) -> CASE WHEN i = j THEN value ELSE v END)"))
-        .alias("features"),
-    )
-    names = F.lit(list(features))
-    return (
-        scored(changed, "p_changed").groupBy("j")
-        .agg(F.avg(F.abs(F.col("p") - F.col("p_changed"))).alias("importance"))
-        .select(F.element_at(names, F.col("j") + 1).alias("feature"), "importance")
-    )
+    return boosting.mean_contributions(model.trees, model_inputs(model, encoded, sizes if nominal else {}))
 
 
-def impurity_importance(spark: SparkSession, model: GBTClassificationModel, features) -> DataFrame:
+def impurity_importance(spark: SparkSession, model: Model, features) -> DataFrame:
     """The trees' own importance: total gain per feature, normalised."""
-    pairs = list(zip(features, (float(x) for x in model.featureImportances.toArray())))
-    return spark.createDataFrame(pairs, "feature string, importance double")
+    gains = model.trees.gains()
+    return spark.createDataFrame([(x, gains[x]) for x in features], "feature string, importance double")
 
 
 def top(importance: DataFrame, n: int = 20) -> DataFrame:
     """The most important features."""
     return importance.orderBy(F.desc("importance"), "feature").limit(n)
-
-

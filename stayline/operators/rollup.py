@@ -154,13 +154,23 @@ def value_rows(events: DataFrame, spec: Rollup) -> DataFrame:
 
 
 def facet_rows(values: DataFrame, spec: Rollup) -> DataFrame:
-    """One row per user, day and gap; at most ``FAR_GAP`` rows per user and day."""
+    """One row per user, day and gap; at most ``FAR_GAP`` rows per user and day.
+
+    Rows that have their gap, as in a state moved on day by day, stay as they are.
+    """
+    if "gap" in values.columns:
+        return values
     values = values.where(F.col("kind").isin(*spec.facets))
     # One row per day and value, so a window partition is bounded by the scan.
     again = F.lead(DAY).over(Window.partitionBy(USER, "kind", "value").orderBy(DAY))
     gapped = values.withColumn(
         "gap", F.least(F.coalesce(F.datediff(again, DAY), F.lit(FAR_GAP)), F.lit(FAR_GAP))
     )
+    return gapped.groupBy(USER, DAY, "gap").agg(*map(F.expr, facet_measures(spec)))
+
+
+def facet_measures(spec: Rollup) -> list[str]:
+    """What is kept per user, day and gap, as SQL over values."""
     measures = []
     for kind, facet in spec.facets.items():
         own = f"CASE WHEN kind = '{kind}'"
@@ -172,4 +182,4 @@ def facet_rows(values: DataFrame, spec: Rollup) -> DataFrame:
                 f"min({own} THEN struct(first_at AS at, value) END) AS first_{kind}",
                 f"max({own} THEN struct(last_at AS at, value) END) AS latest_{kind}",
             ]
-    return gapped.groupBy(USER, DAY, "gap").agg(*map(F.expr, measures))
+    return measures

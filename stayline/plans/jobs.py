@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stayline import config as c
 from stayline.operators import (
-    anchors, dataset, encoding, features, metrics, models, scoring,
+    anchors, dataset, encoding, features, metrics, models, scoring, sliding,
 )
 from stayline.sources import store as tables
 from stayline.sources.events import as_date, between_days
@@ -106,27 +106,57 @@ def finished_slices(spark: SparkSession, ws: Workspace, days) -> set[tuple[int,
     return {(r.milestone_day, r.snapshot_date) for r in built.where(closed).collect()}
 
 
+def changed_slices(spark: SparkSession, ws: Workspace, events, slices) -> set[tuple[int, date]]:
+    """Slices that were built from other events than there are now, by checksums of their days."""
+    if not slices:
+        return set()
+    if not ws.exists(spark, "inputs"):
+        return set(slices)
+    recorded = tables.read_table(spark, ws.path("inputs"), tables.INPUTS_SCHEMA)
+    changed = tables.changed_slices(recorded, tables.slice_inputs(events, spark, slices))
+    return {(r.milestone_day, r.snapshot_date) for r in changed.collect()}
+
+
+def due_slices(spark: SparkSession, ws: Workspace, events, slices, *, force: bool = False,
+               by_content: bool = False) -> list[tuple[int, date]]:
+    """The slices to build, of ``(milestone day, snapshot date)``.
+
+    With ``by_content`` finished slices are due again if a day they read has changed.
+    """
+    done = set() if force else finished_slices(spark, ws, [day for _, day in slices])
+    if by_content:
+        done -= changed_slices(spark, ws, events, sorted(done & set(slices)))
+    return [x for x in slices if x not in done]
+
+
+def _record_build(spark, ws, events, slices, by_content) -> None:
+    _report_build(spark, ws, slices)
+    if by_content:
+        tables.write_inputs(tables.slice_inputs(events, spark, slices), ws.path("inputs"))
+
+
 def build_milestones(spark: SparkSession, ws: Workspace, events, install_from, install_to,
-                     milestones=c.MILESTONES, *, force: bool = False, as_of=None) -> int:
+                     milestones=c.MILESTONES, *, force: bool = False, as_of=None, by_content: bool = False) -> int:
     """Build the missing milestone slices; returns how many were due.
 
     Decided per install day and milestone, so a late day is never hidden by
-    another slice of the same range.
+    another slice of the same range.  With ``by_content`` slices keep checksums of the
+    days they were built from, and late events make exactly the slices that read
+    their day due again.
     """
     wanted = anchors.milestone_slices(install_from, install_to, milestones)
-    return _build_slices(spark, ws, events, wanted, force, as_of)
+    return _build_slices(spark, ws, events, wanted, force, as_of, by_content=by_content)
 
 
-def _build_slices(spark, ws, events, wanted, force, as_of, narrow=False) -> int:
-    days = [day + timedelta(days=m) for day, m in wanted]
-    done = set() if force else finished_slices(spark, ws, days)
-    due = [(day, m) for day, m in wanted if (m, day + timedelta(days=m)) not in done]
-    if not due:
+def _build_slices(spark, ws, events, wanted, force, as_of, narrow=False, by_content=False) -> int:
+    slices = [(m, day + timedelta(days=m)) for day, m in wanted]
+    slices = due_slices(spark, ws, events, slices, force=force, by_content=by_content)
+    if not slices:
         return 0
+    due = [(day - timedelta(days=m), m) for m, day in slices]
     built = features.slice_features(events, due, as_of=as_of, narrow=narrow)
-    slices = [(m, day + timedelta(days=m)) for day, m in due]
     tables.write_features(built, ws.path("features"), slices)
-    _report_build(spark, ws, slices)
+    _record_build(spark, ws, events, slices, by_content)
     return len(due)
 
 
@@ -147,17 +177,34 @@ def build_label_complete(spark: SparkSession, ws: Workspace, events, run_date,
 
 
 def build_snapshots(spark: SparkSession, ws: Workspace, events, dates, *,
-                    force: bool = False, **options) -> int:
+                    force: bool = False, by_content: bool = False, **options) -> int:
     """Build the missing calendar slices; returns how many were due."""
-    days = [anchors._day(x) for x in dates]
-    done = set() if force else finished_slices(spark, ws, days)
-    due = [d for d in days if (0, d) not in done]
-    if due:
-        built = features.calendar_range(events, due, **options)
-        slices = [(0, day) for day in due]
+    slices = [(0, anchors._day(x)) for x in dates]
+    slices = due_slices(spark, ws, events, slices, force=force, by_content=by_content)
+    if slices:
+        built = features.calendar_range(events, [day for _, day in slices], **options)
         tables.write_features(built, ws.path("features"), slices)
-        _report_build(spark, ws, slices)
-    return len(due)
+        _record_build(spark, ws, events, slices, by_content)
+    return len(slices)
+
+
+# --- state of users --------------------------------------------------------
+
+
+def advance_state(spark: SparkSession, ws: Workspace, day) -> sliding.State:
+    """The state through a day: the one of the day before moved on, or else built from day tables."""
+    day, path = anchors._day(day), ws.path("state")
+    days, spec = day_tables(spark, ws), features.CHURN_ROLLUP
+
+    def known(through) -> bool:
+        return all(ws.complete(spark, f"state/{through}/{name}") for name in ("measures", "facets", "seen"))
+
+    if known(day):
+        return sliding.read_state(spark, path, day, spec)
+    before = day - timedelta(days=1)
+    if known(before):
+        return sliding.write_state(sliding.advance(sliding.read_state(spark, path, before, spec), days), path)
+    return sliding.write_state(sliding.start(days, day), path)
 
 
 # --- target encoding -------------------------------------------------------
@@ -261,7 +308,7 @@ def trained_models(spark: SparkSession, ws: Workspace, runs: dict[str, str]) ->
             dictionaries[run_id] = (
                 spark.read.parquet(ws.path(f"{at}/dictionary")), [r.feature for r in inputs])
         found[name] = scoring.Trained(
-            models.load_model(ws.path(f"{at}/models/{name}")), *dictionaries[run_id])
+            models.load_model(ws.path(f"{at}/models/{name}"), models.MODELS[name].nominal), *dictionaries[run_id])
     return found
 
 

@@ -7,7 +7,9 @@ wide enough to cover all users of the event table.
 from __future__ import annotations
 
 import hashlib
+from datetime import timedelta
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from stayline import config as c
 from stayline.functions import measures as m
 from stayline.operators import (
-    anchors, dataset, encoding, metrics, models, reports, scoring,
+    anchors, boosting, dataset, encoding, metrics, models, reports, scoring, sliding,
 )
 from stayline.operators import features as f
 from stayline.operators.features import Measure, OfFacets
@@ -34,6 +36,7 @@ COHORT = ("2024-01-03", "2024-01-10")
 CUTOFF, EARLY_CUTOFF, MIN_N = "2024-01-22", "2024-01-12", 10
 AS_OF = "2024-01-26"
 DATA_START, REMOVALS = "2024-01-08", ("2024-01-10", "2024-01-30")
+LATE_DAY = "2024-01-14"
 REPLACED_SLICE, EMPTIED_SLICE = (7, "2024-01-12"), (1, "2024-01-09")
 KEYS = ("snapshot_date", USER, "install_date", "milestone_day")
 
@@ -491,6 +494,30 @@ def slice_exists(spark, sf_dir):
     return spark.createDataFrame(rows, "milestone_day int, snapshot_date date, found boolean, finished boolean")
 
 
+@query
+def stale_slices(spark, sf_dir):
+    """Slices that are due again after one late event, by the checksums they were built from."""
+    ws = jobs.Workspace(new_folder(spark))
+    events = flat_events(spark, sf_dir)
+    slices = [(m, day + timedelta(days=m)) for day, m in anchors.milestone_slices(*COHORT)] + [
+        (0, anchors._day(x)) for x in SNAPSHOTS]
+    tables.write_inputs(tables.slice_inputs(events, spark, slices), ws.path("inputs"))
+    late = events.where(F.col(DAY) == as_date(LATE_DAY)).orderBy("event_id").limit(1).withColumn("event_name", F.lit("late"))
+    changed = jobs.changed_slices(spark, ws, events.unionByName(late), slices)
+    return spark.createDataFrame(sorted(changed), "milestone_day int, snapshot_date date")
+
+
+@query
+def sliding_features(spark, sf_dir):
+    """Calendar features from a state that was moved on by three days."""
+    ws = jobs.Workspace(new_folder(spark))
+    last = anchors._day(SNAPSHOT) + timedelta(days=c.LABEL_HORIZON - 1)
+    jobs.refresh_days(flat_events(spark, sf_dir), ws, last - timedelta(days=sliding.SPAN + 3), last)
+    for back in (3, 2, 1, 0):
+        state = jobs.advance_state(spark, ws, last - timedelta(days=back))
+    return f.calendar_features(state.tables(), state.snapshot())
+
+
 @query
 def slice_rows(spark, sf_dir):
     return tables.slice_rows(feature_store(spark, sf_dir))
@@ -563,6 +590,14 @@ def apply_risk(spark, sf_dir):
                         *[f"{d}_uninstall_rate" for d in c.RISK_DIMENSIONS])
 
 
+@query
+def known_risk(spark, sf_dir):
+    """Rates of every row as they were known on its snapshot day."""
+    store = feature_store(spark, sf_dir)
+    versions = encoding.rate_versions(store, MIN_N)
+    return encoding.apply_known_risk(store, versions).select(*KEYS, *c.RISK_DIMENSIONS, *(f"{d}_uninstall_rate" for d in c.RISK_DIMENSIONS))
+
+
 @query
 def merge_baseline(spark, sf_dir):
     store = feature_store(spark, sf_dir)
@@ -622,6 +657,13 @@ def history_dictionary(spark, sf_dir):
     return encoding.fit_ordinal(history)
 
 
+@query
+def stable_dictionary(spark, sf_dir):
+    """Codes of the train rows, with the new values of the held-out rows behind them."""
+    train, valid = dataset.time_split(training_rows(spark, sf_dir))
+    return encoding.extend_ordinal(saved(encoding.fit_ordinal(train)), valid, 1)
+
+
 @query
 def assemble(spark, sf_dir):
     inputs = f.MODEL_INPUTS
@@ -668,12 +710,21 @@ def _model(spark, sf_dir, name):
 
 
 def _held_out(name):
-    """What holds for any trained model: its rows, and scores that are probabilities."""
+    """The held-out rows with scores that are probabilities, and whether the model learned anything.
+
+    A model learned if the loss of its train rows is below that of their label rate.
+    """
     def run(spark, sf_dir):
         trained, valid, sizes = _model(spark, sf_dir, name)
-        return models.probability(
-            trained.model, valid, f.MODEL_INPUTS, sizes, models.MODELS[name].nominal, "score"
-        ).select(*KEYS, c.LABEL, F.col("score").between(0, 1).alias("is_probability"))
+        nominal = models.MODELS[name].nominal
+        train = _encoded_split(spark, sf_dir)[0]
+        fitted = models.probability(trained.model, train, f.MODEL_INPUTS, sizes, nominal, "score")
+        y = F.col(c.LABEL)
+        loss = fitted.agg(
+            F.avg(-F.log(F.when(y == 1, F.col("score")).otherwise(1 - F.col("score")))).alias("loss"), F.avg(y).alias("rate"))
+        learns = loss.select((F.expr("-rate * ln(rate) - (1 - rate) * ln(1 - rate)") - F.col("loss") > 1e-3)).first()[0]
+        return models.probability(trained.model, valid, f.MODEL_INPUTS, sizes, nominal, "score").select(
+            *KEYS, c.LABEL, F.col("score").between(0, 1).alias("is_probability"), F.lit(learns).alias("learns"))
     return run
 
 
@@ -687,7 +738,7 @@ def feature_importance(spark, sf_dir):
     ranked = models.top(
         models.feature_importance(trained.model, valid, f.MODEL_INPUTS, sizes), len(f.MODEL_INPUTS)
     )
-    return ranked.select("feature", F.col("importance").between(0, 1).alias("is_share"))
+    return _importance_facts(spark, trained.model, ranked)
 
 
 @query
@@ -698,7 +749,102 @@ def write_importance(spark, sf_dir):
         models.feature_importance(trained.model, valid, f.MODEL_INPUTS, sizes), path
     )
     written = spark.read.csv(path, header=True, schema="feature string, importance double")
-    return written.select("feature", F.col("importance").between(0, 1).alias("is_share"))
+    return _importance_facts(spark, trained.model, written)
+
+
+def _known_model(dictionary) -> scoring.Trained:
+    """Three stumps that SQL can follow."""
+    inputs = ["session_cnt_7d", "days_since_install", "country"]
+    stump = lambda k, left, right, rows: boosting.Tree(
+        np.array([k, -1, -1]), np.array([0, 0, 0]), np.array([1, -1, -1]), np.array([2, -1, -1]),
+        np.array([0.0, left, right]), np.array([1.0, 0, 0]), np.array([sum(rows), *rows]))
+    trees = [stump(0, 0.5, -0.4, (30, 70)), stump(1, -0.2, 0.3, (60, 40)), stump(2, 0.25, -0.125, (50, 50))]
+    fitted = boosting.Trees(inputs, [np.array([2.0]), np.array([7.0]), np.array([3.0])], -1.0, trees)
+    return scoring.Trained(models.Model(fitted), dictionary, inputs)
+
+
+def _known_snapshot(spark, sf_dir) -> DataFrame:
+    return feature_store(spark, sf_dir).where(
+        (F.col("milestone_day") == 0) & (F.col("snapshot_date") == as_date(SNAPSHOTS[-1])))
+
+
+@query
+def score_known(spark, sf_dir):
+    """Scores of one snapshot by a model whose trees are given."""
+    trained = {"gbt_a": _known_model(_encoded_split(spark, sf_dir)[2])}
+    scored = scoring.score(_known_snapshot(spark, sf_dir), trained, "gbt_a")
+    return scored.select(
+        "prediction_date", USER, F.round("uninstall_prob_gbt_a", 9).alias("uninstall_prob"), "uninstall_prob_gbt_b", "risk_segment")
+
+
+@query
+def contributions_known(spark, sf_dir):
+    """Additive contributions to the margin of a model whose trees are given, and what they are added to."""
+    trained = _known_model(_encoded_split(spark, sf_dir)[2])
+    encoded = encoding.apply_ordinal(_known_snapshot(spark, sf_dir), trained.dictionary)
+    found = boosting.with_contributions(trained.model.trees, encoded, KEYS)
+    return found.select(*KEYS, F.round("base", 9).alias("base"), *(
+        F.round(F.col("contributions")[k], 9).alias(f"by_{x}") for k, x in enumerate(trained.inputs)))
+
+
+@query
+def importance_known(spark, sf_dir):
+    """Mean absolute contributions, most important input first."""
+    trained = _known_model(_encoded_split(spark, sf_dir)[2])
+    encoded = encoding.apply_ordinal(_known_snapshot(spark, sf_dir), trained.dictionary)
+    found = models.top(models.feature_importance(trained.model, encoded, trained.inputs, {}))
+    return found.select("feature", F.round("importance", 9).alias("importance"))
+
+
+def _importance_facts(spark, model, importance) -> DataFrame:
+    """The number of values that a model tells apart, and whether its importance fits that."""
+    trees = model.trees
+    known = spark.createDataFrame(list(zip(trees.inputs, trees.values)), "feature string, distinct_values int")
+    fits = (F.col("importance") >= 0) & ((F.col("distinct_values") > 1) | F.col("distinct_values").isNull() | (F.col("importance") == 0))
+    return importance.join(known, "feature").select("feature", "distinct_values", fits.alias("is_importance"))
+
+
+@query
+def split_gains(spark, sf_dir):
+    """The best first split of every input by itself, with both penalties."""
+    train = _encoded_split(spark, sf_dir)[0]
+    params = boosting.Params(l1=0.1, l2=0.1, minInstancesPerNode=5)
+    found = boosting.root_gains(train, f.MODEL_INPUTS, c.LABEL, models.row_key(), params)
+    return found.where("distinct_values IS NOT NULL").withColumn("rows_below", F.col("rows_below").cast("long"))
+
+
+@query
+def ordered_statistics(spark, sf_dir):
+    """Categories of train rows as label rates of the rows before in a random order."""
+    train = _encoded_split(spark, sf_dir)[0]
+    found = encoding.ordered_statistics(train, c.CATEGORICAL_FEATURES, c.SEED)
+    return found.select(*KEYS, *(F.round(x, 9).alias(x) for x in c.CATEGORICAL_FEATURES))
+
+
+@query
+def category_statistics(spark, sf_dir):
+    """Held-out rows with categories as label rates of all train rows."""
+    train, valid, _ = _encoded_split(spark, sf_dir)
+    statistics = saved(encoding.category_statistics(train, c.CATEGORICAL_FEATURES))
+    found = encoding.with_statistics(valid, statistics, c.CATEGORICAL_FEATURES)
+    return found.select(*KEYS, *(F.round(x, 9).alias(x) for x in c.CATEGORICAL_FEATURES))
+
+
+@query
+def model_rounds(spark, sf_dir):
+    """Rounds of every model: it stopped in time, and its best round is the one of the recorded metric."""
+    rows = []
+    for name in c.MODEL_NAMES:
+        trained, valid, sizes = _model(spark, sf_dir, name)
+        spec, trees = models.MODELS[name], trained.model.trees
+        found = models.rounds(spark, {name: trained.model}).first()
+        scored = models.probability(trained.model, valid, f.MODEL_INPUTS, sizes, spec.nominal, "score")
+        got = metrics.ranking_metrics(scored, (), "score", c.LABEL).first()
+        waited = found.rounds_run - found.best_round
+        rows.append((name, valid.count(), 0 <= waited < spec.params["patience"] + boosting.EVERY,
+                     len(trees.trees) == found.best_round, abs(got.auc_pr - found.auc_pr) < 1e-3))
+    return spark.createDataFrame(
+        rows, "model string, n_valid long, stopped_in_time boolean, is_cut boolean, is_recorded boolean")
 
 
 @query

@@ -8,6 +8,7 @@ rows.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 from operator import and_
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from stayline import config as c
 from stayline.operators.rollup import DAY, USER, DayTables, Rollup, day_tables
+from stayline.sources.events import between_days
 from stayline.sources.shared import file_names, remove
 
 SLICE = ("milestone_day", "snapshot_date")
@@ -144,21 +146,23 @@ def default_value(feature: str):
 def latest_version(frame: DataFrame, keys, version) -> DataFrame:
     """Keep the newest row per key.
 
-    Keys with several rows are found on the keys alone.  Only their rows are
-    reduced, by a maximum over structs that combines before the shuffle; equal
-    versions are settled by the row's values.  All other rows pass unshuffled
-    as long as the repeated keys are few enough to broadcast, as in a store
-    whose slices were replaced and not appended.
+    One narrow aggregate finds the keys with several rows, their newest version and how
+    many rows have it.  These keys are few in a store whose slices are replaced, so the
+    join back does not shuffle the rows.  Equal newest versions are settled by the row's
+    values, a maximum over structs; without any, that branch reads nothing.
     """
     versions = [version] if isinstance(version, str) else list(version)
     payload = [x for x in frame.columns if x not in (*keys, *versions)]
-    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counts.where("_n > 1").select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    counts = frame.groupBy(*keys, *versions).agg(F.count(F.lit(1)).alias("_n"))
+    newest = counts.groupBy(*keys).agg(F.max(F.struct(*versions, "_n")).alias("_top"), F.sum("_n").alias("_all"))
+    newest = newest.where("_all > 1").select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_top")
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    single = frame.join(repeated, same, "left_anti")
-    several = frame.join(repeated, same, "left_semi")
-    newest = several.groupBy(*keys).agg(F.max(F.struct(*versions, *payload)).alias("row"))
-    return single.unionByName(newest.select(*keys, "row.*").select(*frame.columns))
+    top = reduce(and_, [F.col(v).eqNullSafe(F.col(f"_top.{v}")) for v in versions])
+    alone = frame.join(newest, same, "left").where(F.col("_top").isNull() | (top & (F.col("_top._n") == 1)))
+    tied = frame.join(newest.where("_top._n > 1"), same & top, "left_semi")
+    settled = tied.groupBy(*keys, *versions).agg(F.max(F.struct(*payload)).alias("row")) if payload else tied.distinct()
+    settled = settled.select(*keys, *versions, "row.*") if payload else settled
+    return alone.select(*frame.columns).unionByName(settled.select(*frame.columns))
 
 
 def slice_rows(store: DataFrame, by=SLICE) -> DataFrame:
@@ -181,6 +185,59 @@ def build_report(store: DataFrame, by=SLICE) -> DataFrame:
     )
 
 
+# --- what slices were built from -------------------------------------------
+
+
+def day_checksums(events: DataFrame | DayTables) -> DataFrame:
+    """``event_date, checksum``: a number per day that does not depend on the order of its rows.
+
+    The sum of 64-bit hashes of whole rows, and their number; of day tables, of both.
+    """
+    frames = [events] if isinstance(events, DataFrame) else [events.measures, events.values]
+    sums = []
+    for k, frame in enumerate(frames):
+        # a null leaves a hash as it is, so its place is hashed too
+        row = F.xxhash64(F.lit(k), *frame.columns, *(F.col(x).isNull() for x in frame.columns))
+        sums.append(frame.groupBy(DAY).agg(F.sum(row.cast("decimal(38, 0)")).alias("total"), F.count(F.lit(1)).alias("n")))
+    both = reduce(DataFrame.unionByName, sums).groupBy(DAY).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return both.select(DAY, F.concat_ws(":", F.col("total").cast("string"), F.col("n").cast("string")).alias("checksum"))
+
+
+def slice_days(spark: SparkSession, slices) -> DataFrame:
+    """``milestone_day, snapshot_date, event_date``: every day that a build of the slices reads."""
+    rows = []
+    for milestone, day in slices:
+        low = day - timedelta(days=c.FEATURE_WINDOW + milestone)
+        high = day + timedelta(days=c.LABEL_HORIZON - 1)
+        rows += [(milestone, day, low + timedelta(days=k)) for k in range((high - low).days + 1)]
+    return spark.createDataFrame(rows, f"milestone_day int, snapshot_date date, {DAY} date")
+
+
+def slice_inputs(events: DataFrame | DayTables, spark: SparkSession, slices) -> DataFrame:
+    """The days of slices with their checksums; a day without events has an empty one."""
+    days = [day for _, day in slices]
+    first = min(day - timedelta(days=c.FEATURE_WINDOW + m) for m, day in slices)
+    last = max(days) + timedelta(days=c.LABEL_HORIZON - 1)
+    scanned = events.between(first, last) if isinstance(events, DayTables) else between_days(events, first, last)
+    # one row per day
+    return slice_days(spark, slices).join(F.broadcast(day_checksums(scanned)), DAY, "left").withColumn(
+        "checksum", F.coalesce("checksum", F.lit("")))
+
+
+INPUTS_SCHEMA = f"{DAY} date, checksum string, milestone_day int, snapshot_date date"
+
+
+def write_inputs(inputs: DataFrame, path: str) -> None:
+    write_slices(inputs, path, SLICE, DAY)
+
+
+def changed_slices(recorded: DataFrame, current: DataFrame) -> DataFrame:
+    """Slices of ``current`` with a day that is no longer what it was, or was never recorded."""
+    key = [*SLICE, DAY]
+    old = recorded.select(*key, F.col("checksum").alias("old"))
+    return current.join(old, key, "left").where(~F.col("checksum").eqNullSafe(F.col("old"))).select(*SLICE).distinct()
+
+
 # --- small tables ----------------------------------------------------------
 
 
