@@ -329,7 +329,8 @@ class Rows:
     def __init__(self, frame: DataFrame, width: int):
         self.spark, self.width, self.path = frame.sparkSession, width, None
         self.pending: list[Tree] = []
-        self._write(frame)
+        # narrow rows of a wide table: as many tasks as their own size asks for
+        self._write(frame.hint("rebalance"))
 
     def _write(self, frame: DataFrame) -> None:
         path, old = new_folder(self.spark), self.path
@@ -517,7 +518,8 @@ class Grower:
             left = p.split[2]
             p.left, p.right = _Node(p.depth + 1, left), _Node(p.depth + 1, p.stats - left)
             pair = sorted((p.left, p.right), key=lambda n: n.stats[2])
-            may = self.params.growth == "symmetric" or pair[1].stats[2] >= 2 * few
+            may = self.params.growth == "symmetric" or any(
+                n.stats[2] >= 2 * few and n.stats[1] >= 2 * self.params.minHessian for n in pair)
             if p.depth + 1 < self.params.maxDepth and may:
                 wanted.append((p, *pair))
         if not wanted:
