@@ -632,6 +632,8 @@ def fit(train: DataFrame, valid: DataFrame | None, inputs: Sequence[str], label:
         raise ValueError("no training rows")
     mean = min(max(mean, 1e-6), 1 - 1e-6)
     base = math.log(mean / (1 - mean))
+    if not inputs:
+        return Trees(inputs, [], base, [])
     borders, values = find_borders(train, inputs, params.maxBins)
     rows = Rows(encode(train, inputs, borders, label, key, base), len(inputs))
     held = Rows(encode(valid, inputs, borders, label, key, base), len(inputs)) if valid is not None else None
