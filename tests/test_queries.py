@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 ORACLES = checks.oracle_sql()
 # Models need more rows than the smallest tables hold.
 MODELS = {"train_gbt_a", "train_gbt_b", "train_gbt_c", "feature_importance", "score",
-          "write_importance"}
+          "write_importance", "model_rounds"}
 
 
 @pytest.fixture(scope="module")
