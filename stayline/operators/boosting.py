@@ -320,6 +320,28 @@ def sampled(rows: np.ndarray, rate: float, seed: int, draw: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) < rate * (1 << 53)
 
 
+def cell_sums(bins: np.ndarray, at: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, places: int, n_bins: int) -> np.ndarray:
+    """Sums ``[place, (gradient, Hessian, rows), column x bin]`` of rows; those of integers below 2**53 are exact.
+
+    Many rows are added column by column, whose sums stay in the cache; for few rows the
+    calls would cost more than the rows, so all columns are added at once.
+    """
+    width = bins.shape[1]
+    sums = np.zeros((places, _SUMS, width, n_bins), np.int64)
+    if len(bins) >= places * n_bins:
+        first = at * n_bins
+        for k, column in enumerate(np.ascontiguousarray(bins.T)):
+            cell = first + column
+            for j, values in enumerate((gradient, hessian, None)):
+                sums[:, j, k] = np.bincount(cell, values, places * n_bins).astype(np.int64).reshape(places, n_bins)
+    else:
+        cell = (at * (width * n_bins))[:, None] + (np.arange(width) * n_bins)[None, :] + bins
+        for j, values in enumerate((gradient, hessian, None)):
+            weights = None if values is None else np.repeat(values, width)
+            sums[:, j] = np.bincount(cell.reshape(-1), weights, sums[:, j].size).astype(np.int64).reshape(places, width, n_bins)
+    return sums.reshape(places, _SUMS, width * n_bins)
+
+
 # --- passes ----------------------------------------------------------------
 
 
@@ -374,12 +396,7 @@ class Rows:
                     continue
                 p = logistic(added(trees, bins, batch.column("margin").to_numpy()[keep]))
                 label = batch.column("label").to_numpy()[keep]
-                cell = (at * size)[:, None] + (np.arange(len(columns)) * n_bins)[None, :] + bins[:, columns]
-                for k, values in enumerate((p - label, p * (1 - p), None)):
-                    # sums of integers below 2**53 are exact
-                    weights = None if values is None else np.repeat(np.round(values * _UNIT), len(columns))
-                    found = np.bincount(cell.reshape(-1), weights, len(targets) * size)
-                    sums[:, k] += found.astype(np.int64).reshape(len(targets), size)
+                sums += cell_sums(bins[:, columns], at, np.round((p - label) * _UNIT), np.round(p * (1 - p) * _UNIT), len(targets), n_bins)
             yield packed({k: s for k, s in enumerate(sums)})
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

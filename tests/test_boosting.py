@@ -232,3 +232,15 @@ def test_empty_and_constant(spark, made):
     assert b.with_margin(none, frame, "m").select("m").distinct().count() == 1
     with pytest.raises(ValueError):
         b.find_borders(frame, INPUTS, 300)
+
+
+@pytest.mark.parametrize("rows", [0, 7, 3000])
+def test_cell_sums_of_few_and_many_rows(rows):
+    rng = np.random.default_rng(rows)
+    bins, at = rng.integers(0, 6, (rows, 4)).astype(np.uint8), rng.integers(0, 3, rows)
+    gradient, hessian = rng.integers(-1 << 24, 1 << 24, rows).astype(float), rng.integers(0, 1 << 22, rows).astype(float)
+    wanted = np.zeros((3, 3, 4, 6), np.int64)
+    for row, place, g, h in zip(bins, at, gradient, hessian):
+        for column, cell in enumerate(row):
+            wanted[place, :, column, cell] += np.array([g, h, 1], np.int64)
+    assert (b.cell_sums(bins, at, gradient, hessian, 3, 6) == wanted.reshape(3, 3, 24)).all()
