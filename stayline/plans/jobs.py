@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from stayline import config as c
 from stayline.operators import (
-    anchors, dataset, encoding, features, metrics, models, scoring, sliding,
+    anchors, dataset, encoding, features, metrics, models, rollup, scoring, sliding,
 )
 from stayline.sources import store as tables
 from stayline.sources.events import as_date, between_days
-from stayline.sources.shared import scratch
+from stayline.sources.shared import saved, scratch
 
 
 @dataclass(frozen=True)
@@ -82,6 +82,12 @@ def day_tables(spark: SparkSession, ws: Workspace):
     return tables.read_day_tables(spark, features.CHURN_ROLLUP, ws.path("days"))
 
 
+def reduced_days(events: DataFrame, first, last) -> rollup.DayTables:
+    """Day tables of some days, reduced once for several builds."""
+    days = rollup.day_tables(between_days(events, first, last), features.CHURN_ROLLUP)
+    return days._replace(measures=saved(days.measures), values=saved(days.values))
+
+
 # --- feature builds --------------------------------------------------------
 
 

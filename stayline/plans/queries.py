@@ -25,7 +25,7 @@ from stayline.operators.rollup import DAY, USER, Facet, Rollup
 from stayline.plans import jobs
 from stayline.sources import store as tables
 from stayline.sources.events import as_date, between_days, flat_events
-from stayline.sources.shared import new_folder, saved, shared_folder
+from stayline.sources.shared import new_folder, saved, scratch, shared_folder
 
 # Parameters shared with the SQL checks
 INSTALL_FROM, INSTALL_TO = "2024-01-01", "2024-01-14"
@@ -59,9 +59,13 @@ def workspace(spark: SparkSession, sf_dir: str) -> jobs.Workspace:
     name = hashlib.sha1(f"{app} {sf_dir}".encode()).hexdigest()[:12]
     ws = jobs.Workspace(f"{shared_folder(spark)}/{name}")
     if (app, sf_dir) not in _built:
-        events = flat_events(spark, sf_dir)
-        jobs.build_milestones(spark, ws, events, INSTALL_FROM, INSTALL_TO)
-        jobs.build_snapshots(spark, ws, events, SNAPSHOTS)
+        scans = (anchors.milestone_scan(anchors.milestone_slices(INSTALL_FROM, INSTALL_TO)),
+                 anchors.calendar_scan(SNAPSHOTS[0], SNAPSHOTS[-1]))
+        with scratch(spark):
+            days = jobs.reduced_days(
+                flat_events(spark, sf_dir), min(first for first, _ in scans), max(last for _, last in scans))
+            jobs.build_milestones(spark, ws, days, INSTALL_FROM, INSTALL_TO)
+            jobs.build_snapshots(spark, ws, days, SNAPSHOTS)
         _built.add((app, sf_dir))
     return ws
 

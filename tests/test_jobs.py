@@ -131,3 +131,20 @@ def test_scratch_is_removed(spark):
         path = saved(spark.range(3)).inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
     import os
     assert not os.path.exists(path)
+
+
+def test_days_reduced_once_give_the_rows_of_events(spark, tmp_path):
+    events = flat_events(spark, "/root/testdata/sf0.001")
+    made = []
+    for name, read in (("raw", events), ("days", jobs.reduced_days(events, "2023-12-02", "2024-02-17"))):
+        ws = jobs.Workspace(str(tmp_path / name))
+        jobs.build_milestones(spark, ws, read, "2024-01-01", "2024-01-02", (1, 7))
+        jobs.build_snapshots(spark, ws, read, ["2024-01-15"])
+        made.append(sorted(map(str, ws.store(spark).drop("created_at").collect())))
+    assert made[0] == made[1] and made[0]
+
+
+def test_days_without_events_can_be_reduced(spark):
+    none = flat_events(spark, "/root/testdata/sf0.001").where("event_date > '2030-01-01'")
+    days = jobs.reduced_days(none, "2024-01-01", "2024-02-01")
+    assert days.measures.count() == days.values.count() == 0
