@@ -48,7 +48,7 @@ def calendar_scan(first, last) -> tuple[date, date]:
 
 
 def milestone_rows(rows: DataFrame, anchors: DataFrame, as_of=None,
-                   batch_bound: bool = False) -> DataFrame:
+                   batch_bound: bool = False, within=(1 - c.LABEL_HORIZON, None)) -> DataFrame:
     """Day rows of the anchored users, once per milestone, with ``d``.
 
     ``anchors`` has one row per user with the install date and an array of
@@ -59,12 +59,16 @@ def milestone_rows(rows: DataFrame, anchors: DataFrame, as_of=None,
 
     ``batch_bound`` keeps everything the scan delivered instead of the 30 days
     before the user's install.  ``as_of`` drops anchors that lie in the future.
+    ``within`` bounds ``d``; the upper bound may be None.
     """
     joined = rows.join(anchors, USER)
     if not batch_bound:
         joined = joined.where(F.col(DAY) >= F.date_sub("install_date", c.FEATURE_WINDOW))
     # Only the milestones whose windows or label reach the day are multiplied out.
-    reach = f"filter(milestones, m -> datediff(install_date, {DAY}) + m > {-c.LABEL_HORIZON})"
+    low, high = within
+    to_anchor = f"datediff(install_date, {DAY}) + m"
+    reached = f"{to_anchor} >= {low}" if high is None else f"{to_anchor} BETWEEN {low} AND {high}"
+    reach = f"filter(milestones, m -> {reached})"
     anchored = (
         joined.withColumn("milestone_day", F.explode(F.expr(reach))).drop("milestones")
         .withColumn("d", F.expr(f"datediff(install_date, {DAY}) + milestone_day"))
@@ -90,17 +94,19 @@ def with_milestones(cohort: DataFrame, slices) -> DataFrame:
     return cohort.join(F.broadcast(table), "install_date")
 
 
-def calendar_rows(rows: DataFrame, dates) -> DataFrame:
+def calendar_rows(rows: DataFrame, dates, within=(1 - c.LABEL_HORIZON, None)) -> DataFrame:
     """Day rows, once per snapshot date whose windows contain the day.
 
-    The rows move by user before they are multiplied, not after.
+    The rows move by user before they are multiplied, not after.  ``within``
+    bounds ``d``; without an upper bound it is the feature window.
     """
     dates = sorted(_day(x) for x in dates)
     if len(dates) > 1:
         rows = rows.repartition(USER)
     # Only the dates within reach of the day are multiplied out.
-    reach = F.filter(F.lit(dates), lambda x: F.datediff(x, F.col(DAY)).between(
-        1 - c.LABEL_HORIZON, c.FEATURE_WINDOW))
+    low, high = within
+    high = c.FEATURE_WINDOW if high is None else min(high, c.FEATURE_WINDOW)
+    reach = F.filter(F.lit(dates), lambda x: F.datediff(x, F.col(DAY)).between(low, high))
     return rows.withColumn("snapshot_date", F.explode(reach)).withColumn(
         "d", F.datediff("snapshot_date", DAY))
 

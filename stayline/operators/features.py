@@ -303,6 +303,39 @@ def aggregates_for(columns) -> Aggregates:
     return {n: spec for n, spec in AGGREGATES.items() if n in needed}
 
 
+# Windows of up to so many days are aggregated apart from longer ones.
+RECENT_DAYS = 7
+ANY_DAY = (1 - c.LABEL_HORIZON, None)
+
+
+def _days_read(sql: str) -> tuple[int, int | None]:
+    """The least and the greatest ``d`` that an aggregate reads, as far as its text says."""
+    windows = [(int(a), int(b)) for a, b in re.findall(r"\bd BETWEEN (-?\d+) AND (-?\d+)", sql)]
+    past = re.findall(r"\bd >= 1\b", sql)
+    if not windows and not past:
+        return ANY_DAY
+    low = min([a for a, _ in windows] + [1] * bool(past))
+    return low, None if past else max(b for _, b in windows)
+
+
+def _parts(of_facets: Aggregates, stored: bool):
+    """Facet aggregates to compute together, with the ``d`` they read.
+
+    Most of them look at a few days only, so over stored rows these are aggregated
+    apart: few rows meet many columns, and the others stay narrow.
+    """
+    if not stored:
+        return [(of_facets, ANY_DAY)]
+    parts: dict[bool, Aggregates] = {}
+    for name, spec in of_facets.items():
+        low, high = _days_read(spec.sql)
+        recent = low >= 1 and high is not None and high <= RECENT_DAYS
+        parts.setdefault(recent, {})[name] = spec
+    return [(part, (1, RECENT_DAYS) if recent else
+             (min(_days_read(s.sql)[0] for s in part.values()), None))
+            for recent, part in parts.items()]
+
+
 def _aggregate(tables: DayTables, anchor, keys: tuple[str, ...],
                aggregates: Aggregates) -> DataFrame:
     """Aggregates per anchor; ``anchor`` turns day rows into anchored rows.
@@ -311,19 +344,20 @@ def _aggregate(tables: DayTables, anchor, keys: tuple[str, ...],
     other's columns, and joined at the size of the result.  Everyone has day
     measures; who has no facet row gets the defaults.
     """
-    result = anchor(tables.measures).groupBy(*keys).agg(
+    result = anchor(tables.measures, ANY_DAY).groupBy(*keys).agg(
         F.min("install_date").alias("install_date"),
         *[F.expr(f"{s.sql} AS {n}") for n, s in aggregates.items() if isinstance(s, Measure)],
     )
     of_facets = {n: s for n, s in aggregates.items() if isinstance(s, OfFacets)}
     if of_facets:
-        rows = anchor(facet_rows(tables.values, tables.spec))
-        faceted = rows.groupBy(*keys).agg(
-            *[F.expr(f"{s.sql} AS {n}") for n, s in of_facets.items()]
-        )
-        result = result.join(faceted, list(keys), "left").na.fill(
-            {n: s.default for n, s in of_facets.items()}
-        )
+        rows = facet_rows(tables.values, tables.spec)
+        for part, within in _parts(of_facets, "gap" in tables.values.columns):
+            faceted = anchor(rows, within).groupBy(*keys).agg(
+                *[F.expr(f"{s.sql} AS {n}") for n, s in part.items()]
+            )
+            result = result.join(faceted, list(keys), "left").na.fill(
+                {n: s.default for n, s in part.items()}
+            )
     return result
 
 
@@ -354,8 +388,8 @@ def at_milestones(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggre
     if narrow and not isinstance(events, DayTables) and is_small(anchored):
         events = events.join(F.broadcast(anchored.select(USER)), USER, "left_semi")
 
-    def anchor(rows: DataFrame) -> DataFrame:
-        return anchors.milestone_rows(rows, anchored, as_of, batch_bound)
+    def anchor(rows: DataFrame, within) -> DataFrame:
+        return anchors.milestone_rows(rows, anchored, as_of, batch_bound, within)
 
     return _aggregate(
         _tables(events, scan, spec, aggregates), anchor, (USER, "milestone_day"), aggregates
@@ -371,7 +405,7 @@ def at_dates(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates
         measures=tables.measures.withColumnRenamed("install_any", "install_date")
     )
     result = _aggregate(
-        tables, lambda rows: anchors.calendar_rows(rows, dates),
+        tables, lambda rows, within: anchors.calendar_rows(rows, dates, within),
         (USER, "snapshot_date"), aggregates,
     )
     age = F.datediff("snapshot_date", "install_date")

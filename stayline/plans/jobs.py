@@ -83,9 +83,10 @@ def day_tables(spark: SparkSession, ws: Workspace):
 
 
 def reduced_days(events: DataFrame, first, last) -> rollup.DayTables:
-    """Day tables of some days, reduced once for several builds."""
+    """Day tables of some days, reduced once for several builds; values have their gaps."""
     days = rollup.day_tables(between_days(events, first, last), features.CHURN_ROLLUP)
-    return days._replace(measures=saved(days.measures), values=saved(days.values))
+    gapped = rollup.facet_rows(days.values, days.spec)
+    return days._replace(measures=saved(days.measures), values=saved(gapped))
 
 
 # --- feature builds --------------------------------------------------------

@@ -148,3 +148,35 @@ def test_days_without_events_can_be_reduced(spark):
     none = flat_events(spark, "/root/testdata/sf0.001").where("event_date > '2030-01-01'")
     days = jobs.reduced_days(none, "2024-01-01", "2024-02-01")
     assert days.measures.count() == days.values.count() == 0
+
+
+def test_gaps_are_found_once_for_all_builds(spark, frame):
+    from rows import INSTALL, row
+
+    from stayline.operators import features
+
+    events = frame([row(day, event_name=name, mapped_screen=screen, unique_session_id=f"s{day % 3}", click_button_name=button,
+                        user_pseudo_id=user)
+                    for user in ("u", "v") for day, name, screen, button in (
+                        (0, c.SESSION_EVENT, c.HOME_SCREEN, "Search"), (1, "x", c.SEARCH_SCREEN, None), (6, c.SESSION_EVENT, c.HOME_SCREEN, ""),
+                        (7, c.SESSION_EVENT, None, "Play"), (8, "x", c.HOME_SCREEN, "Search"), (14, c.SESSION_EVENT, c.SCAN_SCREEN, None))
+                    if user == "u" or day in (0, 14)])
+    days = jobs.reduced_days(events, "2024-01-30", "2024-04-10")
+    assert "gap" in days.values.columns
+    for build in (lambda x: features.milestone_features(x, INSTALL, INSTALL),
+                  lambda x: features.calendar_range(x, ["2024-03-08", "2024-03-09", "2024-03-16"])):
+        raw, stored = build(events), build(days)
+        assert "Window" not in stored._jdf.queryExecution().optimizedPlan().toString()
+        rows = sorted(map(str, stored.collect()))
+        assert rows == sorted(map(str, raw.collect())) and rows
+
+
+def test_aggregates_of_few_days_read_these_days_only():
+    from stayline.functions import measures as m
+    from stayline.operators.features import OfFacets, _parts
+
+    specs = {"seven": OfFacets(m.count_in_days("n", 7)), "long": OfFacets(m.distinct_in_days("x", 14, first_day=8)),
+             "past": OfFacets(m.ever("n")), "label": OfFacets(m.within_horizon("n"))}
+    assert _parts(specs, False) == [(specs, (1 - c.LABEL_HORIZON, None))]
+    parts = {tuple(part): within for part, within in _parts(specs, True)}
+    assert parts == {("seven",): (1, 7), ("long", "past", "label"): (1 - c.LABEL_HORIZON, None)}
