@@ -47,21 +47,41 @@ def calendar_scan(first, last) -> tuple[date, date]:
     )
 
 
+#: Day rows that a task multiplies and sorts; fewer than so many tasks' rows are left to adaptive execution.
+TASK_ROWS, FEW_TASKS = 50_000, 8
+
+
+def tasks_for(n: int | None) -> int | None:
+    """Tasks for ``n`` day rows, None where adaptive execution may choose.
+
+    The aggregates over anchored rows sort several times the rows that arrive, so tasks
+    cut by shuffled bytes alone would spill.
+    """
+    tasks = (n or 0) // TASK_ROWS
+    return tasks if tasks >= FEW_TASKS else None
+
+
+def by_user(rows: DataFrame, tasks: int | None) -> DataFrame:
+    return rows.repartition(tasks, USER) if tasks else rows.repartition(USER)
+
+
 def milestone_rows(rows: DataFrame, anchors: DataFrame, as_of=None,
-                   batch_bound: bool = False, within=(1 - c.LABEL_HORIZON, None)) -> DataFrame:
+                   batch_bound: bool = False, within=(1 - c.LABEL_HORIZON, None), n: int | None = None) -> DataFrame:
     """Day rows of the anchored users, once per milestone, with ``d``.
 
     ``anchors`` has one row per user with the install date and an array of
-    milestones.  Both sides hold a bounded number of rows per user.  Adaptive
-    execution broadcasts the anchors when they turn out small, as in a daily
-    run; for a full rebuild it is a shuffled join by user, whose partitioning
-    the following aggregate uses again.
+    milestones.  Both sides hold a bounded number of rows per user.  The rows move by
+    user before they are multiplied, not after; adaptive execution broadcasts the anchors
+    when they turn out small, as in a daily run, else they move to the rows.  The
+    following aggregate uses the partitioning again.  ``n`` is the number of day rows,
+    where it is known.
 
     ``batch_bound`` keeps everything the scan delivered instead of the 30 days
     before the user's install.  ``as_of`` drops anchors that lie in the future.
     ``within`` bounds ``d``; the upper bound may be None.
     """
-    joined = rows.join(anchors, USER)
+    tasks = tasks_for(n)
+    joined = by_user(rows, tasks).join(by_user(anchors, tasks) if tasks else anchors, USER)
     if not batch_bound:
         joined = joined.where(F.col(DAY) >= F.date_sub("install_date", c.FEATURE_WINDOW))
     # Only the milestones whose windows or label reach the day are multiplied out.
@@ -94,15 +114,16 @@ def with_milestones(cohort: DataFrame, slices) -> DataFrame:
     return cohort.join(F.broadcast(table), "install_date")
 
 
-def calendar_rows(rows: DataFrame, dates, within=(1 - c.LABEL_HORIZON, None)) -> DataFrame:
+def calendar_rows(rows: DataFrame, dates, within=(1 - c.LABEL_HORIZON, None), n: int | None = None) -> DataFrame:
     """Day rows, once per snapshot date whose windows contain the day.
 
     The rows move by user before they are multiplied, not after.  ``within``
-    bounds ``d``; without an upper bound it is the feature window.
+    bounds ``d``; without an upper bound it is the feature window.  ``n`` is the number
+    of day rows, where it is known.
     """
     dates = sorted(_day(x) for x in dates)
     if len(dates) > 1:
-        rows = rows.repartition(USER)
+        rows = by_user(rows, tasks_for(n))
     # Only the dates within reach of the day are multiplied out.
     low, high = within
     high = c.FEATURE_WINDOW if high is None else min(high, c.FEATURE_WINDOW)

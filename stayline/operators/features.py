@@ -389,10 +389,11 @@ def at_milestones(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggre
         events = events.join(F.broadcast(anchored.select(USER)), USER, "left_semi")
 
     def anchor(rows: DataFrame, within) -> DataFrame:
-        return anchors.milestone_rows(rows, anchored, as_of, batch_bound, within)
+        return anchors.milestone_rows(rows, anchored, as_of, batch_bound, within, tables.rows)
 
+    tables = _tables(events, scan, spec, aggregates)
     return _aggregate(
-        _tables(events, scan, spec, aggregates), anchor, (USER, "milestone_day"), aggregates
+        tables, anchor, (USER, "milestone_day"), aggregates
     ).withColumn("snapshot_date", F.expr("date_add(install_date, milestone_day)"))
 
 
@@ -405,7 +406,7 @@ def at_dates(events: DataFrame | DayTables, spec: Rollup, aggregates: Aggregates
         measures=tables.measures.withColumnRenamed("install_any", "install_date")
     )
     result = _aggregate(
-        tables, lambda rows, within: anchors.calendar_rows(rows, dates, within),
+        tables, lambda rows, within: anchors.calendar_rows(rows, dates, within, tables.rows),
         (USER, "snapshot_date"), aggregates,
     )
     age = F.datediff("snapshot_date", "install_date")

@@ -90,10 +90,12 @@ class DayTables(NamedTuple):
     measures: DataFrame
     values: DataFrame | None
     spec: Rollup
+    #: number of measure rows, where it is known
+    rows: int | None = None
 
     def between(self, first, last) -> DayTables:
         values = self.values if self.values is None else between_days(self.values, first, last)
-        return DayTables(between_days(self.measures, first, last), values, self.spec)
+        return self._replace(measures=between_days(self.measures, first, last), values=values)
 
 
 def day_tables(events: DataFrame, spec: Rollup) -> DayTables:

@@ -86,7 +86,8 @@ def reduced_days(events: DataFrame, first, last) -> rollup.DayTables:
     """Day tables of some days, reduced once for several builds; values have their gaps."""
     days = rollup.day_tables(between_days(events, first, last), features.CHURN_ROLLUP)
     gapped = rollup.facet_rows(days.values, days.spec)
-    return days._replace(measures=saved(days.measures), values=saved(gapped))
+    measures = saved(days.measures)
+    return days._replace(measures=measures, values=saved(gapped), rows=measures.count())
 
 
 # --- feature builds --------------------------------------------------------

@@ -292,3 +292,21 @@ def test_single_slices_equal_the_whole_range(frame):
     for narrow in (False, True):
         got = f.slice_features(events, slices, columns=columns, narrow=narrow).collect()
         assert sorted(got) == expected and expected
+
+
+def test_day_rows_move_before_they_are_multiplied(spark):
+    rows = spark.createDataFrame([("u", date(2024, 1, 1), 1)], "user_pseudo_id string, event_date date, x int")
+    cohort = spark.createDataFrame([("u", date(2024, 1, 1), [1, 7])], "user_pseudo_id string, install_date date, milestones array<int>")
+    anchored = anchors.milestone_rows(rows, F.broadcast(cohort)).groupBy("user_pseudo_id", "milestone_day").agg(F.sum("x").alias("x"))
+    plan = anchored._jdf.queryExecution().sparkPlan().toString() + anchored._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[plan.rindex("HashAggregate"):plan.rindex("Generate")]
+    assert sorted((r.milestone_day, r.x) for r in anchored.collect()) == [(1, 1), (7, 1)]
+
+
+def test_many_day_rows_go_to_more_tasks(spark):
+    rows = spark.createDataFrame([(f"u{i}", date(2024, 1, 1), 1) for i in range(40)], "user_pseudo_id string, event_date date, x int")
+    cohort = spark.createDataFrame([(f"u{i}", date(2024, 1, 1), [1]) for i in range(40)], "user_pseudo_id string, install_date date, milestones array<int>")
+    for n, tasks in ((9 * anchors.TASK_ROWS, 9), (90 * anchors.TASK_ROWS, 90)):
+        anchored = anchors.milestone_rows(rows, cohort, n=n).groupBy("user_pseudo_id", "milestone_day").count()
+        assert anchored.rdd.getNumPartitions() == tasks and anchored.count() == 40
+        assert anchors.calendar_rows(rows, ["2024-01-02", "2024-01-03"], n=n).rdd.getNumPartitions() == tasks
