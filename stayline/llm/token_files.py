@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.pieces import worker_encoder
+from stayline.llm.pieces import SLICE, worker_encoder
 from stayline.llm.texts import slices
 
 BLOCK = 1 << 16
@@ -77,8 +77,8 @@ def _write(path: str, spaced: bool, end_id: int, block: int, chunk_ids: int, bit
             values = [part, chunk, docs[0], docs[-1], len(docs), len(ids), block, bits, docs, [len(h) // 4 for h in held], zlib.crc32(raw), planes]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TYPES)], _NAMES)
 
-        for batch in slices(batches, "text"):
-            for i, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+        for batch in slices(batches, "text", SLICE):
+            for i, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 docs.append(i)
                 held.append(ids + end)
                 size += len(held[-1]) // 4

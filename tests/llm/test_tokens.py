@@ -38,6 +38,24 @@ def test_pieces_equal_whole_texts(name, docs):
             assert ids == raw(plain.encode(text or "", add_special_tokens=False).ids), repr(text)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_words_with_signs_go_to_the_model(name, monkeypatch):
+    plain, encoder = library(name), PieceEncoder(public_tokenizers.path(name), FILES[name])
+    rng, seen = random.Random(9), []
+    encoded = encoder._encoded
+    monkeypatch.setattr(encoder, "_encoded", lambda texts: seen.extend(texts) or encoded(texts))
+    words = ["".join(rng.choices("abcÀÉñßøTHE", k=rng.randint(1, 12))) for _ in range(400)]
+    texts = [" ".join(w + "".join(rng.choices(".,!#%&*|<>$\"", k=rng.randint(0, 3))) for w in rng.choices(words, k=60)) for _ in range(50)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids == raw(plain.encode(text, add_special_tokens=False).ids), text
+    # the library sees runs of signs alone
+    assert seen and not any(c.isalpha() for text in seen for c in text)
+    # letters whose lower case is elsewhere, an apostrophe, signs in between, special tokens
+    odd = ["İstanbul, ȺȾa. ŉ!", "it's, we'll. don''t' a'.", "a.b, c<|endoftext|> <|endoftext|>. x|>", "a\n.b,\n ,c.\nd", "ªº. ʰa, ɏɐ", "", None]
+    for text, ids in zip(odd, encoder.encode(odd)):
+        assert ids == raw(plain.encode(text or "", add_special_tokens=False).ids), repr(text)
+
+
 def check_packing(rows, texts, end_id=0, capacity=2048):
     plain = library("byte_bpe_50k.json")
     want = Counter()
