@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.pieces import worker_encoder
+from stayline.llm.pieces import SLICE, worker_encoder
 from stayline.llm.texts import slices
 from stayline.sources.shared import saved
 
@@ -36,9 +36,9 @@ def _cut(path: str, spaced: bool, end_id: int, capacity: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(path, spaced)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             doc, piece, start, length, crc, content = [], [], [], [], [], []
-            for i, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
+            for i, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 ids += end
                 size = len(ids) // 4
                 at, n = 0, size % capacity or capacity
@@ -60,6 +60,7 @@ def _cut(path: str, spaced: bool, end_id: int, capacity: int, with_ids: bool):
                 arrays.append(pa.array(content, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
+        encoder.forget()
     return cut
 
 

@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from stayline.llm.texts import give_back
+
 #: Distinct pieces per generation; beyond it the younger one becomes the old one.
 HELD = 300_000
 #: Bytes of text to encode at a time: more have fewer distinct pieces in proportion.
@@ -64,6 +66,11 @@ class PieceEncoder:
         self.shown_as = "".join(shown_as)
         self.lead = "Ġ" if spaced else ""
 
+    def forget(self) -> None:
+        """Free the tables: workers live on, and what a stage has learned must not count against the next one."""
+        self.after, self.bare, self.older = {}, {}, {0: {}, 1: {}}
+        give_back()
+
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
@@ -170,5 +177,5 @@ class PieceEncoder:
 
 @lru_cache(maxsize=1)
 def worker_encoder(path: str, spaced: bool) -> PieceEncoder:
-    """The encoder of this worker process; its table outlives a task."""
+    """The encoder of this worker process; a task should :meth:`~PieceEncoder.forget` its tables."""
     return PieceEncoder(path, spaced)

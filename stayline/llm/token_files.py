@@ -85,6 +85,7 @@ def _write(path: str, spaced: bool, end_id: int, block: int, chunk_ids: int, bit
                 if size >= chunk_ids:
                     yield row()
                     docs, held, size, chunk = [], [], 0, chunk + 1
+        encoder.forget()
         if docs:
             yield row()
     return write

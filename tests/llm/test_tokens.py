@@ -6,12 +6,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from odd import ODD_TEXTS, odd_rows
 from tokenizers import Tokenizer
 
 from stayline.llm import packing, token_files
-from stayline.llm.pieces import PieceEncoder
+from stayline.llm.pieces import PieceEncoder, worker_encoder
 from stayline.llm.queries import QUERIES
 
 FILES = {"byte_bpe_50k.json": True, "word_bpe_49k.json": False}
@@ -56,6 +57,16 @@ def test_words_with_signs_go_to_the_model(name, monkeypatch):
         assert ids == raw(plain.encode(text or "", add_special_tokens=False).ids), repr(text)
 
 
+def test_tables_end_with_their_task():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words, some lines\nof a text", None]})
+    rows = [r for b in packing._cut(path, True, 0, 2048, False)(iter([batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in rows] == [1, 2]
+    encoder = worker_encoder(path, True)
+    assert not encoder.after and not encoder.bare and not any(encoder.older.values())
+    assert encoder.encode(["some words"]) == [raw(library("byte_bpe_50k.json").encode("some words").ids)]
+
+
 def check_packing(rows, texts, end_id=0, capacity=2048):
     plain = library("byte_bpe_50k.json")
     want = Counter()
