@@ -286,10 +286,11 @@ def ordered_statistics(encoded: DataFrame, columns, seed: int = c.SEED) -> DataF
         *c.STORE_KEY, "name", "value", "_part",
         F.coalesce(F.sum(label).over(inside), F.lit(0.0)).alias("pos"), F.coalesce(F.sum(F.lit(1.0)).over(inside), F.lit(0.0)).alias("n"))
     same = (long["name"] == parts["name"]) & (long["_part"] == parts["_part"]) & long["value"].eqNullSafe(parts["_value"])
-    found = long.join(parts, same).select(
+    # merged, not broadcast: files of codes are small, but the rows in them, and the parts, would be held by the driver
+    found = long.join(parts.hint("merge"), same).select(
         *c.STORE_KEY, long["name"], _statistic(F.col("pos") + F.col("_pos"), F.col("n") + F.col("_n")).alias("statistic"))
     wide = found.groupBy(*c.STORE_KEY).agg(*(F.max(F.when(F.col("name") == x, F.col("statistic"))).alias(f"_statistic_{x}") for x in columns))
-    joined = encoded.join(wide, list(c.STORE_KEY))
+    joined = encoded.join(wide.hint("merge"), list(c.STORE_KEY))
     return joined.select(*(F.col(f"_statistic_{x}").alias(x) if x in columns else F.col(x) for x in encoded.columns))
 
 

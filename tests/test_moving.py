@@ -124,3 +124,14 @@ def test_ordered_statistics_leave_out_the_own_label(spark, seed):
     table = encoding.category_statistics(frame, ["k"])
     whole = {r.user_pseudo_id: r.k for r in encoding.with_statistics(frame, table, ["k"]).collect()}
     assert whole["u1"] == pytest.approx((seen[1][0] + 0.5) / (seen[1][1] + 1))
+
+
+def test_ordered_statistics_do_not_broadcast_rows(spark, tmp_path):
+    """Files of encoded rows are far smaller than the rows, which the driver must not hold."""
+    path = str(tmp_path / "encoded")
+    spark.range(400).selectExpr(
+        "cast(id AS string) AS user_pseudo_id", "date'2024-01-01' AS snapshot_date", "7 AS milestone_day",
+        "cast(id % 3 AS int) AS k", f"cast(id % 2 AS int) AS {c.LABEL}").write.parquet(path)
+    found = encoding.ordered_statistics(spark.read.parquet(path), ["k"], 1)
+    assert len(found.collect()) == 400
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
