@@ -25,6 +25,7 @@ import heapq
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, fields, replace
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,8 @@ FEW_TASKS = 1
 BUNDLE_CELLS = 1 << 12
 BUNDLE_ROWS = 4000
 BLOCKS = 8
+#: Rows whose contributions are found together.
+ROWS = 10_000
 #: Steps of scores in the held-out metrics.
 STEPS = 1 << 16
 _UNIT = float(1 << 24)
@@ -146,21 +149,26 @@ class Trees:
         rows.  In a leaf an input matters as one factor: 1 or 0 when it is known, else
         its share of rows; rows of one pattern of factors have the same values.
         """
-        out = np.zeros((len(bins), len(self.inputs) + 1))
-        out[:, -1] = self.base
+        out = np.zeros((len(self.inputs) + 1, len(bins)))
+        out[-1] = self.base
+        columns = np.ascontiguousarray(bins.T)
         for tree in self.trees:
+            below: dict[tuple[int, int], np.ndarray] = {}
             for path, value in _paths(tree):
                 names = sorted({f for f, *_ in path})
-                share, known = np.ones(len(names)), np.ones((len(bins), len(names)), bool)
+                share, known = np.ones(len(names)), np.ones((len(names), len(bins)), bool)
                 for f, border, left, part in path:
                     k = names.index(f)
                     share[k] *= part
-                    known[:, k] &= (bins[:, f] <= border) == left
-                out[:, -1] += value * share.prod()
+                    if (f, border) not in below:
+                        below[f, border] = columns[f] <= border
+                    known[k] &= below[f, border] == left
+                out[-1] += value * share.prod()
                 if names:
-                    patterns, which = np.unique(known, axis=0, return_inverse=True)
-                    out[:, names] += (value * _shapley(patterns.astype(float), share))[which.reshape(-1)]
-        return out
+                    patterns, which = _patterns(known)
+                    for f, found in zip(names, (value * _shapley(patterns, share)).T):
+                        out[f] += found[which]
+        return out.T
 
     def node_table(self, spark: SparkSession) -> DataFrame:
         """One row per node: ``tree, node, feature, threshold, left, right, value, gain, rows``."""
@@ -215,22 +223,45 @@ def _paths(tree: Tree) -> Iterator[tuple[list[tuple[int, int, bool, float]], flo
             todo.append((child, [*path, (f, int(tree.bin[node]), left, float(part))]))
 
 
+def _patterns(known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns of some rows of flags, as rows of numbers, and which of them each column is."""
+    n = len(known)
+    if n > 62:
+        patterns, which = np.unique(known.T, axis=0, return_inverse=True)
+        return patterns.astype(float), which.reshape(-1)
+    code = np.zeros(known.shape[1], np.int64)
+    for k, flags in enumerate(known):
+        code |= flags.astype(np.int64) << k
+    if n > 12:
+        codes, which = np.unique(code, return_inverse=True)
+    else:
+        codes = np.flatnonzero(np.bincount(code, minlength=1 << n))
+        place = np.zeros(1 << n, np.int64)
+        place[codes] = np.arange(len(codes))
+        which = place[code]
+    return (codes[:, None] >> np.arange(n) & 1).astype(float), which
+
+
+@cache
+def _quadrature(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights that integrate polynomials of a degree below ``n`` over 0 to 1."""
+    points, weights = np.polynomial.legendre.leggauss((n + 1) // 2)
+    return (points + 1) / 2, weights / 2
+
+
 def _shapley(known: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shapley values of factors whose product is the game: ``known`` in a coalition, else ``share``."""
-    n = len(share)
-    out = np.zeros_like(known)
-    for k in range(n):
-        # sums over coalitions of the others, by their size
-        sums = np.zeros((len(known), n))
-        sums[:, 0] = 1
-        for j in range(n):
-            if j != k:
-                grown = sums * share[j]
-                grown[:, 1:] += sums[:, :-1] * known[:, j: j + 1]
-                sums = grown
-        weight = np.array([1 / (n * math.comb(n - 1, s)) for s in range(n)])
-        out[:, k] = (known[:, k] - share[k]) * (sums @ weight)
-    return out
+    """Shapley values of factors whose product is the game: ``known`` in a coalition, else ``share``.
+
+    The weight of a coalition is the integral of ``t ** size * (1 - t) ** (others - size)``, so the sum over the
+    coalitions of the others is that of the product of ``share * (1 - t) + known * t``, a polynomial.
+    """
+    points, weights = _quadrature(len(share))
+    t = points[:, None, None]
+    factors = share * (1 - t) + known * t
+    others = np.ones_like(factors)
+    others[:, :, 1:] = np.cumprod(factors, axis=2)[:, :, :-1]
+    others[:, :, :-1] *= np.cumprod(factors[:, :, ::-1], axis=2)[:, :, -2::-1]
+    return (known - share) * np.tensordot(weights, others, 1)
 
 
 # --- bins ------------------------------------------------------------------
@@ -979,8 +1010,8 @@ def with_contributions(model: Trees, frame: DataFrame, keep: Sequence[str]) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 found = model.contributions(model.bins(_matrix(part.column("x"), model.inputs)))
                 values = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * n, pa.int32()), pa.array(found[:, :n].reshape(-1)))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [pa.array(found[:, n]), values], [*names, "base", "contributions"])
@@ -995,8 +1026,8 @@ def mean_contributions(model: Trees, frame: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(n), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                values = _matrix(batch.slice(at, 1000).column("x"), model.inputs)
+            for at in range(0, batch.num_rows, ROWS):
+                values = _matrix(batch.slice(at, ROWS).column("x"), model.inputs)
                 total += np.abs(model.contributions(model.bins(values))[:, :n]).sum(axis=0)
                 rows += len(values)
         yield pa.RecordBatch.from_arrays(
