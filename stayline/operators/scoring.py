@@ -53,6 +53,8 @@ def score(snapshot: DataFrame, trained: dict, primary: str) -> DataFrame:
     share a dictionary share the encoding.
     """
     columns, kept = [], list(snapshot.columns)
+    # a day lies in a file or two, and every row costs ten lookups of codes and some hundred trees
+    snapshot = snapshot.repartition(USER)
     encodings: list[tuple[DataFrame, list[str]]] = []
     for name in c.MODEL_NAMES:
         output = f"uninstall_prob_{name}"

@@ -3,12 +3,14 @@
 import random
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stayline import config as c
-from stayline.operators import dataset, encoding, metrics, models, scoring
+from stayline.operators import boosting, dataset, encoding, metrics, models, scoring
 from stayline.operators.lookup import is_small, lookup
+from stayline.sources.shared import saved
 
 START = date(2024, 1, 1)
 
@@ -268,3 +270,14 @@ def test_long_windows_are_refused():
         measures.distinct_in_days("session", 31)
     with pytest.raises(ValueError):
         measures.days_with("n", 64)
+
+
+def test_a_snapshot_is_scored_by_many_tasks(spark):
+    """A day lies in a file or two; its rows are dealt out before they are looked up and scored."""
+    snapshot = spark.range(50).coalesce(1).selectExpr(
+        "cast(id AS string) AS user_pseudo_id", "date'2024-01-22' AS snapshot_date", *(f"concat('v', id % 3) AS {x}" for x in c.CATEGORICAL_FEATURES))
+    dictionary = saved(encoding.fit_ordinal(snapshot))
+    trees = boosting.Trees(["country"], [np.array([0.0, 1.0])], -1.0, [])
+    scored = scoring.score(snapshot, {"gbt_a": scoring.Trained(models.Model(trees), dictionary, ["country"])}, "gbt_a")
+    assert "hashpartitioning(user_pseudo_id" in scored._jdf.queryExecution().executedPlan().toString()
+    assert scored.count() == 50 and scored.select("uninstall_prob_gbt_b", "uninstall_prob_gbt_c", "risk_segment").distinct().count() == 1
